@@ -74,29 +74,35 @@ def signatures(fields: DataFrame) -> DataFrame:
     )
 
 
-def _partners(sigs: DataFrame, part: str, key: str) -> DataFrame:
-    """(market, value, key, score) for one address field: every key its left side emits."""
-    values = sigs.select("market", F.col(part).alias("value")).distinct()
+def _partners(sigs: DataFrame) -> DataFrame:
+    """(part, market, value, key, score): every key a field value emits on the left side.
+
+    The three address fields go through one similarity join, told apart by ``part``.
+    """
+    fields = F.array(*[F.struct(F.lit(p).alias("part"), F.col(p).alias("value")) for p in PARTS])
+    values = sigs.select("market", F.inline(fields)).distinct()
     full = values.where("value <> ''")
-    near = similar_pairs(full, full, ["market"], ["market"])
-    row = lambda a, b, s: [F.col("market"), F.col(a).alias(part), F.col(b).alias(key), s.alias(f"{key}_score")]
-    nil = F.lit(None).cast("double")
-    return reduce(
-        DataFrame.union,
-        [
-            near.select(*row("value_a", "value_b", F.col("score"))),
-            near.select(*row("value_b", "value_a", F.col("score"))),
-            full.select(*row("value", "value", F.lit(100.0))),
-            full.select("market", F.col("value").alias(part), F.lit(NONE).alias(key), nil.alias(f"{key}_score")),
-            values.where("value = ''").select("market", F.col("value").alias(part), F.lit(ANY).alias(key), nil.alias(f"{key}_score")),
-        ],
+    near = similar_pairs(full, full, ["market", "part"], ["market", "part"])
+    row = lambda value, key, score: F.struct(
+        value.alias("value"), key.alias("key"), score.cast("double").alias("score")
     )
+    value = F.col("value")
+    alone = F.when(
+        value != "", F.array(row(value, value, F.lit(100.0)), row(value, F.lit(NONE), F.lit(None)))
+    ).otherwise(F.array(row(value, F.lit(ANY), F.lit(None))))
+    a, b = F.col("value_a"), F.col("value_b")
+    both = F.array(row(a, b, F.col("score")), row(b, a, F.col("score")))
+    return values.select("part", "market", F.inline(alone)).unionByName(near.select("part", "market", F.inline(both)))
 
 
 def _left_keys(sigs: DataFrame) -> DataFrame:
+    partners = cut_lineage(_partners(sigs))
     out = sigs
     for part, key in zip(PARTS, KEYS):
-        out = out.join(_partners(sigs, part, key), ["market", part])
+        own = partners.where(F.col("part") == part).select(
+            "market", F.col("value").alias(part), F.col("key").alias(key), F.col("score").alias(f"{key}_score")
+        )
+        out = out.join(own, ["market", part])
     return out.select("sid", "side", "market", "name", *KEYS, *[f"{k}_score" for k in KEYS])
 
 
@@ -122,7 +128,7 @@ def matching_sides(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Left and right rows whose equal (market, other, keys) means a match."""
     left = cut_lineage(_left_keys(sigs))
     right = _right_keys(sigs)
-    names = _name_partners(left, right)
+    names = cut_lineage(_name_partners(left, right))
     return left.join(names, ["market", "name"]), right.withColumnRenamed("name", "other")
 
 
