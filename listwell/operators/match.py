@@ -37,6 +37,8 @@ KEYS = ("k_number", "k_name", "k_city")
 ANY, NONE = "\u0001any", ""
 SEVERAL = "\u0001several"
 
+Sides = tuple[DataFrame, DataFrame]
+
 
 def merchants_scan(pm: DataFrame, market: str | None = None) -> DataFrame:
     """The seven columns matching reads: rows with a name, or all rows of one market."""
@@ -124,7 +126,7 @@ def _name_partners(left: DataFrame, right: DataFrame) -> DataFrame:
     return near.unionByName(same)
 
 
-def matching_sides(sigs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def matching_sides(sigs: DataFrame) -> Sides:
     """Left and right rows whose equal (market, other, keys) means a match."""
     left = cut_lineage(_left_keys(sigs))
     right = _right_keys(sigs)
@@ -142,12 +144,12 @@ def _confidence(name_score: Column, scores: list[Column]) -> Column:
     return total / used / 100.0
 
 
-def match_signatures(sigs: DataFrame) -> DataFrame:
+def match_signatures(sides: Sides) -> DataFrame:
     """(sid_a, sid_b, name_similarity, confidence): each pair of matching signatures once.
 
     A signature is paired with itself too: its listings on different platforms match.
     """
-    left, right = matching_sides(sigs)
+    left, right = sides
     r = right.select(*JOIN_KEYS, F.col("sid").alias("sid_b"))
     return (
         left.withColumnRenamed("sid", "sid_a")
@@ -175,7 +177,7 @@ def rule_based_match(pm: DataFrame) -> DataFrame:
     shown = pm.select("id", F.col("name"))
     side = lambda s: listed.select(F.col("sid").alias(f"sid_{s}"), F.col("id").alias(f"id_{s}"), F.col("platform").alias(f"platform_{s}"))
     pairs = (
-        match_signatures(sigs)
+        match_signatures(matching_sides(sigs))
         .join(side("a"), "sid_a")
         .join(side("b"), "sid_b")
         .where("platform_a <> platform_b AND (sid_a <> sid_b OR id_a < id_b)")
@@ -193,13 +195,13 @@ def rule_based_match(pm: DataFrame) -> DataFrame:
     )
 
 
-def _key_edges(sigs: DataFrame) -> DataFrame:
+def _key_edges(sides: Sides) -> DataFrame:
     """Edges (src, dst) that tie together what matches, one per signature and key.
 
     Signatures of one single platform do not match each other, so a key stands for
     one node per ``side`` on its right; a left row joins those of other sides.
     """
-    left, right = matching_sides(sigs)
+    left, right = sides
     l_sides = left.select(*JOIN_KEYS, F.col("side").alias("l_side")).distinct()
     r_sides = right.select(*JOIN_KEYS, F.col("side").alias("r_side")).distinct()
     links = l_sides.join(r_sides, JOIN_KEYS).where((F.col("l_side") != F.col("r_side")) | (F.col("l_side") == SEVERAL))
@@ -212,14 +214,62 @@ def _key_edges(sigs: DataFrame) -> DataFrame:
     return tied.join(least, node).select(F.col("sid").alias("src"), F.col("low").alias("dst")).distinct()
 
 
+def _members(fields: DataFrame, sigs: DataFrame, sides: Sides) -> DataFrame:
+    labels = connected_components(_key_edges(sides))
+    named = sigs.join(labels.select(F.col("member_id").alias("sid"), "entity_id"), "sid")
+    members = fields.join(named.select(*SIGNATURE, "sid", "entity_id"), list(SIGNATURE))
+    return cut_lineage(members.select("entity_id", "id", "platform", "sid"))
+
+
 def cluster_listings(pm: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(entity_id, id, platform, sid) of all matched listings, and the signatures used."""
     fields = cut_lineage(_resolvable(pm))
     sigs = cut_lineage(signatures(fields))
-    labels = connected_components(_key_edges(sigs))
-    named = sigs.join(labels.select(F.col("member_id").alias("sid"), "entity_id"), "sid")
-    members = fields.join(named.select(*SIGNATURE, "sid", "entity_id"), list(SIGNATURE))
-    return members.select("entity_id", "id", "platform", "sid"), sigs
+    return _members(fields, sigs, matching_sides(sigs)), sigs
+
+
+def _listing_pairs(fields: DataFrame, sigs: DataFrame, sides: Sides) -> DataFrame:
+    """Number of matching listing pairs in one row, without forming them.
+
+    Each matching pair of signatures contributes the product of its listings, less the
+    products on equal platforms.
+    """
+    sizes = fields.join(sigs, list(SIGNATURE)).groupBy("sid", "platform").agg(F.count("*").alias("n"))
+    size = lambda s: sizes.select(F.col("sid").alias(f"sid_{s}"), F.col("platform").alias(f"platform_{s}"), F.col("n").alias(f"n_{s}"))
+    return (
+        match_signatures(sides).select("sid_a", "sid_b").join(size("a"), "sid_a").join(size("b"), "sid_b")
+        .where("platform_a <> platform_b AND (sid_a <> sid_b OR platform_a < platform_b)")
+        .agg(F.coalesce(F.sum(F.col("n_a") * F.col("n_b")), F.lit(0)).alias("pairs"))
+    )
+
+
+def pair_count(pm: DataFrame) -> DataFrame:
+    fields = cut_lineage(_resolvable(pm))
+    sigs = cut_lineage(signatures(fields))
+    return _listing_pairs(fields, sigs, matching_sides(sigs))
+
+
+def pair_lookup(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Confidence of the pair (member, entity root) in either direction, 1 where there is none."""
+    keyed = pairs.select(
+        F.least("id_a", "id_b").alias("low"), F.greatest("id_a", "id_b").alias("high"), "confidence", "match_method"
+    )
+    ends = members.withColumns({"low": F.least("id", "entity_id"), "high": F.greatest("id", "entity_id")})
+    return ends.join(keyed, ["low", "high"], "left").select(
+        "entity_id", "id", F.coalesce("confidence", F.lit(1.0)).alias("confidence"),
+        F.coalesce("match_method", F.lit("cluster_member")).alias("match_method"),
+    )
+
+
+def comparable_pairs(pm: DataFrame) -> DataFrame:
+    """Per market: how many pairs of different platforms a row-by-row matcher would compare.
+
+    Counted from the platform sizes; no pair is formed.
+    """
+    sizes = pm.groupBy("market", "platform").agg(F.count("*").alias("n"))
+    return sizes.groupBy("market").agg(
+        F.count("*").alias("platforms"), F.expr("(sum(n) * sum(n) - sum(n * n)) DIV 2").alias("pairs")
+    ).where("platforms >= 2")
 
 
 def _agreement(a: str, b: str) -> tuple[Column, Column]:
@@ -271,7 +321,6 @@ def resolve_entities(pm: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(merchants, merchant_matches) over all listings that have a name."""
     rows = merchants_scan(pm)
     members, sigs = cluster_listings(rows)
-    members = cut_lineage(members)
     matches = member_confidence(members, sigs).select(
         F.col("id").alias("platform_merchant_id"), F.col("entity_id").alias("merchant_id"), "confidence", "match_method"
     )
@@ -284,7 +333,6 @@ def resolve_entities_market(
     """The same for one market, fixed confidence, after the market's old result is taken out."""
     rows = merchants_scan(pm, market)
     members, _ = cluster_listings(rows)
-    members = cut_lineage(members)
     fresh_merchants = canonical_members(members, rows)
     fresh = members.select(
         F.col("id").alias("platform_merchant_id"), F.col("entity_id").alias("merchant_id"),
@@ -316,37 +364,27 @@ def rank_by_confidence(scored: DataFrame, n: int = 10) -> DataFrame:
     return scored.orderBy(F.desc("confidence"), "id").limit(n)
 
 
-def resolution_stats(pm: DataFrame) -> DataFrame:
-    """Listings, matched pairs' ends, clusters and members in one row per figure."""
-    rows = merchants_scan(pm)
-    members, _ = cluster_listings(rows)
-    members = cut_lineage(members)
-    per_platform = rows.groupBy("platform").agg(F.count("*").alias("value")).select(
-        F.concat(F.lit("rows "), "platform").alias("figure"), "value"
-    )
-    totals = members.agg(F.count("*").alias("n"), F.count_distinct("entity_id").alias("c")).select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("matched listings").alias("figure"), F.col("n").alias("value")),
-                F.struct(F.lit("entity clusters"), F.col("c")),
-            )
-        )
-    )
-    return per_platform.unionByName(totals)
-
+def pair_similarity(pm: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id_a, id_b, similarity) for given pairs, whether or not they would match."""
+    as_struct = F.struct("name", *PARTS)
+    fields = match_fields(pm)
+    a = fields.select(F.col("id").alias("id_a"), as_struct.alias("a"))
+    b = fields.select(F.col("id").alias("id_b"), as_struct.alias("b"))
+    _, score = _agreement("a", "b")
+    return pairs.join(a, "id_a").join(b, "id_b").select("id_a", "id_b", score.alias("similarity"))
 
-def pair_count(pm: DataFrame) -> DataFrame:
-    """Number of matching listing pairs, without listing them.
 
-    Each matching pair of signatures contributes its listings' product, less the
-    products on equal platforms.
-    """
-    fields = cut_lineage(_resolvable(pm))
+def resolution_stats(pm: DataFrame) -> DataFrame:
+    """Rows per platform, matching pairs, matched listings and entity clusters."""
+    rows = merchants_scan(pm)
+    fields = cut_lineage(_resolvable(rows))
     sigs = cut_lineage(signatures(fields))
-    sizes = fields.join(sigs, list(SIGNATURE)).groupBy("sid", "platform").agg(F.count("*").alias("n"))
-    size = lambda s: sizes.select(F.col("sid").alias(f"sid_{s}"), F.col("platform").alias(f"platform_{s}"), F.col("n").alias(f"n_{s}"))
-    return (
-        match_signatures(sigs).select("sid_a", "sid_b").join(size("a"), "sid_a").join(size("b"), "sid_b")
-        .where("platform_a <> platform_b AND (sid_a <> sid_b OR platform_a < platform_b)")
-        .agg(F.coalesce(F.sum(F.col("n_a") * F.col("n_b")), F.lit(0)).alias("pairs"))
+    sides = matching_sides(sigs)
+    members = _members(fields, sigs, sides)
+    figure = lambda name, value: F.struct(F.lit(name).alias("figure"), value.cast("bigint").alias("value"))
+    per_platform = rows.groupBy("platform").agg(F.count("*").alias("n")).select(F.concat(F.lit("rows "), "platform").alias("figure"), F.col("n").alias("value"))
+    clusters = members.agg(F.count("*").alias("n"), F.count_distinct("entity_id").alias("c")).select(
+        F.inline(F.array(figure("matched listings", F.col("n")), figure("entity clusters", F.col("c"))))
     )
+    pairs = _listing_pairs(fields, sigs, sides).select(F.lit("match pairs").alias("figure"), F.col("pairs").alias("value"))
+    return per_platform.unionByName(clusters).unionByName(pairs)

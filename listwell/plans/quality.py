@@ -161,7 +161,9 @@ def dq_counters(listings: DataFrame, items: DataFrame) -> DataFrame:
 
 def market_mode(pm: DataFrame) -> DataFrame:
     """Most frequent market, the smallest on a tie, ``unknown`` if there is none."""
-    return pm.agg(F.coalesce(F.mode("market", True), F.lit("unknown")).alias("market"))
+    counts = pm.where(F.col("market").isNotNull()).groupBy("market").agg(F.count("*").alias("n"))
+    top = F.min_by("market", F.struct(-F.col("n"), "market"))
+    return counts.agg(F.coalesce(top, F.lit("unknown")).alias("market"))
 
 
 def threshold_status(value: Column, metric: str) -> Column:

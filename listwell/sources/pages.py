@@ -83,14 +83,20 @@ def read_parsed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(body.alias("b"), "date").select("b.*", "date")
 
 
-def read_listing_files(spark: SparkSession, paths: list[str], legacy: str | None = None) -> DataFrame:
-    """Rows of all listing files that exist; the legacy file counts only when none does."""
+def read_listing_files(
+    spark: SparkSession, paths: list[str], legacy: str | None = None, multiline: bool = True
+) -> DataFrame:
+    """Rows of all listing files that exist; the legacy file counts only when none does.
+
+    A file holds one JSON array; without ``multiline`` it holds one array per line, which
+    Spark can split.
+    """
     fs = spark._jvm.org.apache.hadoop.fs
     there = lambda p: fs.Path(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs.Path(p))
     found = [p for p in paths if there(p)] or [p for p in [legacy] if p and there(p)]
     if not found:
         raise FileNotFoundError(f"no listing file among {[os.path.basename(p) for p in paths]}")
-    return spark.read.schema(LISTING_FILE).json(found, multiLine=True)
+    return spark.read.schema(LISTING_FILE).json(found, multiLine=multiline)
 
 
 LISTING_FILE = "platform string, platform_merchant_id string, " + ", ".join(
