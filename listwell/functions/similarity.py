@@ -93,7 +93,7 @@ def geo_distance_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Co
     h = F.pow(F.sin((p2 - p1) / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(
         F.sin((F.radians(lng2) - F.radians(lng1)) / 2), 2
     )
-    return 2 * EARTH_RADIUS_M * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    return 2 * EARTH_RADIUS_M * F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h)))
 
 
 def score_match(name_sim: Column, distance_m: Column, address_match: Column) -> Column:

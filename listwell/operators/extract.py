@@ -25,7 +25,8 @@ LAT_IN_STATE = r'(?i)(?:latitude|lat)["\\]*:\s*(-?\d+\.\d+)'
 LNG_IN_STATE = r'(?i)(?:longitude|lng)["\\]*:\s*(-?\d+\.\d+)'
 STATE_WINDOW = 1000
 
-SCRIPT = r"(?is)<!--.*?-->|<script\b([^>]*)>(.*?)</script\s*>"
+# A comment matches as a whole and leaves both groups empty.
+SCRIPT = r"(?is)<!--.*?-->|<(script\b[^>]*)>(.*?)</script\s*>"
 
 
 # ---- Scripts -----------------------------------------------------------------------
@@ -43,7 +44,7 @@ def scripts(html: Column) -> Column:
         F.regexp_extract_all(html, F.lit(SCRIPT), F.lit(2)).alias("body"),
     )
     return F.transform(
-        both,
+        F.filter(both, lambda s: s["attrs"] != ""),
         lambda s: F.struct(
             _attribute(s["attrs"], "id").alias("id"), _attribute(s["attrs"], "type").alias("type"), s["body"].alias("body")
         ),

@@ -55,6 +55,11 @@ def oracle(body: str, *names: str) -> str:
     return f"WITH {clauses}\n{text}"
 
 
+def doubles(sql: str, *columns: str) -> str:
+    """The same rows with the named columns as doubles rather than decimals."""
+    return f"SELECT * REPLACE ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in columns)}) FROM ({sql})"
+
+
 def registrar():
     """(entries, register): ``register(name, tables, sql)`` decorates a function of those tables."""
     found: dict = {}

@@ -1 +1,136 @@
-ENTRIES: dict = {}
+"""Event streams, run to their end over files that Spark writes from the tables."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from listwell.plans import bind
+from listwell.plans.catalog.common import oracle, portable, registrar
+from listwell.plans.catalog.pages import ALL_LISTINGS
+from listwell.session import ensure_checkpoint_dir
+from listwell.sources.pages import with_key_parts
+from listwell.streaming import ingest
+
+ENTRIES, query = registrar()
+
+SECONDS = 1704067200  # 2024-01-01, in epoch seconds
+
+
+def scratch(spark: SparkSession, what: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
+
+
+def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_key_parts(bind.table(spark, sf_dir, "raw_pages"))
+
+
+def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An event per page, and from the event table some that cannot be used."""
+    good = ingest.event_rows(raw_pages(spark, sf_dir), F.lit(SECONDS) + F.length("merchant_id"))
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_type = 'error'")
+    broken = ev.select(
+        F.expr(f"""CASE event_id % 4 WHEN 0 THEN CONCAT('not json ', event_id)
+          WHEN 1 THEN CONCAT('{{"platform":"ubereats","market":"","minio_key":"k', event_id, '"}}')
+          WHEN 2 THEN CONCAT('{{"platform":"elsewhere","market":"m","minio_key":"k', event_id, '"}}')
+          ELSE CONCAT('{{"platform":"doordash","market":"m","minio_key":"doordash/2024-01-01/m/k', event_id, '.html"}}') END""").alias("value")
+    )
+    return good.unionByName(broken)
+
+
+def run_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Publishes all events to files, ingests them to the end, returns the folder of the results."""
+    base = scratch(spark, "ingest")
+    ingest.publish(all_events(spark, sf_dir), path=f"{base}/events")
+    source = ingest.events_source(spark, f"{base}/events", maxFilesPerTrigger="4")
+    ingest.start_ingest(source, raw_pages(spark, sf_dir), f"{base}/out", f"{base}/progress", available_now=True).awaitTermination()
+    return f"{base}/out"
+
+
+def _events_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events through a file stream into a table."""
+    base = scratch(spark, "source")
+    ingest.publish(ingest.event_rows(raw_pages(spark, sf_dir), F.lit(SECONDS)), path=f"{base}/events")
+    stream = ingest.usable_events(ingest.events_source(spark, f"{base}/events"))
+    running = (
+        stream.writeStream.format("parquet").option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start(f"{base}/out")
+    )
+    running.awaitTermination()
+    return portable(spark.read.parquet(f"{base}/out"))
+
+
+KEYED = "split_part(page_key, '/', 1) AS platform, split_part(page_key, '/', 3) AS market, regexp_replace(split_part(page_key, '/', 4), '\\.[^.]*$', '') AS merchant_id, page_key AS minio_key"
+
+ENTRIES["stream_events_source"] = (
+    _events_source,
+    oracle(f"SELECT {KEYED}, '2024-01-01 00:00:00' AS scraped_at FROM raw_pages", "raw_pages"),
+)
+
+
+@query("stream_publish", ("raw_pages",), f"SELECT {KEYED}, CAST({SECONDS} AS DOUBLE) AS scraped_at FROM raw_pages")
+def _(pages):
+    sent = ingest.event_rows(pages, F.lit(SECONDS))
+    return sent.select(F.from_json("value", "platform string, market string, merchant_id string, minio_key string, scraped_at double").alias("e")).select("e.*")
+
+
+def _ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ingest.current_listings(spark, run_stream(spark, sf_dir))
+    return portable(rows.select("platform", "platform_id", "name", "address", "market", "rating", "review_count", "raw_key", "scraped_at"))
+
+
+ENTRIES["stream_ingest"] = (
+    _ingest,
+    oracle(
+        f"""{ALL_LISTINGS}
+SELECT platform, platform_id, name, regexp_replace(regexp_replace(address, '\\bSt\\b', 'Street', 'g'), '\\bPl\\b', 'Place', 'g') AS address, market, rating, review_count, page_key AS raw_key,
+  strftime(TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 SECOND * len(regexp_replace(split_part(page_key, '/', 4), '\\.[^.]*$', '')), '%Y-%m-%d %H:%M:%S') AS scraped_at FROM listings""",
+        "raw_pages",
+    ),
+)
+
+
+def _counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.total_counters(spark, run_stream(spark, sf_dir))
+
+
+ENTRIES["stream_dq_counters"] = (
+    _counters,
+    oracle(
+        f"""{ALL_LISTINGS}
+SELECT platform, market, CAST(SUM(CASE WHEN address = '' THEN 1 ELSE 0 END) AS BIGINT) AS missing_address,
+  CAST(SUM(CASE WHEN tags = '' THEN 1 ELSE 0 END) AS BIGINT) AS missing_cuisine,
+  CAST(SUM(CASE WHEN lat IS NULL OR lat = 0 OR lng = 0 THEN 1 ELSE 0 END) AS BIGINT) AS missing_coords FROM listings GROUP BY 1, 2""",
+        "raw_pages",
+    ),
+)
+
+_BROKEN = """CASE event_id % 4 WHEN 0 THEN 'undecodable' WHEN 1 THEN 'incomplete' WHEN 2 THEN 'no extractor' ELSE 'page missing' END"""
+
+
+def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = ingest.rejects(spark, run_stream(spark, sf_dir)).groupBy("reason")
+    return counted.agg(F.count("*").alias("events"))
+
+
+ENTRIES["reject_routing"] = (
+    _rejects,
+    f"SELECT {_BROKEN} AS reason, COUNT(*) AS events FROM events WHERE event_type = 'error' GROUP BY 1",
+)
+
+
+def _required(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.usable_events(all_events(spark, sf_dir)).select("platform", "market", "minio_key")
+
+
+ENTRIES["required_fields"] = (
+    _required,
+    oracle(
+        """SELECT split_part(page_key, '/', 1) AS platform, split_part(page_key, '/', 3) AS market, page_key AS minio_key FROM raw_pages
+UNION ALL SELECT CASE event_id % 4 WHEN 2 THEN 'elsewhere' ELSE 'doordash' END, 'm',
+  CASE event_id % 4 WHEN 2 THEN 'k' || event_id ELSE 'doordash/2024-01-01/m/k' || event_id || '.html' END
+FROM events WHERE event_type = 'error' AND event_id % 4 >= 2""",
+        "raw_pages",
+    ),
+)

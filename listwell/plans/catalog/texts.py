@@ -225,8 +225,8 @@ def _(part):
 
 
 @query("geo_distance_m", PM, f"""
-SELECT id, ROUND(2 * {sim.EARTH_RADIUS_M} * ASIN(SQRT(LEAST(1.0, POW(SIN((RADIANS(52.3676) - RADIANS(lat)) / 2), 2)
-  + COS(RADIANS(lat)) * COS(RADIANS(52.3676)) * POW(SIN((RADIANS(4.9041) - RADIANS(lng)) / 2), 2)))), 3) AS metres FROM platform_merchants""")
+SELECT id, ROUND(2 * {sim.EARTH_RADIUS_M} * ASIN(SQRT(POW(SIN((RADIANS(52.3676) - RADIANS(lat)) / 2), 2)
+  + COS(RADIANS(lat)) * COS(RADIANS(52.3676)) * POW(SIN((RADIANS(4.9041) - RADIANS(lng)) / 2), 2))), 3) AS metres FROM platform_merchants""")
 def _(pm):
     d = sim.geo_distance_m(F.col("lat"), F.col("lng"), F.lit(52.3676), F.lit(4.9041))
     return pm.select("id", F.round(d, 3).alias("metres"))
