@@ -36,7 +36,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     others. The rounds grow with the logarithm of the longest path. Each round ends in a
     reliable checkpoint, read twice: by its fingerprint and by the next round.
     """
-    own = edges.select(F.col(src).cast("bigint").alias("src"), F.col(dst).cast("bigint").alias("dst"))
+    own = cut_lineage(edges.select(F.col(src).cast("bigint").alias("src"), F.col(dst).cast("bigint").alias("dst")))
     current = cut_lineage(_small_star(own))
     seen = _fingerprint(current)
     while True:

@@ -37,6 +37,10 @@ KEYS = ("k_number", "k_name", "k_city")
 ANY, NONE = "\u0001any", ""
 SEVERAL = "\u0001several"
 
+# Up to here comparing all names of a market costs less than keys for all its addresses.
+# Either way gives the same pairs.
+FEW_NAMES = 2000
+
 Sides = tuple[DataFrame, DataFrame]
 
 
@@ -115,14 +119,23 @@ def _right_keys(sigs: DataFrame) -> DataFrame:
     return out.select("sid", "side", "market", "name", *KEYS)
 
 
-def _name_partners(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(market, name, other, name_score): similar names among listings whose addresses agree."""
-    block = ["market", *KEYS]
-    pick = lambda df: df.select(*block, F.col("name").alias("value")).distinct()
-    near = similar_pairs(pick(left), pick(right), block, ["market"]).select(
+def _name_partners(sigs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """(market, name, other, name_score): similar names, each with itself too.
+
+    A market with few distinct names has them all compared, once, however many listings
+    bear them. In a larger one only names that occur under agreeing addresses meet.
+    """
+    names = sigs.select("market", "name").distinct()
+    few = names.groupBy("market").agg((F.count("*") <= FEW_NAMES).alias("few"))
+
+    def under_keys(side: DataFrame) -> DataFrame:
+        keys = [F.when(F.col("few"), "").otherwise(F.col(k)).alias(k) for k in KEYS]
+        return side.join(few, "market").select("market", *keys, F.col("name").alias("value")).distinct()
+
+    near = similar_pairs(under_keys(left), under_keys(right), ["market", *KEYS], ["market"]).select(
         "market", F.col("value_a").alias("name"), F.col("value_b").alias("other"), F.col("score").alias("name_score")
     )
-    same = left.select("market", "name").distinct().select("market", "name", F.col("name").alias("other"), F.lit(100.0).alias("name_score"))
+    same = names.select("market", "name", F.col("name").alias("other"), F.lit(100.0).alias("name_score"))
     return near.unionByName(same)
 
 
@@ -130,7 +143,7 @@ def matching_sides(sigs: DataFrame) -> Sides:
     """Left and right rows whose equal (market, other, keys) means a match."""
     left = cut_lineage(_left_keys(sigs))
     right = _right_keys(sigs)
-    names = cut_lineage(_name_partners(left, right))
+    names = cut_lineage(_name_partners(sigs, left, right))
     return left.join(names, ["market", "name"]), right.withColumnRenamed("name", "other")
 
 
@@ -202,12 +215,11 @@ def _key_edges(sides: Sides) -> DataFrame:
     one node per ``side`` on its right; a left row joins those of other sides.
     """
     left, right = sides
-    l_sides = left.select(*JOIN_KEYS, F.col("side").alias("l_side")).distinct()
     r_sides = right.select(*JOIN_KEYS, F.col("side").alias("r_side")).distinct()
-    links = l_sides.join(r_sides, JOIN_KEYS).where((F.col("l_side") != F.col("r_side")) | (F.col("l_side") == SEVERAL))
     node = [*JOIN_KEYS, "r_side"]
-    from_right = right.withColumnRenamed("side", "r_side").join(links.select(*node).distinct(), node)
-    from_left = left.withColumnRenamed("side", "l_side").join(links, [*JOIN_KEYS, "l_side"])
+    differ = (F.col("side") != F.col("r_side")) | (F.col("side") == SEVERAL)
+    from_left = left.select(*JOIN_KEYS, "side", "sid").join(r_sides, JOIN_KEYS).where(differ)
+    from_right = right.withColumnRenamed("side", "r_side").join(from_left.select(*node).distinct(), node, "left_semi")
     tied = from_right.select(*node, "sid").unionByName(from_left.select(*node, "sid")).distinct()
     least = tied.groupBy(*node).agg(F.min("sid").alias("low"))
     # A signature on several platforms is an entity even if it is alone under its key.
@@ -234,7 +246,8 @@ def _listing_pairs(fields: DataFrame, sigs: DataFrame, sides: Sides) -> DataFram
     Each matching pair of signatures contributes the product of its listings, less the
     products on equal platforms.
     """
-    sizes = fields.join(sigs, list(SIGNATURE)).groupBy("sid", "platform").agg(F.count("*").alias("n"))
+    counted = fields.groupBy(*SIGNATURE, "platform").agg(F.count("*").alias("n"))
+    sizes = counted.join(sigs, list(SIGNATURE)).select("sid", "platform", "n")
     size = lambda s: sizes.select(F.col("sid").alias(f"sid_{s}"), F.col("platform").alias(f"platform_{s}"), F.col("n").alias(f"n_{s}"))
     return (
         match_signatures(sides).select("sid_a", "sid_b").join(size("a"), "sid_a").join(size("b"), "sid_b")
@@ -347,17 +360,14 @@ def resolve_entities_market(
 
 def confidence_to_target(pm: DataFrame, target_id: int) -> DataFrame:
     """All rows with their similarity to one row: itself 1, its own platform 0."""
-    fields = match_fields(pm)
-    as_struct = F.struct("name", *PARTS)
-    target = pm.where(F.col("id") == target_id).limit(1)
-    root = match_fields(target).select(F.col("platform").alias("root_platform"), as_struct.alias("root"))
-    pairs = fields.select("id", F.col("platform").alias("row_platform"), as_struct.alias("sig")).crossJoin(F.broadcast(root))
+    cleaned = pm.withColumns(
+        {"s_name": extract_restaurant_name(F.col("name")), "s_address": extract_address_fields(F.col("address"))}
+    ).withColumn("sig", F.struct(F.col("s_name").alias("name"), *[F.col(f"s_address.{p}").alias(p) for p in PARTS]))
+    target = match_fields(pm.where(F.col("id") == target_id)).limit(1)
+    root = target.select(F.col("platform").alias("root_platform"), F.struct("name", *PARTS).alias("root"))
     _, score = _agreement("sig", "root")
-    scored = pairs.select(
-        "id",
-        F.when(F.col("id") == target_id, 1.0).when(F.col("row_platform") == F.col("root_platform"), 0.0).otherwise(score).alias("confidence"),
-    )
-    return pm.join(scored, "id")
+    scored = F.when(F.col("id") == target_id, 1.0).when(F.col("platform") == F.col("root_platform"), 0.0).otherwise(score)
+    return cleaned.crossJoin(F.broadcast(root)).select(*pm.columns, scored.alias("confidence"))
 
 
 def rank_by_confidence(scored: DataFrame, n: int = 10) -> DataFrame:

@@ -31,14 +31,18 @@ def with_key_parts(df: DataFrame, key: str = "page_key") -> DataFrame:
 
 
 def listing_pages(pages: DataFrame, platform: str | None = None, market: str | None = None, key: str = "page_key") -> DataFrame:
-    """Pages whose key names a listing page, optionally of one platform or market, by key."""
+    """Pages whose key names a listing page, optionally of one platform or market.
+
+    In no order: sorting would move every page body. What depends on page order takes the
+    key into account itself, as :func:`operators.tables.first_seen` does.
+    """
     k = F.col(key)
     wanted = k.endswith(".html") & k.contains("listing")
     if platform is not None:
         wanted = wanted & k.startswith(f"{platform}/")
     if market is not None:
         wanted = wanted & k.contains(f"/{market}/")
-    return pages.where(wanted).orderBy(key)
+    return pages.where(wanted)
 
 
 def read_pages(spark: SparkSession, path: str, platform: str | None = None, market: str | None = None) -> DataFrame:

@@ -50,16 +50,36 @@ def usable_events(events: DataFrame) -> DataFrame:
     return decode(events).where("reason IS NULL").drop("reason", "value")
 
 
+def _keyed(events: DataFrame) -> DataFrame:
+    """Events under the columns a page table is stored by; the event's own platform and market kept aside."""
+    return with_key_parts(
+        events.withColumnsRenamed({"minio_key": "page_key", "platform": "event_platform", "market": "event_market"}).drop("merchant_id")
+    )
+
+
+def _on(pages: DataFrame) -> list[str]:
+    return [c for c in ("platform", "date", "market", "page_key") if c in pages.columns]
+
+
+def in_date_range(pages: DataFrame, events: DataFrame) -> DataFrame:
+    """Only the day folders of the page table that a micro-batch points into.
+
+    Two dates come to the driver; the folders in between are pruned before the scan.
+    """
+    if "date" not in pages.columns:
+        return pages
+    first, last = _keyed(usable_events(events)).agg(F.min("date"), F.max("date")).first()
+    return pages.where(F.lit(False)) if first is None else pages.where(F.col("date").between(first, last))
+
+
 def fetch_pages(events: DataFrame, pages: DataFrame) -> DataFrame:
     """Events with the body of their page.
 
     The join names the key's folder columns too, so that on a page table stored by
-    platform, date and market Spark prunes to the folders the events point to.
+    platform, date and market Spark can prune to the folders the events point to.
     """
-    keyed = with_key_parts(events.select(F.col("minio_key").alias("page_key"), F.col("platform").alias("event_platform"), F.col("market").alias("event_market"), "scraped_at"))
-    on = [c for c in ("platform", "date", "market", "page_key") if c in pages.columns]
-    body = pages.select(*on, "html")
-    return keyed.join(body, on).select(
+    on = _on(pages)
+    return _keyed(events).join(pages.select(*on, "html"), on).select(
         "page_key", F.col("event_platform").alias("platform"), F.col("event_market").alias("market"), "scraped_at", "html"
     )
 
@@ -67,12 +87,13 @@ def fetch_pages(events: DataFrame, pages: DataFrame) -> DataFrame:
 def rejected_events(events: DataFrame, pages: DataFrame) -> DataFrame:
     """(value, reason) for events that cannot be decoded, are incomplete, have no page or no extractor."""
     read = decode(events)
-    fine = read.where("reason IS NULL")
-    unknown = fine.where(~F.col("platform").isin(*LISTING_EXTRACTORS))
-    known = fine.where(F.col("platform").isin(*LISTING_EXTRACTORS))
-    lost = known.join(pages.select(F.col("page_key").alias("minio_key")), "minio_key", "left_anti")
-    label = lambda df, reason: df.select("value", F.lit(reason).alias("reason"))
-    return read.where("reason IS NOT NULL").select("value", "reason").unionByName(label(unknown, "no extractor")).unionByName(label(lost, "page missing"))
+    has_extractor = F.col("platform").isin(*LISTING_EXTRACTORS)
+    reason = F.coalesce("reason", F.when(~has_extractor, "no extractor"))
+    labelled = read.withColumn("reason", reason)
+    on = _on(pages)
+    there = pages.select(*on, F.lit(True).alias("there"))
+    lost = _keyed(labelled.where("reason IS NULL")).join(there, on, "left").where("there IS NULL")
+    return labelled.where("reason IS NOT NULL").select("value", "reason").unionByName(lost.select("value", F.lit("page missing").alias("reason")))
 
 
 def listings_of(events: DataFrame, pages: DataFrame) -> DataFrame:
@@ -90,6 +111,7 @@ ORDER = ("scraped_at", "raw_key", "pos")
 def ingest_batch(batch: DataFrame, batch_id: int, pages: DataFrame, base: str) -> None:
     """One micro-batch: listings, archive, counters and rejects, each to the batch's own folder."""
     spark, part = batch.sparkSession, f"batch_id={batch_id}"
+    pages = in_date_range(pages, batch)
     listings_of(batch, pages).write.mode("overwrite").parquet(f"{base}/changes/{part}")
     # What was written is read back, so pages are parsed once.
     done = spark.read.parquet(f"{base}/changes/{part}")
