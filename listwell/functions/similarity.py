@@ -20,25 +20,40 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 EARTH_RADIUS_M = 6371008.8  # fixed value: mean radius
 
 
-def lcs_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one big-integer step per character."""
+def letter_masks(a: str) -> dict[str, int]:
+    """For each letter the positions it stands on, as bits."""
     masks: dict[str, int] = {}
     for i, ch in enumerate(a):
         masks[ch] = masks.get(ch, 0) | 1 << i
+    return masks
+
+
+def lcs_length(a: str, b: str, known: dict | None = None) -> int:
+    """Length of the longest common subsequence, one big-integer step per character.
+
+    ``known`` keeps the masks of texts already seen.
+    """
+    if known is None:
+        masks = letter_masks(a)
+    else:
+        masks = known.get(a)
+        if masks is None:
+            masks = known[a] = letter_masks(a)
     full = (1 << len(a)) - 1
     v = full
     for ch in b:
         u = v & masks.get(ch, 0)
-        v = (v + u | v - u) & full
+        if u:
+            v = (v + u | v - u) & full
     return len(a) - v.bit_count()
 
 
-def _ratio(a: str, b: str) -> float:
+def _ratio(a: str, b: str, known: dict | None = None) -> float:
     total = len(a) + len(b)
-    return 100.0 if total == 0 else 200.0 * lcs_length(a, b) / total
+    return 100.0 if total == 0 else 200.0 * lcs_length(a, b, known) / total
 
 
-def _token_set_ratio(a: str, b: str) -> float:
+def _token_set_ratio(a: str, b: str, known: dict | None = None) -> float:
     ta, tb = set(a.split()), set(b.split())
     if not ta or not tb:
         return 0.0
@@ -49,22 +64,25 @@ def _token_set_ratio(a: str, b: str) -> float:
     s = len(" ".join(common))
     gap = 1 if s else 0
     p, q = s + gap + len(x), s + gap + len(y)
-    best = 100.0 - 100.0 * (len(x) + len(y) - 2 * lcs_length(x, y)) / (p + q)
+    best = 100.0 - 100.0 * (len(x) + len(y) - 2 * lcs_length(x, y, known)) / (p + q)
     if s:
         best = max(best, 100.0 - 100.0 * (gap + len(x)) / (s + p), 100.0 - 100.0 * (gap + len(y)) / (s + q))
     return best
 
 
-def _fuzz(a: str, b: str) -> float:
-    if not a or not b:
+def _fuzz(a: str, b: str, known: dict | None = None) -> float:
+    if not a or not b or a == b:
         return 100.0 if a == b else 0.0
-    return max(_ratio(a, b), _token_set_ratio(a, b))
+    if a.split() == [a] and b.split() == [b]:  # single words: both ratios are the same
+        return _ratio(a, b, known)
+    return max(_ratio(a, b, known), _token_set_ratio(a, b, known))
 
 
 def _pairwise(score):
     @F.pandas_udf("double")
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([score(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
+        known: dict = {}
+        return pd.Series([score(x or "", y or "", known) for x, y in zip(a, b)], dtype="float64")
 
     return run
 

@@ -33,13 +33,14 @@ from listwell.session import cut_lineage
 
 PARTS = ("street_number", "street_name", "city")
 SIGNATURE = ("market", "name", *PARTS)
-KEYS = ("k_number", "k_name", "k_city")
+KEYS = ("k_number", "k_street", "k_city")
+KEY_OF = dict(zip(PARTS, KEYS))
 ANY, NONE = "\u0001any", ""
 SEVERAL = "\u0001several"
 
-# Up to here comparing all names of a market costs less than keys for all its addresses.
+# Up to here comparing all values of a market costs less than keys for all its addresses.
 # Either way gives the same pairs.
-FEW_NAMES = 2000
+FEW_VALUES = 2000
 
 Sides = tuple[DataFrame, DataFrame]
 
@@ -80,15 +81,33 @@ def signatures(fields: DataFrame) -> DataFrame:
     )
 
 
-def _partners(sigs: DataFrame) -> DataFrame:
+def _own_keys(sigs: DataFrame, parts: tuple[str, ...]) -> DataFrame:
+    """Right side: for each field its own value and the mark for "any"."""
+    out = sigs
+    for part in parts:
+        out = out.withColumn(KEY_OF[part], F.explode(F.array(F.col(part), F.lit(ANY))))
+    return out
+
+
+def _partner_keys(sigs: DataFrame, partners: DataFrame, parts: tuple[str, ...]) -> DataFrame:
+    """Left side: for each field every key of its value, with the score of the two values."""
+    out = sigs
+    for part in parts:
+        key = KEY_OF[part]
+        own = partners.where(F.col("part") == part).select(
+            "market", F.col("value").alias(part), F.col("key").alias(key), F.col("score").alias(f"{key}_score")
+        )
+        out = out.join(own, ["market", part])
+    return out
+
+
+def _partners(sigs: DataFrame, parts: tuple[str, ...], near: DataFrame) -> DataFrame:
     """(part, market, value, key, score): every key a field value emits on the left side.
 
-    The three address fields go through one similarity join, told apart by ``part``.
+    ``near`` holds the similar pairs (part, market, value_a, value_b, score).
     """
-    fields = F.array(*[F.struct(F.lit(p).alias("part"), F.col(p).alias("value")) for p in PARTS])
+    fields = F.array(*[F.struct(F.lit(p).alias("part"), F.col(p).alias("value")) for p in parts])
     values = sigs.select("market", F.inline(fields)).distinct()
-    full = values.where("value <> ''")
-    near = similar_pairs(full, full, ["market", "part"], ["market", "part"])
     row = lambda value, key, score: F.struct(
         value.alias("value"), key.alias("key"), score.cast("double").alias("score")
     )
@@ -101,48 +120,53 @@ def _partners(sigs: DataFrame) -> DataFrame:
     return values.select("part", "market", F.inline(alone)).unionByName(near.select("part", "market", F.inline(both)))
 
 
-def _left_keys(sigs: DataFrame) -> DataFrame:
-    partners = cut_lineage(_partners(sigs))
-    out = sigs
-    for part, key in zip(PARTS, KEYS):
-        own = partners.where(F.col("part") == part).select(
-            "market", F.col("value").alias(part), F.col("key").alias(key), F.col("score").alias(f"{key}_score")
-        )
-        out = out.join(own, ["market", part])
-    return out.select("sid", "side", "market", "name", *KEYS, *[f"{k}_score" for k in KEYS])
+def _similar_in_market(sigs: DataFrame, column: str, left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """(market, value_a, value_b, score): similar values of a column that occur under equal keys.
 
+    A market with few distinct values has them all compared, once, however many listings
+    bear them. In a larger one only values under agreeing address keys meet.
+    """
+    values = sigs.select("market", column).distinct()
+    few = values.groupBy("market").agg((F.count("*") <= FEW_VALUES).alias("few"))
 
-def _right_keys(sigs: DataFrame) -> DataFrame:
-    out = sigs
-    for part, key in zip(PARTS, KEYS):
-        out = out.withColumn(key, F.explode(F.array(F.col(part), F.lit(ANY))))
-    return out.select("sid", "side", "market", "name", *KEYS)
+    def under_keys(side: DataFrame) -> DataFrame:
+        blocked = [F.when(F.col("few"), "").otherwise(F.col(k)).alias(k) for k in keys]
+        return side.join(few, "market").select("market", *blocked, F.col(column).alias("value")).where("value <> ''").distinct()
 
+    return similar_pairs(under_keys(left), under_keys(right), ["market", *keys], ["market"])
 
-def _name_partners(sigs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """(market, name, other, name_score): similar names, each with itself too.
 
-    A market with few distinct names has them all compared, once, however many listings
-    bear them. In a larger one only names that occur under agreeing addresses meet.
-    """
-    names = sigs.select("market", "name").distinct()
-    few = names.groupBy("market").agg((F.count("*") <= FEW_NAMES).alias("few"))
+def _address_partners(sigs: DataFrame) -> DataFrame:
+    """Keys of all three fields: numbers and cities per market, then streets under agreeing numbers."""
+    first = ("street_number", "city")
+    fields = F.array(*[F.struct(F.lit(p).alias("part"), F.col(p).alias("value")) for p in first])
+    values = sigs.select("market", F.inline(fields)).where("value <> ''").distinct()
+    near = similar_pairs(values, values, ["market", "part"], ["market", "part"])
+    short = cut_lineage(_partners(sigs, first, near))
+    numbers = ("street_number",)
+    streets = _similar_in_market(
+        sigs, "street_name", _partner_keys(sigs, short, numbers), _own_keys(sigs, numbers), [KEY_OF["street_number"]]
+    ).withColumn("part", F.lit("street_name"))
+    return short.unionByName(_partners(sigs, ("street_name",), streets))
 
-    def under_keys(side: DataFrame) -> DataFrame:
-        keys = [F.when(F.col("few"), "").otherwise(F.col(k)).alias(k) for k in KEYS]
-        return side.join(few, "market").select("market", *keys, F.col("name").alias("value")).distinct()
 
-    near = similar_pairs(under_keys(left), under_keys(right), ["market", *KEYS], ["market"]).select(
+def _name_partners(sigs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """(market, name, other, name_score): similar names under agreeing addresses, each with itself too."""
+    near = _similar_in_market(sigs, "name", left, right, list(KEYS)).select(
         "market", F.col("value_a").alias("name"), F.col("value_b").alias("other"), F.col("score").alias("name_score")
     )
-    same = names.select("market", "name", F.col("name").alias("other"), F.lit(100.0).alias("name_score"))
-    return near.unionByName(same)
+    names = sigs.select("market", "name").distinct()
+    return near.unionByName(names.select("market", "name", F.col("name").alias("other"), F.lit(100.0).alias("name_score")))
 
 
 def matching_sides(sigs: DataFrame) -> Sides:
     """Left and right rows whose equal (market, other, keys) means a match."""
-    left = cut_lineage(_left_keys(sigs))
-    right = _right_keys(sigs)
+    right = _own_keys(sigs, PARTS).select("sid", "side", "market", "name", *KEYS)
+    # Most combinations of similar values exist nowhere; they go before names are looked at.
+    there = right.select("market", *KEYS).distinct()
+    keyed = _partner_keys(sigs, cut_lineage(_address_partners(sigs)), PARTS)
+    left = keyed.select("sid", "side", "market", "name", *KEYS, *[f"{k}_score" for k in KEYS])
+    left = cut_lineage(left.join(there, ["market", *KEYS], "left_semi"))
     names = cut_lineage(_name_partners(sigs, left, right))
     return left.join(names, ["market", "name"]), right.withColumnRenamed("name", "other")
 
