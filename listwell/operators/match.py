@@ -40,7 +40,7 @@ SEVERAL = "\u0001several"
 
 # Up to here comparing all values of a market costs less than keys for all its addresses.
 # Either way gives the same pairs.
-FEW_VALUES = 2000
+FEW_VALUES = 300
 
 Sides = tuple[DataFrame, DataFrame]
 
