@@ -24,7 +24,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("src", "dst")), F.sum("dst")).first()
+    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("src", "dst")), F.sum(F.col("dst").cast("decimal(38,0)"))).first()
     return tuple(row)
 
 
