@@ -30,6 +30,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, also where body uses it within other lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 class WordHash(dict):
     """64-bit hashes of words, remembered for at most MEMO_WORDS of them."""
 

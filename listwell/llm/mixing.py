@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listwell.llm.common import words
+from listwell.llm.common import let, words
 
 BLOCK_WORDS = 64
 SHARD_SLOTS = 1 << 18
@@ -196,11 +196,8 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     found = own.join(spots, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("_s") == F.col("k_s")) & (F.col("_size") == F.col("k_size")) & (F.col("_nth") == F.col("k_nth")))
     of_doc = picked.select(F.col("s").alias("p_s"), F.col("doc_id.doc_id").alias("p_id"), F.col("doc_id.at").alias("p_at"), "parts", "taken")
     chosen = found.join(of_doc, (F.col("k_s") == F.col("p_s")) & F.col("k_id").eqNullSafe(F.col("p_id")) & (F.col("at") == F.col("p_at")))
-    split = words(F.col("text"))
-    some = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(F.col("_words"), (p["first"] + 1).cast("int"), p["n"].cast("int")))), " ")
-    out = chosen.withColumn("_words", F.when(F.col("taken") < F.col("_size"), split)).withColumn(
-        "text", F.when(F.col("taken") == F.col("_size"), F.col("text")).otherwise(some)
-    )
+    some = let(words(F.col("text")), lambda w: F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(w, (p["first"] + 1).cast("int"), p["n"].cast("int")))), " "))
+    out = chosen.withColumn("text", F.when(F.col("taken") == F.col("_size"), F.col("text")).otherwise(some))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

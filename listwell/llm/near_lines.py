@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listwell.llm.common import WordHash, mixed, pieces, texts
+from listwell.llm.common import WordHash, let, mixed, pieces, texts
 
 MIN_WORDS = 10
 BASE = 0x9E3779B97F4A7C15 | 1  # an odd number, so that its powers have inverses
@@ -161,15 +161,14 @@ def near_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_i
     gone = dropped_lines(_keyed(docs, doc_id, text), min_words).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("numbers").alias("_numbers"))
     rows = named.select("_row", F.col(doc_id).cast("bigint").alias("_d"), F.xxhash64(F.col(text)).alias("_t"))
     joined = rows.join(gone, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_tie")), "left")
-    lines = F.split(F.col("_row")[text], "\n", -1)
-    # both lists are in order: those that stay are cut out between neighbours of the list of those that go
-    bounds = F.concat(F.array(F.lit(-1)), F.col("_numbers"), F.array(F.size("_lines")))
-    runs = F.transform(F.sequence(F.lit(1), F.size("_bounds") - 1), lambda i: F.slice(
-        "_lines", F.get("_bounds", i - 1) + 2, F.get("_bounds", i) - F.get("_bounds", i - 1) - 1))
-    kept = F.when(F.col("_numbers").isNull(), F.col("_row")[text]).otherwise(F.array_join(F.flatten(runs), "\n"))
-    out = (
-        joined.withColumn("_lines", F.when(F.col("_numbers").isNotNull(), lines)).withColumn("_bounds", bounds)
-        .withColumn("_kept", kept)
-    )
+    whole = F.col("_row")[text]
+
+    def cut_out(lines):
+        """Both lists are in order: what stays lies between neighbours of the list of what goes."""
+        bounds = F.concat(F.array(F.lit(-1)), F.col("_numbers"), F.array(F.size(lines)))
+        runs = let(bounds, lambda b: F.transform(F.sequence(F.lit(1), F.size(b) - 1), lambda i: F.slice(lines, F.get(b, i - 1) + 2, F.get(b, i) - F.get(b, i - 1) - 1)))
+        return F.array_join(F.flatten(runs), "\n")
+
+    out = joined.withColumn("_kept", F.when(F.col("_numbers").isNull(), whole).otherwise(let(F.split(whole, "\n", -1), cut_out)))
     columns = [F.col("_kept").alias(c) if c == text else F.col("_row")[c].alias(c) for c in docs.columns]
     return out.select(*columns, F.col("_numbers").alias("dropped_numbers"))

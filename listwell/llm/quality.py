@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listwell.llm.common import SPACE, ascii_lower, words
+from listwell.llm.common import ascii_lower, let, words
+from listwell.session import cut_lineage
 
 #: Character classes, each as the characters that are not in it; what is in none is a letter.
 CLASSES = {
@@ -27,46 +28,45 @@ WORD_NOISE = 1.3
 
 
 def _windows(w: Column) -> Column:
-    """Hashes of all 3-word windows; null where there are fewer than two."""
+    """Hashes of all 3-word windows; none where there are fewer than two."""
     n = F.size(w)
     return F.when(n >= 4, F.zip_with(
         F.slice(w, 1, F.greatest(n - 2, F.lit(0))),
         F.zip_with(F.slice(w, 2, F.greatest(n - 2, F.lit(0))), F.slice(w, 3, F.greatest(n - 2, F.lit(0))), lambda b, c: F.xxhash64(b, c)),
         lambda a, bc: F.xxhash64(a, bc),
-    ))
+    )).otherwise(F.array().cast("array<bigint>"))
 
 
-def measures(base: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, lang, counts of BASE, counts per character class) of (doc_id, text, lang, text_hash).
+def _repeated(h: Column) -> Column:
+    """How many words the windows that come again cover: in sorted order equal windows are neighbours."""
 
-    Words in 3-word windows found twice or more are counted by hashing the windows and
-    looking at them in sorted order, where equal ones are neighbours; only texts with a
-    repeated window are sorted.
-    """
+    def covered(p):
+        return F.aggregate(
+            F.sequence(F.lit(0), F.greatest(F.size(p) - 1, F.lit(0))), F.lit(0).cast("bigint"),
+            lambda acc, i: acc + F.least(F.lit(3), F.coalesce(F.get(p, i + 1) - F.get(p, i), F.lit(3))),
+        )
+
+    def places(o):
+        again = F.filter(o, lambda x, i: (x["h"] == F.get(o, i + 1)["h"]) | (x["h"] == F.get(o, i - 1)["h"]))
+        return let(F.array_sort(F.transform(again, lambda x: x["i"])), covered)
+
+    ordered = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    return F.when(F.size(h) > F.size(F.array_distinct(h)), let(ordered, places)).otherwise(0).cast("bigint")
+
+
+def measures(base: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, lang, counts of BASE, counts per character class) of (doc_id, text, lang, text_hash)."""
     t = F.coalesce(F.col("text"), F.lit(""))
     count = lambda others: F.length(F.regexp_replace(t, others, "")).cast("bigint")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    seen = base.select(
-        "doc_id", "text_hash", "lang", *[count(p).alias(f"n_{name}") for name, p in CLASSES.items()], F.length(t).cast("bigint").alias("n_chars"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"), words(F.col("text")).alias("w"),
-    )
-    kept = [*[f"n_{c}" for c in CLASSES], "n_chars", "n_dup_lines"]
-    hashed = seen.select(
-        "doc_id", "text_hash", "lang", *kept, F.size("w").cast("bigint").alias("n_words"), F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"),
-        _windows(F.col("w")).alias("h"),
-    ).withColumnRenamed("n_symbol", "n_symbols")
-    kept = ["n_symbols" if c == "n_symbol" else c for c in kept]
-    twice = F.size("h") > F.size(F.array_distinct("h"))
-    ordered = hashed.select("doc_id", "text_hash", "lang", "n_words", "word_chars", *kept, F.when(twice, F.array_sort(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))).alias("o"))
-    again = F.filter("o", lambda x, i: (x["h"] == F.get("o", i + 1)["h"]) | (x["h"] == F.get("o", i - 1)["h"]))
-    at = ordered.select("doc_id", "text_hash", "lang", "n_words", "word_chars", *kept, F.array_sort(F.transform(again, lambda x: x["i"])).alias("p"))
-    covered = F.aggregate(
-        F.sequence(F.lit(0), F.size("p") - 1), F.lit(0).cast("bigint"),
-        lambda acc, i: acc + F.least(F.lit(3), F.coalesce(F.get("p", i + 1) - F.get("p", i), F.lit(3))),
-    )
-    return at.select(
-        "doc_id", "text_hash", "lang", "n_words", "word_chars", *kept, F.when(F.size("p") > 0, covered).otherwise(0).cast("bigint").alias("n_repeat_words")
-    )
+    repeats = let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint"))
+    of_words = let(words(F.col("text")), lambda w: F.struct(
+        F.size(w).cast("bigint").alias("n_words"), F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"), let(_windows(w), _repeated).alias("n_repeat_words"),
+    ))
+    return base.select(
+        "doc_id", "text_hash", "lang", *[count(p).alias("n_symbols" if name == "symbol" else f"n_{name}") for name, p in CLASSES.items()],
+        F.length(t).cast("bigint").alias("n_chars"), repeats.alias("n_dup_lines"), of_words.alias("w"),
+    ).select("*", "w.*").drop("w")
 
 
 def common_words(docs: DataFrame, n: int = COMMON, lang: str = "lang", text: str = "text") -> DataFrame:
@@ -105,13 +105,15 @@ def quality(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.concat(F.lit("="), F.col(lang)), F.lit("-")).alias("lang"),
         F.xxhash64(F.col(doc_id), F.col(text), F.col(lang)).alias("text_hash"),
     )
-    m = measures(held)
+    found = measures(held)
+    own = ("doc_id", "text_hash", "lang")
+    m = cut_lineage(found.groupBy(*own).agg(F.count("*").alias("copies"), *[F.any_value(c).alias(c) for c in found.columns if c not in own]))
     rest = F.col("n_chars") - F.col("word_chars")
     named = {c: F.col("n_symbols" if c == "symbol" else f"n_{c}") for c in CLASSES}
     letters = F.greatest(F.col("word_chars") - sum(named.values(), F.lit(0)), F.lit(0).cast("bigint"))
     classes = {"space": rest, "letter": letters} | named
     m = m.withColumns({f"c_{k}": v.cast("double") for k, v in classes.items()})
-    by_lang = m.groupBy("lang").agg(*[F.sum(f"c_{k}").alias(f"l_{k}") for k in classes])
+    by_lang = m.groupBy("lang").agg(*[F.sum(F.col(f"c_{k}") * F.col("copies")).alias(f"l_{k}") for k in classes])
 
     common = common_words(held)
     hits = (
@@ -121,12 +123,10 @@ def quality(
         .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("n", "share")).alias("bars"))  # COMMON bars at most
         .withColumnsRenamed({"doc_id": "h_id", "text_hash": "h_hash"})
     )
-    copies = m.groupBy("doc_id", "text_hash").agg(F.count("*").alias("copies")).withColumnsRenamed({"doc_id": "c_id", "text_hash": "c_hash"})
     covered = common.groupBy("lang").agg(F.sum("share").alias("q_all"))
     full = (
         m.join(F.broadcast(by_lang), "lang").join(F.broadcast(covered), "lang", "left")  # a row for each language
         .join(hits, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("text_hash") == F.col("h_hash")), "left")
-        .join(copies, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_hash") == F.col("c_hash")))
     )
     own = sum((F.col(f"c_{k}") for k in classes), F.lit(0.0))
     langs = sum((F.col(f"l_{k}") for k in classes), F.lit(0.0))
@@ -145,10 +145,11 @@ def quality(
     root = lambda x: F.sqrt(F.greatest(x / 2, F.lit(0.0)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = full.select(
-        "doc_id", "text_hash", *BASE, F.when(F.col("n_words") >= judged_from, root(chars)).alias("char_distance"),
+        "doc_id", "text_hash", *BASE, "copies", F.when(F.col("n_words") >= judged_from, root(chars)).alias("char_distance"),
         F.when(F.col("n_words") >= judged_from, root(word)).alias("word_distance"), failed.alias("base_failed"),
     )
     far = (F.coalesce("char_distance", F.lit(0.0)) > max_chars) | (
         F.coalesce("word_distance", F.lit(0.0)) > max_words + word_noise / F.sqrt("n_words")
     )
-    return judged.withColumn("kept", ~(F.col("base_failed") | far))
+    each = judged.withColumn("kept", ~(F.col("base_failed") | far)).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    return each.drop("copies", "copy")
