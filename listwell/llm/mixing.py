@@ -179,25 +179,24 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
 
     The text has the words taken in that pass, in order; where the pass takes all of them it
     is the document's own text. Columns and their order stay, ``n_chars`` follows the text.
+    Rows equal in id, source and text are mixed as rows of their own and take their other
+    columns from one of them.
     """
-    sized = sizes(docs)
+    kind = dict(docs.dtypes).get("n_chars")
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("k_id"), F.xxhash64("text").alias("k_hash"),
+        F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")).alias("k_s"), F.col("source").alias("k_source"), F.size(words(F.col("text"))).cast("bigint").alias("k_size"),
+    )
+    sized = keyed.select(F.struct("k_id", "k_hash").alias("doc_id"), F.col("k_source").alias("source"), F.col("k_size").alias("size"))
     of_source = targets(sized)
-    at = placed(sized.withColumn("doc_id", F.struct("doc_id", "size")), of_source)  # ids repeat where rows do
-    pieces = blocks(at.withColumn("doc_id", F.struct(F.col("doc_id.doc_id").alias("doc_id"), "at")), block_words)
+    pieces = blocks(placed(sized, of_source).withColumn("doc_id", F.struct("doc_id", "at")), block_words)
     picked = pieces.join(slots(of_source, block_words).select("s", "block", "pass"), ["s", "block"]).groupBy("s", "doc_id", "pass").agg(
         F.array_sort(F.collect_list(F.struct("first", "n"))).alias("parts"), F.sum("n").alias("taken")
-    )
-    # rows that share id, source and size: the n-th of them gets the n-th place
-    nth = Window.partitionBy("k_id", "k_s", "k_size")
-    spots = at.where("size > 0").select(F.col("doc_id.doc_id").alias("k_id"), F.col("s").alias("k_s"), F.col("size").alias("k_size"), "at").withColumn(
-        "k_nth", F.row_number().over(nth.orderBy("at")))
-    own = docs.withColumn("_s", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))).withColumn("_size", F.size(words(F.col("text"))).cast("bigint"))
-    own = own.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id", "_s", "_size").orderBy(F.xxhash64("text"))))
-    found = own.join(spots, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("_s") == F.col("k_s")) & (F.col("_size") == F.col("k_size")) & (F.col("_nth") == F.col("k_nth")))
-    of_doc = picked.select(F.col("s").alias("p_s"), F.col("doc_id.doc_id").alias("p_id"), F.col("doc_id.at").alias("p_at"), "parts", "taken")
-    chosen = found.join(of_doc, (F.col("k_s") == F.col("p_s")) & F.col("k_id").eqNullSafe(F.col("p_id")) & (F.col("at") == F.col("p_at")))
-    some = let(words(F.col("text")), lambda w: F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(w, (p["first"] + 1).cast("int"), p["n"].cast("int")))), " "))
-    out = chosen.withColumn("text", F.when(F.col("taken") == F.col("_size"), F.col("text")).otherwise(some))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    ).select(F.col("s").alias("p_s"), F.col("doc_id.doc_id.k_id").alias("p_id"), F.col("doc_id.doc_id.k_hash").alias("p_hash"), "parts", "taken")
+    own = keyed.where("k_size > 0").select("_row", "k_id", "k_hash", "k_s", "k_size").dropDuplicates(["k_id", "k_hash", "k_s"])
+    chosen = picked.join(own, F.col("k_id").eqNullSafe(F.col("p_id")) & (F.col("k_hash") == F.col("p_hash")) & (F.col("k_s") == F.col("p_s")))
+    text = F.col("_row")["text"]
+    some = let(words(text), lambda w: F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(w, (p["first"] + 1).cast("int"), p["n"].cast("int")))), " "))
+    out = chosen.select("_row", F.when(F.col("taken") == F.col("k_size"), text).otherwise(some).alias("k_text"))
+    own_columns = {"text": F.col("k_text")} | ({"n_chars": F.length("k_text").cast(kind)} if kind else {})
+    return out.select(*[own_columns.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
