@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from listwell.llm.bpe import token_digests
-from listwell.llm.common import table
+from listwell.llm.common import shared_folder, table
 from listwell.llm.mixing import mix
 from listwell.llm.near_lines import near_lines
 from listwell.llm.near_vectors import near_vectors
@@ -13,7 +13,7 @@ from listwell.llm.ngram_trie import score_documents
 from listwell.llm.quality import BASE, quality
 from listwell.llm.secrets import secrets
 from listwell.llm.shingle_join import shingle_join
-from listwell.llm.token_files import read_digests, shared_folder, write_token_files
+from listwell.llm.token_files import read_digests, write_token_files
 from listwell.llm.url_templates import judge_urls, path_of
 
 

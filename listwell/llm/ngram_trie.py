@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listwell.llm.common import WordHash, mixed
-from listwell.session import cut_lineage
 
 PART_BYTES = 12_000_000
 MASS = 30.0
@@ -253,13 +252,14 @@ def _answer(table: pa.Table) -> pa.Table:
         os.unlink(path)
     pair_codes = np.empty(len(order), np.uint8)
     pair_codes[order] = codes[number]
-    m, zeros = len(words), [0] * (len(words) - 1)
+    m = len(words)
     return pa.table({
-        "batch": table.column("batch"), "shard": table.column("shard"), "tokens": pa.array([int(total.sum()), *zeros], pa.int64()), "types": pa.array([int((total > 0).sum()), *zeros], pa.int64()),
+        "batch": table.column("batch"), "shard": table.column("shard"), "tokens": pa.array([int(total.sum())] * m, pa.int64()), "types": pa.array([int((total > 0).sum())] * m, pa.int64()),
     } | _binaries(word_counts=[x.tobytes() for x in word_answers[:m]], pair_codes=[x.tobytes() for x in np.split(pair_codes, sizes)]))
 
 
-def _scores(docs: pa.Table, answers: pa.Table, n: int, tokens: int, types: int, mass: float) -> pa.Table:
+def _scores(docs: pa.Table, answers: pa.Table, n: int, mass: float) -> pa.Table:
+    tokens, types = (sum(answers.column(c).to_pylist()) for c in ("tokens", "types"))  # every shard has answered every batch
     own = Batch(docs.column("text").to_pylist())
     words, pairs = (_by_shard(x, n) for x in own.shards(n))
     counts, codes = np.zeros(len(own.words)), np.zeros(len(own.context), np.uint8)
@@ -298,7 +298,7 @@ def score_documents(docs: DataFrame, held_out: str | None = None, mass: float =
         size = 0
     n = max(1, -(-size // PART_BYTES))
     dealt = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
+    # one plan, so that the dealt documents are shuffled once for asking and scoring
     asked = dealt.groupBy("batch").applyInArrow(lambda t: _ask(t, n), "batch int, shard int, words binary, word_counts binary, contexts binary, successors binary, pair_counts binary")
-    answered = cut_lineage(asked.groupBy("shard").applyInArrow(_answer, "batch int, shard int, tokens bigint, types bigint, word_counts binary, pair_codes binary"))
-    tokens, types = answered.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
-    return dealt.groupBy("batch").cogroup(answered.groupBy("batch")).applyInArrow(lambda d, a: _scores(d, a, n, tokens, types, mass), schema)
+    answered = asked.groupBy("shard").applyInArrow(_answer, "batch int, shard int, tokens bigint, types bigint, word_counts binary, pair_codes binary")
+    return dealt.groupBy("batch").cogroup(answered.groupBy("batch")).applyInArrow(lambda d, a: _scores(d, a, n, mass), schema)

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listwell.llm.common import ascii_lower, let, words
-from listwell.session import cut_lineage
+from listwell.llm.common import ascii_lower, let, staged, words
 
 #: Character classes, each as the characters that are not in it; what is in none is a letter.
 CLASSES = {
@@ -107,7 +106,7 @@ def quality(
     )
     found = measures(held)
     own = ("doc_id", "text_hash", "lang")
-    m = cut_lineage(found.groupBy(*own).agg(F.count("*").alias("copies"), *[F.any_value(c).alias(c) for c in found.columns if c not in own]))
+    m = staged(found.groupBy(*own).agg(F.count("*").alias("copies"), *[F.any_value(c).alias(c) for c in found.columns if c not in own]))
     rest = F.col("n_chars") - F.col("word_chars")
     named = {c: F.col("n_symbols" if c == "symbol" else f"n_{c}") for c in CLASSES}
     letters = F.greatest(F.col("word_chars") - sum(named.values(), F.lit(0)), F.lit(0).cast("bigint"))

@@ -13,9 +13,6 @@ starts are prefix sums over tasks and over the chunks of a task.
 
 from __future__ import annotations
 
-import uuid
-import zlib
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -23,12 +20,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from listwell.llm.common import pieces, texts
-from listwell.session import ensure_checkpoint_dir
 
 BLOCK = 16_384
 CHUNK = 65_536
 MEMO_WORDS = 150_000
-PART_BYTES = 32_000_000
 
 CHUNK_SCHEMA = "part int, chunk int, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, planes array<binary>"
 
@@ -159,8 +154,3 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of the documents of written files, all of which are decoded."""
     short = _documents(spark, path).select("doc_id", "part", "chunk", "off", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
     return _started(spark, path, short).select("doc_id", "start", "n_tokens", "ids_crc32")
-
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the session's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
