@@ -24,16 +24,19 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listwell.llm.common import WordHash, mixed, pieces, texts
+from listwell.llm.common import WordHash, mixed, pieces, staged, texts
 from listwell.operators.components import connected_components
-from listwell.session import cut_lineage
 
 ORDER_CELLS = 1 << 20
 SEGMENTS = 64
 LEVELS = 8  # levels of the order for each doubling of a count
+SHARD_SHINGLES = 2_000_000
+#: What a shard's index lists are made of.
+LIST = {"token": np.uint64, "class": np.int64, "size": np.int32, "at": np.int32}
 
 
 def shingles(found: list[bytes], n: int, hashes: WordHash) -> np.ndarray:
@@ -65,27 +68,20 @@ def _print(s: np.ndarray) -> int:
     return int(mixed(x).view(np.int64)[0])
 
 
-def _order(base: DataFrame, n: int) -> np.ndarray:
-    """The level of each cell: about LEVELS times the logarithm of its number of shingles in all texts."""
-
-    def counts(batches):
-        total = np.zeros(ORDER_CELLS, np.int64)
-        for _, found in _sets(batches, n):
-            total += np.bincount((np.concatenate(found) if found else np.zeros(0, np.uint64)) >> np.uint64(44), minlength=ORDER_CELLS)
-        for i, part in enumerate(total.reshape(SEGMENTS, -1)):
-            yield pa.RecordBatch.from_pydict({"i": pa.array([i], pa.int32()), "part": [part.astype("<u4").tobytes()]})
+def _levels(parts: DataFrame) -> np.ndarray:
+    """The level of each cell, about LEVELS times the logarithm of its number of shingles, from (i, part) of all tasks."""
 
     def summed(batches):
         sums: dict[int, np.ndarray] = {}
+        unpack = zstandard.ZstdDecompressor()
         for b in batches:
             for i, part in zip(b.column("i").to_pylist(), b.column("part").to_pylist()):
-                sums[i] = sums.get(i, 0) + np.frombuffer(part, "<u4").astype(np.int64)
+                sums[i] = sums.get(i, 0) + np.frombuffer(unpack.decompress(part), "<u4").astype(np.int64)
         for i, total in sums.items():
             yield pa.RecordBatch.from_pydict({"i": pa.array([i], pa.int32()), "part": [total.tobytes()]})
 
-    once = base.mapInArrow(counts, "i int, part binary").repartition(SEGMENTS, "i").mapInArrow(summed, "i int, part binary")
     levels = np.zeros((SEGMENTS, ORDER_CELLS // SEGMENTS), np.uint8)
-    for row in once.collect():  # ORDER_CELLS numbers, whatever the input
+    for row in parts.repartition(SEGMENTS, "i").mapInArrow(summed, "i int, part binary").collect():  # ORDER_CELLS numbers, whatever the input
         levels[row.i] = np.minimum(np.log2(1 + np.frombuffer(row.part, np.int64)) * LEVELS, 255).astype(np.uint8)
     return levels.reshape(-1)
 
@@ -103,7 +99,7 @@ def _compared(pairs: DataFrame, base: DataFrame, classes: DataFrame, n: int, per
         for b, found in _sets(batches, n):
             yield pa.RecordBatch.from_pydict({"class": b.column("class"), "set": pa.array([s.tobytes() for s in found], pa.binary())})
 
-    bodies = cut_lineage(
+    bodies = staged(
         base.join(speakers, F.col("row") == F.col("s_row")).select("class", "text").mapInArrow(whole, "class bigint, set binary").dropDuplicates(["class"])
     )
     side = lambda x: bodies.select(F.col("class").alias(x), F.col("set").alias(f"set_{x}"))
@@ -135,30 +131,63 @@ def shingle_join(
     base = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text)).alias("tie"), F.xxhash64(F.col(doc_id), F.col(text)).alias("row"), F.col(text).alias("text"))
 
     def prints(batches):
+        total = np.zeros(ORDER_CELLS, "<u4")
+        none = lambda k, kind: pa.nulls(k, kind)
         for b, found in _sets(batches, n):
+            np.add.at(total, (np.concatenate(found) >> np.uint64(44)).astype(np.int64), 1)
+            m = len(found)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id"), "tie": b.column("tie"), "row": b.column("row"), "n_shingles": pa.array([len(s) for s in found], pa.int64()), "class": pa.array([_print(s) for s in found], pa.int64()),
+                "i": none(m, pa.int32()), "part": none(m, pa.binary()),
+            })
+        pack = zstandard.ZstdCompressor(level=1)
+        for i, part in enumerate(total.reshape(SEGMENTS, -1)):
+            yield pa.RecordBatch.from_pydict({
+                **{c: none(1, pa.int64()) for c in ("doc_id", "tie", "row", "n_shingles", "class")}, "i": pa.array([i], pa.int32()), "part": pa.array([pack.compress(part.tobytes())], pa.binary()),
             })
 
-    members = cut_lineage(base.mapInArrow(prints, "doc_id bigint, tie bigint, row bigint, n_shingles bigint, class bigint"))
+    scanned = staged(base.mapInArrow(prints, "doc_id bigint, tie bigint, row bigint, n_shingles bigint, class bigint, i int, part binary"))
+    members = scanned.where("i is null").drop("i", "part")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie")
     classes = members.where("n_shingles > 0").groupBy("class").agg(F.min("row").alias("speaker"), F.any_value("n_shingles").alias("size"))
-    levels = _order(base.select("text"), n)
+    levels = _levels(scanned.where("i is not null").select("i", "part"))
+    shards = max(1, -(-(members.agg(F.sum("n_shingles")).first()[0] or 0) // SHARD_SHINGLES))
 
     def prefixes(batches):
-        for b, found in _sets(batches, n):
-            own = [_ordered(s, levels)[: prefix_length(len(s), least)] if len(s) else s for s in found]
+        """Prefix shingles, packed for the shard that holds their index lists."""
+        for _, found in _sets(batches, n):
+            found = [s for s in found if len(s)]
+            if not found:
+                continue
+            own = [_ordered(s, levels)[: prefix_length(len(s), least)] for s in found]
             counts = [len(o) for o in own]
-            yield pa.RecordBatch.from_pydict({
-                "token": pa.array((np.concatenate(own) if own else np.zeros(0, np.uint64)).view(np.int64)), "class": pa.array(np.repeat([_print(s) for s in found], counts).astype(np.int64)),
-                "size": pa.array(np.repeat([len(s) for s in found], counts).astype(np.int32)), "at": pa.array(np.concatenate([np.arange(c, dtype=np.int32) for c in counts] or [np.zeros(0, np.int32)])),
+            tokens = np.concatenate(own)
+            columns = (tokens, np.repeat(np.array([_print(s) for s in found], np.int64), counts), np.repeat(np.array([len(s) for s in found], np.int32), counts), np.concatenate([np.arange(c, dtype=np.int32) for c in counts]))
+            shard = (mixed(tokens) % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            cuts = np.split(order, np.searchsorted(shard[order], np.arange(1, shards)))
+            some = [k for k, c in enumerate(cuts) if len(c)]
+            yield pa.RecordBatch.from_pydict({"shard": pa.array(some, pa.int32())} | {
+                name: pa.array([column[cuts[k]].tobytes() for k in some], pa.binary()) for name, column in zip(LIST, columns)
             })
 
+    def lists(table):
+        """The index lists of a shard that more than one class is on."""
+        token, own, size, at = (np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in LIST.items())
+        order = np.lexsort((own, token))
+        token, own, size, at = token[order], own[order], size[order], at[order]
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (own[1:] != own[:-1])  # copies give the same entry
+        token, own, size, at = token[new], own[new], size[new], at[new]
+        _, which, length = np.unique(token, return_inverse=True, return_counts=True)
+        some = length[which] > 1
+        return pa.table({"token": pa.array(token[some].view(np.int64)), "class": pa.array(own[some]), "size": pa.array(size[some]), "at": pa.array(at[some])})
+
+    index = base.select("text").mapInArrow(prefixes, "shard int, token binary, class binary, size binary, at binary").groupBy("shard").applyInArrow(lists, "token bigint, class bigint, size int, at int")
+
     # blocks of sizes: sets that link lie in the same block or in neighbouring ones
     span = math.log(1 / least) if least < 1 else 1.0
-    index = base.select("text").mapInArrow(prefixes, "token bigint, class bigint, size int, at int").withColumn("block", F.floor(F.log(F.col("size")) / span + 1e-9).cast("int"))
-    lists = index.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("token")
-    shared = cut_lineage(index.join(lists, "token").distinct())
+    shared = staged(index.withColumn("block", F.floor(F.log(F.col("size")) / span + 1e-9).cast("int")))
     pivot = shared.groupBy("token", "block").agg(F.min(F.struct("class", "size", "at")).alias("p")).select("token", F.col("block").alias("p_block"), "p")
     need = lambda x, y: F.ceil((F.col(x) + F.col(y)) * F.lit(least / (1 + least)) - 1e-9)
     fits = lambda x, y: (F.least(F.col(x), F.col(y)) >= F.greatest(F.col(x), F.col(y)) * F.lit(least) - 1e-9)
@@ -168,8 +197,8 @@ def shingle_join(
         near.where("class <> p.class").where(fits("size", "p.size")).where(rest("size", "at", "p.size", "p.at") >= need("size", "p.size"))
         .select(F.least("class", "p.class").alias("a"), F.greatest("class", "p.class").alias("b")).distinct()
     )
-    first = cut_lineage(first)
-    known = cut_lineage(_compared(first, base, classes, n, percent))
+    first = staged(first)
+    known = staged(_compared(first, base, classes, n, percent))
     linked = F.col("inter") * 100 >= F.lit(percent) * (F.col("size_a") + F.col("size_b") - F.col("inter"))
 
     def grouped(edges: DataFrame) -> DataFrame:
@@ -177,7 +206,7 @@ def shingle_join(
             return spark.createDataFrame([], "class bigint, root bigint")
         return connected_components(edges, "a", "b").select(F.col("member_id").alias("class"), F.col("entity_id").alias("root"))
 
-    roots = cut_lineage(grouped(known.where(linked).select("a", "b")))
+    roots = staged(grouped(known.where(linked).select("a", "b")))
     rooted = shared.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     split = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
     distance = known.select("a", "b", (1 - F.col("inter") / (F.col("size_a") + F.col("size_b") - F.col("inter"))).alias("d"))
@@ -195,11 +224,11 @@ def shingle_join(
         .select(F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b")).distinct()
         .join(known.select("a", "b"), ["a", "b"], "left_anti")
     )
-    left_over = cut_lineage(left_over)
+    left_over = staged(left_over)
     if left_over.head(1):
-        more = cut_lineage(_compared(left_over, base, classes, n, percent))
+        more = staged(_compared(left_over, base, classes, n, percent))
         edges = known.where(linked).select("a", "b").union(more.where(linked).select("a", "b"))
-        roots = cut_lineage(grouped(edges))
+        roots = staged(grouped(edges))
     of_class = classes.select("class").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     first_of = members.where("n_shingles > 0").groupBy("class").agg(F.min(place).alias("f")).join(of_class, "class").groupBy("root").agg(F.min("f").alias("f"))
     answer = of_class.join(first_of, "root").select(F.col("class").alias("class_id"), "f")
