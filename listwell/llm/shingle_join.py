@@ -35,6 +35,7 @@ ORDER_CELLS = 1 << 20
 SEGMENTS = 64
 LEVELS = 8  # levels of the order for each doubling of a count
 SHARD_SHINGLES = 2_000_000
+SET_BYTES = 6
 #: What a shard's index lists are made of.
 LIST = {"token": np.uint64, "class": np.int64, "size": np.int32, "at": np.int32}
 
@@ -68,6 +69,17 @@ def _print(s: np.ndarray) -> int:
     return int(mixed(x).view(np.int64)[0])
 
 
+def _packed(s: np.ndarray) -> bytes:
+    """The upper SET_BYTES of each hash, distinct and in order, for comparing two sets."""
+    return np.unique(s >> np.uint64(64 - 8 * SET_BYTES)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SET_BYTES].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // SET_BYTES, 8), np.uint8)
+    out[:, :SET_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, SET_BYTES)
+    return out.view("<u8").reshape(-1)
+
+
 def _levels(parts: DataFrame) -> np.ndarray:
     """The level of each cell, about LEVELS times the logarithm of its number of shingles, from (i, part) of all tasks."""
 
@@ -97,17 +109,16 @@ def _compared(pairs: DataFrame, base: DataFrame, classes: DataFrame, n: int, per
 
     def whole(batches):
         for b, found in _sets(batches, n):
-            yield pa.RecordBatch.from_pydict({"class": b.column("class"), "set": pa.array([s.tobytes() for s in found], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"class": b.column("class"), "set": pa.array([_packed(s) for s in found], pa.binary())})
 
-    bodies = staged(
-        base.join(speakers, F.col("row") == F.col("s_row")).select("class", "text").mapInArrow(whole, "class bigint, set binary").dropDuplicates(["class"])
-    )
+    # joined by row, so that rows which repeat are in one place
+    bodies = base.join(speakers, F.col("row") == F.col("s_row")).dropDuplicates(["row"]).select("class", "text").mapInArrow(whole, "class bigint, set binary")
     side = lambda x: bodies.select(F.col("class").alias(x), F.col("set").alias(f"set_{x}"))
 
     def meet(batches):
         for b in batches:
             rows = [(x, y, len(np.intersect1d(sx, sy, assume_unique=True)), len(sx), len(sy)) for x, y, sx, sy in (
-                (x, y, np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)) for x, y, p, q in zip(*[b.column(c).to_pylist() for c in ("a", "b", "set_a", "set_b")]))]
+                (x, y, _unpacked(p), _unpacked(q)) for x, y, p, q in zip(*[b.column(c).to_pylist() for c in ("a", "b", "set_a", "set_b")]))]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 5)], names=["a", "b", "inter", "size_a", "size_b"])
 
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(meet, "a bigint, b bigint, inter bigint, size_a bigint, size_b bigint")
@@ -124,7 +135,8 @@ def shingle_join(
     reach, null only where all are null; ``class_id`` names documents with equal sets.
     ``tie`` is a hash of the text; ``first`` marks the rows with the component's least
     (doc_id, tie), null ids last, so that rows equal in id and text are first together; empty
-    documents are all first. Other columns are left out. Hashes of 64 bits stand for shingles and sets.
+    documents are all first. Other columns are left out. Hashes of 64 bits stand for
+    shingles and sets, and their upper 48 bits for shingles when two sets are compared.
     """
     spark = docs.sparkSession
     least = percent / 100
