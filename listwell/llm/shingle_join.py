@@ -2,9 +2,9 @@
 
 Equal sets are one class. The shingles of a class are put in a global order, rare ones
 first, and its prefix is indexed: two sets that link share a shingle of their prefixes.
-Index lists are cut into blocks by set size and by the shingle's position in the set, and a
-block is skipped as a whole if its sizes, or what is left after its positions, cannot give
-the similarity (index-level skipping).
+Index lists are cut into blocks by set size, of which only neighbours meet, and entries are
+skipped by position: what is left of the sets from the first shared shingle on must be able
+to give the similarity (index-level skipping).
 
 A list is not compared pair by pair. In a first round each class of a block is compared with
 the block's pivot, and keeps the distance to it. Distance is a metric: what is known of a
@@ -102,9 +102,8 @@ def _ordered(s: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return s[np.argsort(levels[(s >> np.uint64(44)).astype(np.int64)], kind="stable")]
 
 
-def _compared(pairs: DataFrame, base: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b, inter, size_a, size_b) of the pairs: whole sets against each other."""
-    needed = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+def _bodies(needed: DataFrame, base: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+    """(class, set) of the classes in ``needed``, written once for all comparing."""
     speakers = classes.join(needed, "class").select(F.col("speaker").alias("s_row"), "class")
 
     def whole(batches):
@@ -112,7 +111,15 @@ def _compared(pairs: DataFrame, base: DataFrame, classes: DataFrame, n: int, per
             yield pa.RecordBatch.from_pydict({"class": b.column("class"), "set": pa.array([_packed(s) for s in found], pa.binary())})
 
     # joined by row, so that rows which repeat are in one place
-    bodies = base.join(speakers, F.col("row") == F.col("s_row")).dropDuplicates(["row"]).select("class", "text").mapInArrow(whole, "class bigint, set binary")
+    return staged(base.join(speakers, F.col("row") == F.col("s_row")).dropDuplicates(["row"]).select("class", "text").mapInArrow(whole, "class bigint, set binary"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+
+
+def _compared(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+    """(a, b, inter, size_a, size_b) of the pairs: whole sets against each other."""
     side = lambda x: bodies.select(F.col("class").alias(x), F.col("set").alias(f"set_{x}"))
 
     def meet(batches):
@@ -200,17 +207,23 @@ def shingle_join(
     # blocks of sizes: sets that link lie in the same block or in neighbouring ones
     span = math.log(1 / least) if least < 1 else 1.0
     shared = staged(index.withColumn("block", F.floor(F.log(F.col("size")) / span + 1e-9).cast("int")))
-    pivot = shared.groupBy("token", "block").agg(F.min(F.struct("class", "size", "at")).alias("p")).select("token", F.col("block").alias("p_block"), "p")
+    # the pivot has the fewest rarer shingles: of a group of near copies, one near the middle
+    pivot = shared.groupBy("token", "block").agg(F.min(F.struct("at", "class", "size")).alias("p")).select("token", F.col("block").alias("p_block"), "p")
     need = lambda x, y: F.ceil((F.col(x) + F.col(y)) * F.lit(least / (1 + least)) - 1e-9)
-    fits = lambda x, y: (F.least(F.col(x), F.col(y)) >= F.greatest(F.col(x), F.col(y)) * F.lit(least) - 1e-9)
-    rest = lambda sx, ax, sy, ay: F.least(F.col(ax), F.col(ay)) + F.least(F.col(sx) - F.col(ax), F.col(sy) - F.col(ay))  # noqa: E731  most shared shingles: before the places, and from them on
+
+    def can_link(x: str, y: str) -> Column:
+        """Whether two entries may have the similarity if this is the first shingle that they share, as it is on one list of theirs."""
+        (sx, sy), (ax, ay) = ((F.col(x + name), F.col(y + name)) for name in ("size", "at"))
+        return (F.least(sx, sy) >= F.greatest(sx, sy) * F.lit(least) - 1e-9) & (F.least(sx - ax, sy - ay) >= need(x + "size", y + "size"))
+
     near = shared.withColumn("p_block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1))).join(pivot, ["token", "p_block"])
     first = (
-        near.where("class <> p.class").where(fits("size", "p.size")).where(rest("size", "at", "p.size", "p.at") >= need("size", "p.size"))
+        near.where("class <> p.class").where(can_link("", "p."))
         .select(F.least("class", "p.class").alias("a"), F.greatest("class", "p.class").alias("b")).distinct()
     )
     first = staged(first)
-    known = staged(_compared(first, base, classes, n, percent))
+    bodies = _bodies(_ends(first), base, classes, n)
+    known = staged(_compared(first, bodies))
     linked = F.col("inter") * 100 >= F.lit(percent) * (F.col("size_a") + F.col("size_b") - F.col("inter"))
 
     def grouped(edges: DataFrame) -> DataFrame:
@@ -226,19 +239,21 @@ def shingle_join(
     to_pivot = rooted.join(split, "token").join(pivot.select("token", F.col("p_block").alias("block"), F.col("p.class").alias("pivot")), ["token", "block"]).join(
         both.select(F.col("a").alias("class"), F.col("b").alias("pivot"), "d"), ["class", "pivot"], "left"
     ).withColumn("d", F.when(F.col("class") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("d")))
-    x = to_pivot.select("token", "block", *[F.col(c).alias(f"x_{c}") for c in ("class", "size", "at", "root", "pivot", "d")])
-    y = to_pivot.select("token", F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"), F.col("block").alias("y_block"), *[F.col(c).alias(f"y_{c}") for c in ("class", "size", "at", "root", "pivot", "d")])
+    carried = ("class", "size", "at", "root", "pivot", "d")
+    x = to_pivot.select("token", "block", *[F.col(c).alias(f"x_{c}") for c in carried])
+    y = to_pivot.select("token", F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"), F.col("block").alias("y_block"), *[F.col(c).alias(f"y_{c}") for c in carried])
     bound = 1 - least + 1e-9
     apart = (F.col("x_pivot") == F.col("y_pivot")) & (F.abs(F.col("x_d") - F.col("y_d")) > bound)
     left_over = (
         x.join(y, ["token", "block"]).where("x_root <> y_root").where((F.col("block") < F.col("y_block")) | (F.col("x_class") < F.col("y_class")))
-        .where(fits("x_size", "y_size")).where(rest("x_size", "x_at", "y_size", "y_at") >= need("x_size", "y_size")).where(~F.coalesce(apart, F.lit(False)))
+        .where(can_link("x_", "y_")).where(~F.coalesce(apart, F.lit(False)))
         .select(F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b")).distinct()
         .join(known.select("a", "b"), ["a", "b"], "left_anti")
     )
     left_over = staged(left_over)
     if left_over.head(1):
-        more = staged(_compared(left_over, base, classes, n, percent))
+        new = _ends(left_over).join(bodies.select("class"), "class", "left_anti")
+        more = staged(_compared(left_over, bodies.unionByName(_bodies(new, base, classes, n))))
         edges = known.where(linked).select("a", "b").union(more.where(linked).select("a", "b"))
         roots = staged(grouped(edges))
     of_class = classes.select("class").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
