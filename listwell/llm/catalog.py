@@ -50,7 +50,7 @@ def op4(spark, sf_dir):
 
 
 def op5(spark, sf_dir):
-    kept = near_lines(table(spark, sf_dir, "documents"))
+    kept = near_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     gone = F.coalesce("dropped_numbers", F.array().cast("array<int>"))
     return kept.select(
         "doc_id", F.size(gone).cast("bigint").alias("n_dropped"), F.array_join(gone.cast("array<string>"), ",").alias("dropped"),

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listwell.llm.common import WordHash, let, mixed, pieces, texts
+from listwell.llm.common import WordHash, let, mixed, pieces, staged, texts
 
 MIN_WORDS = 10
 BASE = 0x9E3779B97F4A7C15 | 1  # an odd number, so that its powers have inverses
@@ -79,16 +79,12 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64))
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, tie, text): rows that share an id come in the order of a hash of their text."""
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text)).alias("tie"), F.col(text).alias("text"))
+def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, tie, numbers): for each document the numbers of its lines that go.
 
-
-ROW = ["doc_id", "tie"]
-
-
-def dropped_lines(keyed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, tie, numbers): for each document the numbers of its lines that go."""
+    ``rows`` is (_row, _d, _t): all columns, the id and a hash of the text, by which rows that share an id are ordered.
+    """
+    keyed = rows.select(F.col("_d").alias("doc_id"), F.col("_t").alias("tie"), F.col("_row")[text].alias("text"))
 
     def scan(batches):
         hashes = WordHash()
@@ -105,7 +101,7 @@ def dropped_lines(keyed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 "line": _signed(own.whole()), "n": pa.array(n, pa.int32()), **{f"k{i}": pa.array(keys[:, i]) for i in range(4)},
             })
 
-    lines = keyed.mapInArrow(scan, "doc_id bigint, tie bigint, number int, line bigint, n int, k0 bigint, k1 bigint, k2 bigint, k3 bigint")
+    lines = staged(keyed.mapInArrow(scan, "doc_id bigint, tie bigint, number int, line bigint, n int, k0 bigint, k1 bigint, k2 bigint, k3 bigint"))
     # ids that are null come last
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("tie").alias("tie"), F.col("number").alias("number"))
     distinct = lines.groupBy("line").agg(F.min(place).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "k0", "k1", "k2", "k3")])
@@ -117,9 +113,10 @@ def dropped_lines(keyed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     def emit(batches):
         hashes = WordHash()
-        for b in pieces(batches, "text"):
+        unpacked = (pa.RecordBatch.from_arrays([b.column("_row").field(text), *(b.column(c) for c in ("numbers", "_d", "_t"))], ["text", "numbers", "_d", "_t"]) for b in batches)
+        for b in pieces(unpacked, "text"):
             own, wanted_of = Lines(texts(b, "text"), hashes), [set(x) for x in b.column("numbers").to_pylist()]
-            whole, ids, ties = own.whole(), b.column("doc_id"), b.column("tie")
+            whole, ids, ties = own.whole(), b.column("_d"), b.column("_t")
             for line, (d, number) in enumerate(zip(own.doc, own.number)):
                 if number not in wanted_of[d]:
                     continue
@@ -134,7 +131,8 @@ def dropped_lines(keyed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     "number": pa.array(np.full(m, number, np.int32)), "key": _signed(keys), "kind": pa.array(kinds),
                 })
 
-    again = keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("tie") == F.col("w_tie"))).select("doc_id", "tie", "text", "numbers")
+    # the same join as of near_lines, with whole rows, so that they are shuffled once
+    again = rows.join(wanted, F.col("_d").eqNullSafe(F.col("w_id")) & (F.col("_t") == F.col("w_tie"))).select("_row", "_d", "_t", "numbers")
     variants = again.mapInArrow(emit, "line bigint, doc_id bigint, tie bigint, number int, key bigint, kind byte").select("line", place.alias("first"), "key", "kind")
     # kind 0: a variant, 1: a variant and its place, 2: a whole line
     least = variants.groupBy("key").agg(
@@ -158,8 +156,8 @@ def near_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_i
     same lines. Hashes of 64 bits stand for lines.
     """
     named = docs.withColumn("_row", F.struct(*[F.col(c) for c in docs.columns]))
-    gone = dropped_lines(_keyed(docs, doc_id, text), min_words).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("numbers").alias("_numbers"))
     rows = named.select("_row", F.col(doc_id).cast("bigint").alias("_d"), F.xxhash64(F.col(text)).alias("_t"))
+    gone = dropped_lines(rows, text, min_words).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("numbers").alias("_numbers"))
     joined = rows.join(gone, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_tie")), "left")
     whole = F.col("_row")[text]
 
