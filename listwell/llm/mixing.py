@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listwell.llm.common import let, words
+from listwell.llm.common import let, staged, words
 
 BLOCK_WORDS = 64
 SHARD_SLOTS = 1 << 18
@@ -131,7 +131,7 @@ def slots(of_source: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int
     runs = counted.withColumn("start", start).where("count > 0").select("shard", "s", "n", "start", "count", F.explode(
         F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("count") - 1) / 4096))).alias("run"))
     return (
-        runs.repartition("s", "shard", "run")
+        runs.repartition(int(of_source.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s", "shard", "run")
         .select("shard", "s", "n", F.explode(F.sequence(F.col("start") + F.col("run") * 4096, F.col("start") + F.least(F.col("count"), (F.col("run") + 1) * 4096) - 1)).alias("k"))
         .withColumn("pass", F.floor(F.col("k") / F.col("n"))).where(F.col("pass") < most)
         .select("shard", "s", "pass", _permuted(F.pmod("k", "n"), F.col("n"), F.lit(seed), F.col("s"), F.col("pass")).alias("block"))
@@ -157,7 +157,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, doc_id: str = "doc_id",
     is a source, the last. Rows that share id, source and size lie next to each other and
     are told apart by their place. Other columns are left out.
     """
-    sized = sizes(docs, doc_id, text, source)
+    sized = staged(sizes(docs, doc_id, text, source))
     of_source = targets(sized)
     at = placed(sized, of_source)
     times = slots(of_source, block_words).groupBy("s", "block").agg(F.count("*").alias("times"))
@@ -187,7 +187,7 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
         F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("k_id"), F.xxhash64("text").alias("k_hash"),
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")).alias("k_s"), F.col("source").alias("k_source"), F.size(words(F.col("text"))).cast("bigint").alias("k_size"),
     )
-    sized = keyed.select(F.struct("k_id", "k_hash").alias("doc_id"), F.col("k_source").alias("source"), F.col("k_size").alias("size"))
+    sized = staged(keyed.select(F.struct("k_id", "k_hash").alias("doc_id"), F.col("k_source").alias("source"), F.col("k_size").alias("size")))
     of_source = targets(sized)
     pieces = blocks(placed(sized, of_source).withColumn("doc_id", F.struct("doc_id", "at")), block_words)
     picked = pieces.join(slots(of_source, block_words).select("s", "block", "pass"), ["s", "block"]).groupBy("s", "doc_id", "pass").agg(
