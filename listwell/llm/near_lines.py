@@ -27,6 +27,7 @@ from listwell.llm.common import WordHash, let, mixed, pieces, staged, texts
 MIN_WORDS = 10
 BASE = 0x9E3779B97F4A7C15 | 1  # an odd number, so that its powers have inverses
 UNBASE = pow(BASE, -1, 1 << 64)
+NO_ID = (1 << 63) - 1  # null ids come last
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -82,9 +83,9 @@ def _signed(x: np.ndarray) -> pa.Array:
 def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, tie, numbers): for each document the numbers of its lines that go.
 
-    ``rows`` is (_row, _d, _t): all columns, the id and a hash of the text, by which rows that share an id are ordered.
+    ``rows`` has all columns, ``_d`` the id and ``_t`` a hash of the text in 32 bits, by which rows that share an id are told apart and ordered.
     """
-    keyed = rows.select(F.col("_d").alias("doc_id"), F.col("_t").alias("tie"), F.col("_row")[text].alias("text"))
+    keyed = rows.select(F.col("_d").alias("doc_id"), F.col("_t").alias("tie"), F.col(text).alias("text"))
 
     def scan(batches):
         hashes = WordHash()
@@ -101,19 +102,19 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
                 "line": _signed(own.whole()), "n": pa.array(n, pa.int32()), **{f"k{i}": pa.array(keys[:, i]) for i in range(4)},
             })
 
-    lines = staged(keyed.mapInArrow(scan, "doc_id bigint, tie bigint, number int, line bigint, n int, k0 bigint, k1 bigint, k2 bigint, k3 bigint"))
+    lines = staged(keyed.mapInArrow(scan, "doc_id bigint, tie int, number int, line bigint, n int, k0 bigint, k1 bigint, k2 bigint, k3 bigint"))
     # ids that are null come last
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("tie").alias("tie"), F.col("number").alias("number"))
-    distinct = lines.groupBy("line").agg(F.min(place).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "k0", "k1", "k2", "k3")])
+    place = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("tie").alias("tie"), F.col("number").alias("number"))
+    distinct = staged(lines.groupBy("line").agg(F.min(place).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "k0", "k1", "k2", "k3")]))
 
     halves = distinct.where(F.col("n") >= min_words).select("line", "first", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")).where("key <> 0")
     shared = halves.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("key")
     able = halves.join(shared, "key").groupBy("line").agg(F.any_value("first").alias("first"))
-    wanted = able.groupBy(F.when(~F.col("first.no_id"), F.col("first.id")).alias("w_id"), F.col("first.tie").alias("w_tie")).agg(F.collect_set("first.number").alias("numbers"))
+    wanted = able.groupBy(F.nullif(F.col("first.id"), F.lit(NO_ID)).alias("w_id"), F.col("first.tie").alias("w_tie")).agg(F.collect_set("first.number").alias("numbers"))
 
     def emit(batches):
         hashes = WordHash()
-        unpacked = (pa.RecordBatch.from_arrays([b.column("_row").field(text), *(b.column(c) for c in ("numbers", "_d", "_t"))], ["text", "numbers", "_d", "_t"]) for b in batches)
+        unpacked = (pa.RecordBatch.from_arrays([*(b.column(c) for c in (text, "numbers", "_d", "_t"))], ["text", "numbers", "_d", "_t"]) for b in batches)
         for b in pieces(unpacked, "text"):
             own, wanted_of = Lines(texts(b, "text"), hashes), [set(x) for x in b.column("numbers").to_pylist()]
             whole, ids, ties = own.whole(), b.column("_d"), b.column("_t")
@@ -127,20 +128,20 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
                 kinds = np.concatenate([np.zeros(len(v), np.int8), np.ones(len(v), np.int8), np.full(1, 2, np.int8)])
                 m = len(keys)
                 yield pa.RecordBatch.from_pydict({
-                    "line": _signed(np.full(m, whole[line], np.uint64)), "doc_id": pa.array([ids[d].as_py()] * m, pa.int64()), "tie": pa.array(np.full(m, ties[d].as_py())),
+                    "doc_id": pa.array([ids[d].as_py()] * m, pa.int64()), "tie": pa.array(np.full(m, ties[d].as_py(), np.int32)),
                     "number": pa.array(np.full(m, number, np.int32)), "key": _signed(keys), "kind": pa.array(kinds),
                 })
 
     # the same join as of near_lines, with whole rows, so that they are shuffled once
-    again = rows.join(wanted, F.col("_d").eqNullSafe(F.col("w_id")) & (F.col("_t") == F.col("w_tie"))).select("_row", "_d", "_t", "numbers")
-    variants = again.mapInArrow(emit, "line bigint, doc_id bigint, tie bigint, number int, key bigint, kind byte").select("line", place.alias("first"), "key", "kind")
+    again = rows.join(wanted, F.col("_d").eqNullSafe(F.col("w_id")) & (F.col("_t") == F.col("w_tie"))).select(*rows.columns, "numbers")
+    variants = again.mapInArrow(emit, "doc_id bigint, tie int, number int, key bigint, kind byte").select(place.alias("first"), "key", "kind")
     # kind 0: a variant, 1: a variant and its place, 2: a whole line
     least = variants.groupBy("key").agg(
-        F.min("first").alias("earliest"), F.min(F.when(F.col("kind") == 2, F.col("first"))).alias("whole"), F.max("first").alias("latest")
-    ).where("earliest <> latest").drop("latest")
+        F.min("first").alias("earliest"), F.min(F.when(F.col("kind") == 2, F.col("first"))).alias("whole"), F.count("*").alias("n")
+    ).where("n > 1").drop("n")
     witness = F.when(F.col("kind") == 0, F.col("whole")).otherwise(F.col("earliest"))
-    near = variants.join(least, "key").where(witness < F.col("first")).groupBy("line").agg(F.min(witness).alias("near"))
-    fate = distinct.select("line", "first").join(near, "line", "left")
+    near = variants.join(least, "key").where(witness < F.col("first")).select("first", F.lit(True).alias("near")).distinct()
+    fate = distinct.select("line", "first").join(near, "first", "left")
     gone = lines.withColumn("place", place).join(fate, "line").where(F.col("near").isNotNull() | (F.col("first") < F.col("place")))
     return gone.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_list("number")).alias("numbers"))
 
@@ -155,11 +156,11 @@ def near_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_i
     empty, is as it was. Rows equal in id and text are one document: each keeps or loses the
     same lines. Hashes of 64 bits stand for lines.
     """
-    named = docs.withColumn("_row", F.struct(*[F.col(c) for c in docs.columns]))
-    rows = named.select("_row", F.col(doc_id).cast("bigint").alias("_d"), F.xxhash64(F.col(text)).alias("_t"))
-    gone = dropped_lines(rows, text, min_words).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("numbers").alias("_numbers"))
+    own = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.select(*[F.col(c).alias(own[c]) for c in docs.columns], F.col(doc_id).cast("bigint").alias("_d"), F.shiftright(F.xxhash64(F.col(text)), 32).cast("int").alias("_t"))
+    gone = dropped_lines(rows, own[text], min_words).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("numbers").alias("_numbers"))
     joined = rows.join(gone, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_tie")), "left")
-    whole = F.col("_row")[text]
+    whole = F.col(own[text])
 
     def cut_out(lines):
         """Both lists are in order: what stays lies between neighbours of the list of what goes."""
@@ -168,5 +169,5 @@ def near_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_i
         return F.array_join(F.flatten(runs), "\n")
 
     out = joined.withColumn("_kept", F.when(F.col("_numbers").isNull(), whole).otherwise(let(F.split(whole, "\n", -1), cut_out)))
-    columns = [F.col("_kept").alias(c) if c == text else F.col("_row")[c].alias(c) for c in docs.columns]
+    columns = [F.col("_kept" if c == text else own[c]).alias(c) for c in docs.columns]
     return out.select(*columns, F.col("_numbers").alias("dropped_numbers"))
