@@ -96,21 +96,23 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
             n, halves = own.end - own.start, own.halves()
             keys = np.stack(halves, axis=1).view(np.int64)
             keys[(n - 1) // 2 == n // 2, 2:] = 0  # the same halves again
+            keys[n < min_words] = 0
             at = pa.array(own.doc)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id").take(at), "tie": b.column("tie").take(at), "number": pa.array(own.number, pa.int32()),
-                "line": _signed(own.whole()), "n": pa.array(n, pa.int32()), **{f"k{i}": pa.array(keys[:, i]) for i in range(4)},
+                "line": _signed(own.whole()), **{f"k{i}": pa.array(keys[:, i]) for i in range(4)},
             })
 
-    lines = staged(keyed.mapInArrow(scan, "doc_id bigint, tie int, number int, line bigint, n int, k0 bigint, k1 bigint, k2 bigint, k3 bigint"))
-    # ids that are null come last
-    place = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("tie").alias("tie"), F.col("number").alias("number"))
-    distinct = staged(lines.groupBy("line").agg(F.min(place).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "k0", "k1", "k2", "k3")]))
+    lines = staged(keyed.mapInArrow(scan, "doc_id bigint, tie int, number int, line bigint, k0 bigint, k1 bigint, k2 bigint, k3 bigint"))
+    # ids that are null come last; tie and number share one integer, which orders as the two do
+    place = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.shiftleft(F.col("tie").cast("bigint"), 32).bitwiseOR(F.col("number")).alias("at"))
+    distinct = staged(lines.groupBy("line").agg(F.min(place).alias("first"), *[F.any_value(c).alias(c) for c in ("k0", "k1", "k2", "k3")]))
 
-    halves = distinct.where(F.col("n") >= min_words).select("line", "first", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")).where("key <> 0")
+    halves = distinct.select("line", "first.*", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")).where("key <> 0")
     shared = halves.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("key")
-    able = halves.join(shared, "key").groupBy("line").agg(F.any_value("first").alias("first"))
-    wanted = able.groupBy(F.nullif(F.col("first.id"), F.lit(NO_ID)).alias("w_id"), F.col("first.tie").alias("w_tie")).agg(F.collect_set("first.number").alias("numbers"))
+    able = halves.join(shared, "key").groupBy("line").agg(F.any_value("id").alias("id"), F.any_value("at").alias("at"))
+    number = F.col("at").bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+    wanted = able.groupBy(F.nullif("id", F.lit(NO_ID)).alias("w_id"), F.shiftright("at", 32).cast("int").alias("w_tie")).agg(F.collect_set(number).alias("numbers"))
 
     def emit(batches):
         hashes = WordHash()
@@ -129,18 +131,19 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
                 m = len(keys)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array([ids[d].as_py()] * m, pa.int64()), "tie": pa.array(np.full(m, ties[d].as_py(), np.int32)),
-                    "number": pa.array(np.full(m, number, np.int32)), "key": _signed(keys), "kind": pa.array(kinds),
+                    "number": pa.array(np.full(m, number, np.int32)), "line": _signed(np.full(m, whole[line])), "key": _signed(keys), "kind": pa.array(kinds),
                 })
 
     # the same join as of near_lines, with whole rows, so that they are shuffled once
     again = rows.join(wanted, F.col("_d").eqNullSafe(F.col("w_id")) & (F.col("_t") == F.col("w_tie"))).select(*rows.columns, "numbers")
-    variants = again.mapInArrow(emit, "doc_id bigint, tie int, number int, key bigint, kind byte").select(place.alias("first"), "key", "kind")
+    variants = again.mapInArrow(emit, "doc_id bigint, tie int, number int, line bigint, key bigint, kind byte")
+    # most keys are of one line alone; they are found by two integers each, and the others go on with their places
+    met = variants.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("key")
+    among = staged(variants.select("key", "kind", place.alias("p")).select("key", "kind", "p.*").join(met, "key").select("key", "kind", F.struct("id", "at").alias("first")))
     # kind 0: a variant, 1: a variant and its place, 2: a whole line
-    least = variants.groupBy("key").agg(
-        F.min("first").alias("earliest"), F.min(F.when(F.col("kind") == 2, F.col("first"))).alias("whole"), F.count("*").alias("n")
-    ).where("n > 1").drop("n")
+    least = among.groupBy("key").agg(F.min("first").alias("earliest"), F.min(F.when(F.col("kind") == 2, F.col("first"))).alias("whole"))
     witness = F.when(F.col("kind") == 0, F.col("whole")).otherwise(F.col("earliest"))
-    near = variants.join(least, "key").where(witness < F.col("first")).select("first", F.lit(True).alias("near")).distinct()
+    near = among.join(least, "key").where(witness < F.col("first")).select("first", F.lit(True).alias("near")).distinct()
     fate = distinct.select("line", "first").join(near, "first", "left")
     gone = lines.withColumn("place", place).join(fate, "line").where(F.col("near").isNotNull() | (F.col("first") < F.col("place")))
     return gone.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_list("number")).alias("numbers"))
