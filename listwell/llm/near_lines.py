@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from listwell.llm.common import WordHash, let, mixed, pieces, staged, texts
 
 MIN_WORDS = 10
+EMITTED = 256  # lines in a batch of variants
 BASE = 0x9E3779B97F4A7C15 | 1  # an odd number, so that its powers have inverses
 UNBASE = pow(BASE, -1, 1 << 64)
 NO_ID = (1 << 63) - 1  # null ids come last
@@ -119,19 +120,20 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
         unpacked = (pa.RecordBatch.from_arrays([*(b.column(c) for c in (text, "numbers", "_d", "_t"))], ["text", "numbers", "_d", "_t"]) for b in batches)
         for b in pieces(unpacked, "text"):
             own, wanted_of = Lines(texts(b, "text"), hashes), [set(x) for x in b.column("numbers").to_pylist()]
-            whole, ids, ties = own.whole(), b.column("_d"), b.column("_t")
-            for line, (d, number) in enumerate(zip(own.doc, own.number)):
-                if number not in wanted_of[d]:
-                    continue
-                v = own.variants(line)
-                places = np.arange(len(v), dtype=np.uint64)
-                # a key without a place for lines that equal a variant, one with it for lines that differ in that place
-                keys = np.concatenate([v, mixed(v ^ mixed(places + np.uint64(1))), whole[line : line + 1]])
-                kinds = np.concatenate([np.zeros(len(v), np.int8), np.ones(len(v), np.int8), np.full(1, 2, np.int8)])
-                m = len(keys)
+            whole, found = own.whole(), [i for i, (d, number) in enumerate(zip(own.doc, own.number)) if number in wanted_of[d]]
+            for start in range(0, len(found), EMITTED):
+                some, keys, kinds = found[start : start + EMITTED], [], []
+                for line in some:
+                    v = own.variants(line)
+                    places = np.arange(len(v), dtype=np.uint64)
+                    # a key without a place for lines that equal a variant, one with it for lines that differ in that place
+                    keys += [v, mixed(v ^ mixed(places + np.uint64(1))), whole[line : line + 1]]
+                    kinds += [np.zeros(len(v), np.int8), np.ones(len(v), np.int8), np.full(1, 2, np.int8)]
+                m = 2 * (own.end - own.start)[some] + 1
+                of = pa.array(np.repeat([own.doc[x] for x in some], m))
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array([ids[d].as_py()] * m, pa.int64()), "tie": pa.array(np.full(m, ties[d].as_py(), np.int32)),
-                    "number": pa.array(np.full(m, number, np.int32)), "line": _signed(np.full(m, whole[line])), "key": _signed(keys), "kind": pa.array(kinds),
+                    "doc_id": b.column("_d").take(of), "tie": b.column("_t").take(of), "number": pa.array(np.repeat([own.number[x] for x in some], m), pa.int32()),
+                    "line": _signed(np.repeat(whole[some], m)), "key": _signed(np.concatenate(keys)), "kind": pa.array(np.concatenate(kinds)),
                 })
 
     # the same join as of near_lines, with whole rows, so that they are shuffled once
