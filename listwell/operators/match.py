@@ -38,10 +38,6 @@ KEY_OF = dict(zip(PARTS, KEYS))
 ANY, NONE = "\u0001any", ""
 SEVERAL = "\u0001several"
 
-# Up to here comparing all values of a market costs less than keys for all its addresses.
-# Either way gives the same pairs.
-FEW_VALUES = 300
-
 Sides = tuple[DataFrame, DataFrame]
 
 
@@ -120,18 +116,11 @@ def _partners(sigs: DataFrame, parts: tuple[str, ...], near: DataFrame) -> DataF
     return values.select("part", "market", F.inline(alone)).unionByName(near.select("part", "market", F.inline(both)))
 
 
-def _similar_in_market(sigs: DataFrame, column: str, left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """(market, value_a, value_b, score): similar values of a column that occur under equal keys.
-
-    A market with few distinct values has them all compared, once, however many listings
-    bear them. In a larger one only values under agreeing address keys meet.
-    """
-    values = sigs.select("market", column).distinct()
-    few = values.groupBy("market").agg((F.count("*") <= FEW_VALUES).alias("few"))
+def _similar_in_market(column: str, left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """(market, value_a, value_b, score): similar values of a column that occur under equal keys."""
 
     def under_keys(side: DataFrame) -> DataFrame:
-        blocked = [F.when(F.col("few"), "").otherwise(F.col(k)).alias(k) for k in keys]
-        return side.join(few, "market").select("market", *blocked, F.col(column).alias("value")).where("value <> ''").distinct()
+        return side.select("market", *keys, F.col(column).alias("value")).where("value <> ''").distinct()
 
     return similar_pairs(under_keys(left), under_keys(right), ["market", *keys], ["market"])
 
@@ -145,14 +134,14 @@ def _address_partners(sigs: DataFrame) -> DataFrame:
     short = cut_lineage(_partners(sigs, first, near))
     numbers = ("street_number",)
     streets = _similar_in_market(
-        sigs, "street_name", _partner_keys(sigs, short, numbers), _own_keys(sigs, numbers), [KEY_OF["street_number"]]
+        "street_name", _partner_keys(sigs, short, numbers), _own_keys(sigs, numbers), [KEY_OF["street_number"]]
     ).withColumn("part", F.lit("street_name"))
     return short.unionByName(_partners(sigs, ("street_name",), streets))
 
 
 def _name_partners(sigs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """(market, name, other, name_score): similar names under agreeing addresses, each with itself too."""
-    near = _similar_in_market(sigs, "name", left, right, list(KEYS)).select(
+    near = _similar_in_market("name", left, right, list(KEYS)).select(
         "market", F.col("value_a").alias("name"), F.col("value_b").alias("other"), F.col("score").alias("name_score")
     )
     names = sigs.select("market", "name").distinct()
@@ -276,7 +265,7 @@ def _listing_pairs(fields: DataFrame, sigs: DataFrame, sides: Sides) -> DataFram
     return (
         match_signatures(sides).select("sid_a", "sid_b").join(size("a"), "sid_a").join(size("b"), "sid_b")
         .where("platform_a <> platform_b AND (sid_a <> sid_b OR platform_a < platform_b)")
-        .agg(F.coalesce(F.sum(F.col("n_a") * F.col("n_b")), F.lit(0)).alias("pairs"))
+        .agg(F.coalesce(F.sum(F.col("n_a").cast("decimal(19,0)") * F.col("n_b").cast("decimal(19,0)")).cast("bigint"), F.lit(0)).alias("pairs"))
     )
 
 
@@ -303,10 +292,10 @@ def comparable_pairs(pm: DataFrame) -> DataFrame:
 
     Counted from the platform sizes; no pair is formed.
     """
-    sizes = pm.groupBy("market", "platform").agg(F.count("*").alias("n"))
+    sizes, n = pm.groupBy("market", "platform").agg(F.count("*").alias("n")), F.col("n").cast("decimal(14,0)")
     return sizes.groupBy("market").agg(
-        F.count("*").alias("platforms"), F.expr("(sum(n) * sum(n) - sum(n * n)) DIV 2").alias("pairs")
-    ).where("platforms >= 2")
+        F.count("*").alias("platforms"), F.sum("n").cast("decimal(19,0)").alias("all"), F.sum(n * n).alias("within")
+    ).where("platforms >= 2").select("market", "platforms", ((F.col("all") * F.col("all") - F.col("within")) / 2).cast("decimal(38,0)").alias("pairs"))
 
 
 def _agreement(a: str, b: str) -> tuple[Column, Column]:

@@ -8,6 +8,7 @@ one row per partition.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -132,10 +133,17 @@ def append_children(children: DataFrame, batch: DataFrame) -> DataFrame:
     return children.unionByName(menu_rows(batch), allowMissingColumns=True)
 
 
-def replace_children(children: DataFrame, batch: DataFrame) -> DataFrame:
-    """Swaps the items of those parents whose batch row carries any."""
-    touched = batch.where(F.size("menu_items") > 0).select(F.col("id").alias("platform_merchant_id")).distinct()
-    return children.join(touched, "platform_merchant_id", "left_anti").unionByName(menu_rows(batch), allowMissingColumns=True)
+def replace_children(children: DataFrame, batch: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """Swaps the items of those parents whose batch rows carry any; a parent's last such row wins."""
+    news = latest(batch.where(F.size("menu_items") > 0), ["id"], order_by)
+    touched = news.select(F.col("id").alias("platform_merchant_id"))
+    return children.join(touched, "platform_merchant_id", "left_anti").unionByName(menu_rows(news), allowMissingColumns=True)
+
+
+def concat_listings(parts: Sequence[DataFrame]) -> DataFrame:
+    """Rows of all parts, ids kept apart however large: the id times the number of parts, plus the part's place."""
+    own = [p.withColumn("id", F.col("id") * len(parts) + i) for i, p in enumerate(parts)]
+    return reduce(DataFrame.unionByName, own)
 
 
 def snapshot_counts(pm: DataFrame, as_of: str) -> DataFrame:
@@ -177,10 +185,10 @@ def orphans(merchants: DataFrame, matches: DataFrame) -> DataFrame:
     return merchants.join(matches, merchants["id"] == matches["merchant_id"], "left_anti")
 
 
-def enrich_details(listings: DataFrame, details: DataFrame) -> DataFrame:
-    """Fills listings without an address from their detail page, with non-empty values only."""
+def enrich_details(listings: DataFrame, details: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """Fills listings without an address from their last detail page, with non-empty values only."""
     stub = F.coalesce(F.col("address"), F.lit("")) == ""
-    d = details.select(
+    d = latest(details, LISTING_KEYS, order_by).select(
         "platform", "platform_id", F.col("address").alias("d_address"), F.col("lat").alias("d_lat"), F.col("lng").alias("d_lng")
     )
     fill = lambda c, empty: F.when(stub & F.col(f"d_{c}").isNotNull() & (F.col(f"d_{c}") != empty), F.col(f"d_{c}")).otherwise(
@@ -191,11 +199,11 @@ def enrich_details(listings: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def crawl_audit(listings: DataFrame, runs: DataFrame) -> DataFrame:
-    """Finished audit rows: listings found per run, or the first 500 characters of the error."""
-    found = listings.groupBy("platform", "market").agg(F.count("*").alias("merchants_found"))
+    """Finished audit rows: listings with the run's ``run_id``, or the first 500 characters of the error."""
+    found = listings.groupBy("run_id").agg(F.count("*").alias("merchants_found"))
     failed = F.col("error_detail").isNotNull()
-    return runs.join(found, ["platform", "market"], "left").select(
-        "platform", "market", "started_at", "finished_at",
+    return runs.join(found, runs["id"] == found["run_id"], "left").select(
+        "id", "platform", "market", "started_at", "finished_at",
         F.when(failed, "failed").when(F.col("finished_at").isNull(), "running").otherwise("success").alias("status"),
         F.when(failed, 0).otherwise(F.coalesce("merchants_found", F.lit(0))).alias("merchants_found"),
         F.when(failed, 1).otherwise(0).alias("errors"),

@@ -165,9 +165,9 @@ def _(pm):
 
 
 @query("coverage_report_sink", PM, """
-SELECT market, platform, COUNT(*) AS cnt FROM platform_merchants WHERE market IS NOT NULL GROUP BY market, platform""")
+SELECT market, platform, COUNT(*) AS cnt FROM platform_merchants GROUP BY market, platform""")
 def _(pm):
-    nested = cv.coverage_report_nested(pm.where("market IS NOT NULL"))
+    nested = cv.coverage_report_nested(pm)
     return nested.select("market", F.explode("platforms").alias("platform", "cnt"))
 
 
@@ -343,14 +343,11 @@ def _(mm):
 
 
 @query("concat_platforms", PM, """
-SELECT 1000 + id AS id, platform, COALESCE(name, '') AS name FROM platform_merchants WHERE platform = 'ubereats'
-UNION ALL SELECT 2000000000 + id, platform, COALESCE(name, '') FROM platform_merchants WHERE platform = 'justeattakeaway'""")
+SELECT id * 4 + CASE platform WHEN 'ubereats' THEN 0 WHEN 'justeattakeaway' THEN 1 WHEN 'doordash' THEN 2 ELSE 3 END AS id,
+  platform, COALESCE(name, '') AS name FROM platform_merchants""")
 def _(pm):
-    def framed(platform, start):
-        rows = pm.where(F.col("platform") == platform)
-        return rows.select((F.col("id") + start).alias("id"), "platform", F.coalesce("name", F.lit("")).alias("name"))
-
-    return framed("ubereats", 1000).unionByName(framed("justeattakeaway", 2000000000))
+    named = pm.select("id", "platform", F.coalesce("name", F.lit("")).alias("name"))
+    return tb.concat_listings([named.where(F.col("platform") == p) for p in ("ubereats", "justeattakeaway", "doordash", "grubhub")])
 
 
 @query("sample_one", PM, None)

@@ -28,9 +28,9 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An event per page, and from the event table some that cannot be used."""
+    """An event per page, and for each row of the event table one that cannot be used."""
     good = ingest.event_rows(raw_pages(spark, sf_dir), F.lit(SECONDS) + F.length("merchant_id"))
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_type = 'error'")
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     broken = ev.select(
         F.expr(f"""CASE event_id % 4 WHEN 0 THEN CONCAT('not json ', event_id)
           WHEN 1 THEN CONCAT('{{"platform":"ubereats","market":"","minio_key":"k', event_id, '"}}')
@@ -45,7 +45,7 @@ def run_stream(spark: SparkSession, sf_dir: str) -> str:
     base = scratch(spark, "ingest")
     ingest.publish(all_events(spark, sf_dir), path=f"{base}/events")
     source = ingest.events_source(spark, f"{base}/events", maxFilesPerTrigger="4")
-    ingest.start_ingest(source, raw_pages(spark, sf_dir), f"{base}/out", f"{base}/progress", available_now=True).awaitTermination()
+    ingest.start_ingest(source, lambda: raw_pages(spark, sf_dir), f"{base}/out", f"{base}/progress", available_now=True).awaitTermination()
     return f"{base}/out"
 
 
@@ -116,7 +116,7 @@ def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ENTRIES["reject_routing"] = (
     _rejects,
-    f"SELECT {_BROKEN} AS reason, COUNT(*) AS events FROM events WHERE event_type = 'error' GROUP BY 1",
+    f"SELECT {_BROKEN} AS reason, COUNT(*) AS events FROM events GROUP BY 1",
 )
 
 
@@ -130,7 +130,7 @@ ENTRIES["required_fields"] = (
         """SELECT split_part(page_key, '/', 1) AS platform, split_part(page_key, '/', 3) AS market, page_key AS minio_key FROM raw_pages
 UNION ALL SELECT CASE event_id % 4 WHEN 2 THEN 'elsewhere' ELSE 'doordash' END, 'm',
   CASE event_id % 4 WHEN 2 THEN 'k' || event_id ELSE 'doordash/2024-01-01/m/k' || event_id || '.html' END
-FROM events WHERE event_type = 'error' AND event_id % 4 >= 2""",
+FROM events WHERE event_id % 4 >= 2""",
         "raw_pages",
     ),
 )

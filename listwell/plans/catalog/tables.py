@@ -45,9 +45,13 @@ def _listings(pm):
     return pm.select(*out)
 
 
-@query("parsed_json_sink", PM, None)
+@query("parsed_json_sink", PM, f"""
+SELECT platform || '/{AS_OF[:10]}/' || COALESCE(market, 'unknown') || '/' || platform_id || '.json' AS json_key,
+  platform, platform_id, name, address, market, array_to_string(cuisine_tags, '|') AS cuisine_tags, review_count FROM platform_merchants""")
 def _(pm):
-    return pages.parsed_rows(_listings(pm.where("market IS NOT NULL")), AS_OF[:10])
+    archived = pages.parsed_rows(_listings(pm), AS_OF[:10])
+    kinds = "platform string, platform_id string, name string, address string, market string, cuisine_tags array<string>, review_count int"
+    return archived.select("json_key", F.from_json("body", kinds).alias("b")).select("json_key", "b.*")
 
 
 @query("parsed_json_scan", PM, """
@@ -141,23 +145,28 @@ def _(pm, batch):
 
 
 def _item_batch(items):
-    """Listings of every tenth merchant, one new menu item a row."""
+    """Listings with one new menu item a row; a listing comes again for each of its items."""
     item = F.struct(F.concat(F.lit("new "), "name").alias("name"), F.col("price").alias("price"))
-    return items.where("platform_merchant_id % 10 = 1").select(F.col("platform_merchant_id").alias("id"), F.array(item).alias("menu_items"))
+    return items.select(F.col("platform_merchant_id").alias("id"), F.array(item).alias("menu_items"), F.col("id").alias("seq"), "price")
 
 
-NEW_ITEMS = "SELECT platform_merchant_id, 'new ' || name AS name, CAST(price AS DOUBLE) AS price FROM menu_items WHERE platform_merchant_id % 10 = 1"
+BATCH = "id % 10 = 1"  # the listings that the batch of a write has
+NEW_ITEMS = "SELECT platform_merchant_id, 'new ' || name AS name, CAST(price AS DOUBLE) AS price FROM menu_items"
 OLD_ITEMS = "SELECT platform_merchant_id, name, CAST(price AS DOUBLE) AS price FROM menu_items"
 
 
-@query("child_replace", ("menu_items",), f"{OLD_ITEMS} WHERE platform_merchant_id % 10 <> 1 UNION ALL {NEW_ITEMS}")
+@query("child_replace", ("menu_items",), f"""
+{OLD_ITEMS} WHERE platform_merchant_id % 10 <> 1 UNION ALL
+SELECT platform_merchant_id, 'new ' || name, CAST(price AS DOUBLE) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY platform_merchant_id ORDER BY id DESC, price DESC NULLS LAST) AS rn
+  FROM menu_items WHERE platform_merchant_id % 10 = 1) WHERE rn = 1""")
 def _(items):
-    return tb.replace_children(items, _item_batch(items)).select("platform_merchant_id", "name", "price")
+    return tb.replace_children(items, _item_batch(items).where(BATCH), ("seq", "price")).select("platform_merchant_id", "name", "price")
 
 
-@query("child_append", ("menu_items",), f"{OLD_ITEMS} UNION ALL {NEW_ITEMS}")
+@query("child_append", ("menu_items",), f"{OLD_ITEMS} UNION ALL {NEW_ITEMS} WHERE platform_merchant_id % 10 = 1")
 def _(items):
-    return tb.append_children(items, _item_batch(items)).select("platform_merchant_id", "name", "price")
+    return tb.append_children(items, _item_batch(items).where(BATCH)).select("platform_merchant_id", "name", "price")
 
 
 @query("menu_items_explode", ("menu_items",), NEW_ITEMS)
@@ -193,19 +202,19 @@ def _(pm, m, mm):
 
 
 @query("crawl_audit", ("platform_merchants", "crawl_runs"), """
-WITH found AS (SELECT platform, market, COUNT(*) AS n FROM platform_merchants GROUP BY 1, 2)
-SELECT r.platform, r.market, strftime(r.started_at, '%Y-%m-%d %H:%M:%S') AS started_at, r.status,
+WITH found AS (SELECT id * id % 997 AS run_id, COUNT(*) AS n FROM platform_merchants GROUP BY 1)
+SELECT r.id, r.platform, r.market, strftime(r.started_at, '%Y-%m-%d %H:%M:%S') AS started_at, r.status,
   CASE WHEN r.status = 'failed' THEN 0 ELSE COALESCE(f.n, 0) END AS merchants_found,
   CASE WHEN r.status = 'failed' THEN 1 ELSE 0 END AS errors,
   CASE WHEN r.status = 'failed' THEN repeat('timeout ', 62) || 'time' END AS error_detail
-FROM crawl_runs r LEFT JOIN found f ON f.platform = r.platform AND f.market = r.market""")
+FROM crawl_runs r LEFT JOIN found f ON f.run_id = r.id""")
 def _(pm, runs):
     logged = runs.select(
-        "platform", "market", "started_at",
+        "id", "platform", "market", "started_at",
         F.when(F.col("status") != "running", F.col("started_at")).alias("finished_at"),
         F.when(F.col("status") == "failed", F.repeat(F.lit("timeout "), F.lit(80))).alias("error_detail"),
     )
-    return tb.crawl_audit(pm, logged).drop("finished_at")
+    return tb.crawl_audit(pm.select(F.expr("id * id % 997").alias("run_id")), logged).drop("finished_at")
 
 
 @query("geo_point", PM, """
@@ -222,9 +231,10 @@ FROM platform_merchants""")
 def _(pm):
     details = pm.where("id % 3 = 0").select(
         "platform", "platform_id", F.concat(F.lit("Detail "), "id").alias("address"),
-        F.expr("CAST(id % 2 AS DOUBLE)").alias("lat"), F.lit(None).cast("double").alias("lng"),
+        F.expr("CAST(id % 2 AS DOUBLE)").alias("lat"), F.lit(None).cast("double").alias("lng"), F.lit(2).alias("seq"),
     )
-    return tb.enrich_details(pm, details).select("id", "address", "lat")
+    stale = details.withColumns({"address": F.lit("Stale"), "lat": F.lit(7.0), "seq": F.lit(1)})
+    return tb.enrich_details(pm, details.unionByName(stale), ("seq",)).select("id", "address", "lat")
 
 
 @query("first_seen_dedup", ("listing_batch",), """
@@ -252,7 +262,8 @@ def _(mm):
 
 
 @query("market_block_pairs", PM, """
-SELECT a.market, COUNT(*) AS pairs FROM platform_merchants a JOIN platform_merchants b
-  ON a.market = b.market AND a.id < b.id AND a.platform <> b.platform GROUP BY a.market""")
+WITH mode AS (SELECT market FROM platform_merchants WHERE market IS NOT NULL GROUP BY market ORDER BY COUNT(*) DESC, market LIMIT 1),
+f AS (SELECT id, platform, COALESCE(market, (SELECT market FROM mode)) AS market FROM platform_merchants)
+SELECT a.market, COUNT(*) AS pairs FROM f a JOIN f b ON a.market = b.market AND a.id < b.id AND a.platform <> b.platform GROUP BY a.market""")
 def _(pm):
-    return mt.comparable_pairs(pm.where("market IS NOT NULL")).select("market", "pairs")
+    return mt.comparable_pairs(mt.fill_market(pm)).select("market", F.col("pairs").cast("bigint").alias("pairs"))

@@ -64,7 +64,7 @@ _GAP_COLUMNS = ["platform", "market", "name", "address", "rating", "review_count
 def coverage_gaps(pm: DataFrame, merchants: DataFrame, matches: DataFrame) -> DataFrame:
     return (
         gaps(pm, merchants, matches)
-        .orderBy(F.desc_nulls_last("rating"), F.desc_nulls_last("review_count"))
+        .orderBy(F.desc_nulls_last("rating"), F.desc_nulls_last("review_count"), "id")  # the id parts equal ratings among tasks
         .select(*_GAP_COLUMNS)
     )
 

@@ -101,10 +101,11 @@ def platform_stats(pm: DataFrame) -> DataFrame:
 def with_z_scores(pm: DataFrame) -> DataFrame:
     """Distance from the platform mean in deviations, for rating and review count.
 
-    The statistics have one row per platform, so Spark broadcasts them by their size.
+    The statistics have one row per registered platform and are broadcast: the listings stay
+    where they are, however many of them one platform has.
     """
     z = lambda v, mean, std: F.abs(F.col(v).cast("double") - F.col(mean)) / F.col(std)
-    return pm.join(platform_stats(pm), "platform").withColumns(
+    return pm.join(F.broadcast(platform_stats(pm)), "platform").withColumns(
         {
             "z_rating": z("rating", "avg_rating", "std_rating"),
             "z_reviews": z("review_count", "avg_reviews", "std_reviews"),

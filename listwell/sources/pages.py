@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from listwell.schemas import LISTING
 
 
+NO_MARKET = "unknown"
+
+
 def page_key(platform: Column, day: Column, market: Column, merchant_id: Column, ext: str = "html") -> Column:
-    """``{platform}/{date}/{market}/{merchant_id}.{ext}``"""
+    """``{platform}/{date}/{market}/{merchant_id}.{ext}``; a null market is written ``unknown``."""
     name = F.concat(merchant_id, F.lit(f".{ext}"))
-    return F.concat_ws("/", platform, F.date_format(day, "yyyy-MM-dd"), market, name)
+    return F.concat_ws("/", platform, F.date_format(day, "yyyy-MM-dd"), F.coalesce(market, F.lit(NO_MARKET)), name)
 
 
 def with_key_parts(df: DataFrame, key: str = "page_key") -> DataFrame:
@@ -45,16 +48,30 @@ def listing_pages(pages: DataFrame, platform: str | None = None, market: str | N
     return pages.where(wanted)
 
 
-def read_pages(spark: SparkSession, path: str, platform: str | None = None, market: str | None = None) -> DataFrame:
-    """HTML objects below ``path`` in the key layout; a platform or market narrows the listing."""
-    glob = f"{path}/{platform or '*'}/*/{market or '*'}/*.html"
+def read_pages(spark: SparkSession, path: str, platform: str | None = None, market: str | None = None, day: str | None = None) -> DataFrame:
+    """HTML objects below ``path`` in the key layout; a platform, market or day narrows the listing."""
+    glob = f"{path}/{platform or '*'}/{day or '*'}/{market or '*'}/*.html"
+    # Spark gives the path as a URI, in which a plus sign stands for itself.
+    key = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+/[^/]+/[^/]+)$", 1)
     raw = spark.read.text(glob, wholetext=True).select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+/[^/]+/[^/]+)$", 1).alias("page_key"),
-        F.col("value").alias("html"),
+        F.url_decode(F.replace(key, F.lit("+"), F.lit("%2B"))).alias("page_key"), F.col("value").alias("html")
     )
     return with_key_parts(raw)
 
 
+def read_page_table(
+    spark: SparkSession, path: str, platform: str | None = None, market: str | None = None, first: str | None = None, last: str | None = None
+) -> DataFrame:
+    """What :func:`write_pages` wrote, with keys; only the folders of the platform, market and days are read."""
+    rows = spark.read.schema("merchant_id string, html string, platform string, date date, market string").parquet(path)
+    for column, value in (("platform", platform), ("market", market)):
+        rows = rows if value is None else rows.where(F.col(column) == value)
+    rows = rows if first is None else rows.where(F.col("date") >= F.lit(first).cast("date"))
+    rows = rows if last is None else rows.where(F.col("date") <= F.lit(last).cast("date"))
+    key = page_key(F.col("platform"), F.col("date"), F.col("market"), F.col("merchant_id"))
+    return rows.select(key.alias("page_key"), "html", "platform", "date", "market", "merchant_id")
+
+
 def write_pages(df: DataFrame, path: str, as_of: str) -> None:
     """Page bodies as parquet, one folder per platform, date and market."""
     dated = df.withColumn("date", F.lit(as_of).cast("date"))
@@ -109,8 +126,8 @@ LISTING_FILE = "platform string, platform_merchant_id string, " + ", ".join(
 
 
 def coverage_report_json(nested: DataFrame) -> DataFrame:
-    """The nested report as one JSON object per market."""
-    return nested.select(F.to_json(F.create_map("market", "platforms")).alias("value"))
+    """The nested report as one JSON object per market; listings without one count under ``unknown``."""
+    return nested.select(F.to_json(F.create_map(F.coalesce("market", F.lit(NO_MARKET)), "platforms")).alias("value"))
 
 
 def write_coverage_report(nested: DataFrame, path: str) -> None:

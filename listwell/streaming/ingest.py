@@ -7,8 +7,10 @@ is the latest row per key over all folders; by event time, not by arrival.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -97,11 +99,15 @@ def rejected_events(events: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def listings_of(events: DataFrame, pages: DataFrame) -> DataFrame:
-    """Normalised listings of all usable events: the batch form of the stream."""
-    fetched = fetch_pages(usable_events(events), pages)
-    times = fetched.groupBy("page_key").agg(F.max("scraped_at").alias("scraped_at"))
-    once = fetched.drop("scraped_at").dropDuplicates(["page_key", "platform", "market"])
-    rows = normalize_listings(extract_listings(once))
+    """Normalised listings of all usable events: the batch form of the stream.
+
+    Events are reduced before they meet the page table, which has one body for a key, so a
+    body is fetched once however often its page is announced.
+    """
+    usable = usable_events(events)
+    times = usable.groupBy(F.col("minio_key").alias("page_key")).agg(F.max("scraped_at").alias("scraped_at"))
+    once = usable.groupBy("platform", "market", "minio_key").agg(F.max("scraped_at").alias("scraped_at"))
+    rows = normalize_listings(extract_listings(fetch_pages(once, pages).drop("scraped_at")))
     return rows.join(times, "page_key").withColumnRenamed("page_key", "raw_key")
 
 
@@ -111,23 +117,43 @@ ORDER = ("scraped_at", "raw_key", "pos")
 def ingest_batch(batch: DataFrame, batch_id: int, pages: DataFrame, base: str) -> None:
     """One micro-batch: listings, archive, counters and rejects, each to the batch's own folder."""
     spark, part = batch.sparkSession, f"batch_id={batch_id}"
-    pages = in_date_range(pages, batch)
-    listings_of(batch, pages).write.mode("overwrite").parquet(f"{base}/changes/{part}")
-    # What was written is read back, so pages are parsed once.
-    done = spark.read.parquet(f"{base}/changes/{part}")
-    listing_counters(done).write.mode("overwrite").parquet(f"{base}/counters/{part}")
-    done.select(as_json(done).alias("value")).write.mode("overwrite").text(f"{base}/parsed/{part}")
-    rejected_events(batch, pages).write.mode("overwrite").parquet(f"{base}/rejects/{part}")
-
-
-def start_ingest(events: DataFrame, pages: DataFrame, base: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Runs :func:`ingest_batch` on every micro-batch; progress is kept in ``checkpoint``."""
+    batch = batch.select("value").persist()  # texts of events, read from their source once
+    try:
+        pages = in_date_range(pages, batch)
+        listings_of(batch, pages).write.mode("overwrite").parquet(f"{base}/changes/{part}")
+        # What was written is read back, so pages are parsed once.
+        done = spark.read.parquet(f"{base}/changes/{part}")
+        listing_counters(done).write.mode("overwrite").parquet(f"{base}/counters/{part}")
+        done.select(as_json(done).alias("value")).write.mode("overwrite").text(f"{base}/parsed/{part}")
+        rejected_events(batch, pages).write.mode("overwrite").parquet(f"{base}/rejects/{part}")
+    finally:
+        batch.unpersist()
+
+
+def start_ingest(events: DataFrame, pages: Callable[[], DataFrame], base: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Runs :func:`ingest_batch` on every micro-batch; progress is kept in ``checkpoint``.
+
+    ``pages`` opens the page table. It is called for every micro-batch, as an open table
+    does not see files that come later.
+    """
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, batch_id: ingest_batch(batch, batch_id, pages, base)
+        lambda batch, batch_id: ingest_batch(batch, batch_id, pages(), base)
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def retry_missing(spark: SparkSession, pages: DataFrame, base: str, attempt: int) -> None:
+    """Ingests the rejected events whose page has come since, as a batch of id ``-attempt``.
+
+    ``attempt`` counts from 1; the same one again overwrites its folders. What is still
+    missing waits for the next attempt.
+    """
+    lost = rejects(spark, base, before=attempt).where("reason = 'page missing'").select("value")
+    ingest_batch(lost, -attempt, pages, base)
+    left = spark.read.parquet(f"{base}/rejects/batch_id={-attempt}").select("value")
+    lost.join(left, "value", "left_anti").distinct().write.mode("overwrite").parquet(f"{base}/recovered/attempt={attempt}")
+
+
 def current_listings(spark: SparkSession, base: str) -> DataFrame:
     """Latest row per listing over all batches."""
     return latest(spark.read.parquet(f"{base}/changes"), LISTING_KEYS, (*ORDER[:1], "batch_id", *ORDER[1:]))
@@ -145,8 +171,17 @@ def total_counters(spark: SparkSession, base: str) -> DataFrame:
     return counted.groupBy("platform", "market").agg(*sums)
 
 
-def rejects(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/rejects").drop("batch_id")
+def rejects(spark: SparkSession, base: str, before: int | None = None) -> DataFrame:
+    """Rejected events without those that an attempt (of those before ``before``) recovered."""
+    found = spark.read.parquet(f"{base}/rejects").where("batch_id >= 0").drop("batch_id")
+    try:
+        done = spark.read.schema("value string, attempt int").parquet(f"{base}/recovered")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return found  # no attempt was made yet
+    done = done if before is None else done.where(F.col("attempt") < before)
+    return found.join(done, "value", "left_anti")
 
 
 def event_rows(pages: DataFrame, scraped_at: Column) -> DataFrame:

@@ -74,11 +74,9 @@ def random_listings(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("seed, n, few", [(1, 140, 0), (2, 60, 2000)])
-def test_equal_to_brute_force(spark, monkeypatch, seed, n, few):
-    """With few = 0 every value is compared under address keys only."""
-    monkeypatch.setattr(mt, "FEW_VALUES", few)
-    df = frame(spark, random_listings(seed, n))
+@pytest.mark.parametrize("seed, n", [(1, 140), (2, 60)])
+def test_equal_to_brute_force(spark, seed, n):
+    df =frame(spark, random_listings(seed, n))
     wanted = brute_force(mt.match_fields(mt.fill_market(df)).orderBy("id").collect())
     found = {(r.id_a, r.id_b): r.confidence for r in mt.rule_based_match(df).collect()}
     assert set(found) == set(wanted) and len(wanted) > 30

@@ -24,7 +24,7 @@ def test_stream_equals_batch_and_replays_change_nothing(spark, raw, tmp_path):
     ingest.publish(events.repartition(3), path=f"{base}/events")
     for _ in range(2):  # the second run finds nothing new
         source = ingest.events_source(spark, f"{base}/events", maxFilesPerTrigger="1")
-        ingest.start_ingest(source, raw, f"{base}/out", f"{base}/progress", available_now=True).awaitTermination()
+        ingest.start_ingest(source, lambda: raw, f"{base}/out", f"{base}/progress", available_now=True).awaitTermination()
     wanted = rows(ingest.listings_of(events, raw))
     assert rows(ingest.current_listings(spark, f"{base}/out")) == wanted and len(wanted) > 50
     # The first batch run again after a crash overwrites its own folder.
@@ -52,6 +52,44 @@ def test_rejects_have_reasons(spark):
     assert got == sorted([(texts[0], "undecodable"), (texts[1], "undecodable"), (texts[2], "incomplete"), (texts[4], "page missing"), (texts[5], "no extractor")])
 
 
+def page_rows(spark, *ids):
+    body = '<article><h2>Name</h2><a href="/store/{}/">x</a></article>'
+    return spark.createDataFrame([(f"doordash/2024-01-01/m/{i}.html", body.format(i)) for i in ids], "page_key string, html string")
+
+
+def event_texts(*ids):
+    return [json.dumps({"platform": "doordash", "market": "m", "minio_key": f"doordash/2024-01-01/m/{i}.html", "scraped_at": 5.0}) for i in ids]
+
+
+def test_pages_that_come_after_the_start_are_found(spark, tmp_path):
+    base = str(tmp_path)
+    page_rows(spark, 1).write.parquet(f"{base}/pages")
+    ingest.publish(spark.createDataFrame([(t,) for t in event_texts(1)], "value string"), path=f"{base}/events")
+    source = ingest.events_source(spark, f"{base}/events")
+    running = ingest.start_ingest(source, lambda: spark.read.parquet(f"{base}/pages"), f"{base}/out", f"{base}/progress")
+    try:
+        running.processAllAvailable()
+        page_rows(spark, 2).write.mode("append").parquet(f"{base}/pages")
+        ingest.publish(spark.createDataFrame([(t,) for t in event_texts(2, 2)], "value string"), path=f"{base}/events")
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    assert sorted(r.platform_id for r in ingest.current_listings(spark, f"{base}/out").collect()) == ["1", "2"]
+    assert ingest.rejects(spark, f"{base}/out").count() == 0
+
+
+def test_missing_pages_are_tried_again(spark, tmp_path):
+    base, events = str(tmp_path), spark.createDataFrame([(t,) for t in [*event_texts(1, 2, 3), "{oops"]], "value string")
+    ingest.ingest_batch(events, 0, page_rows(spark, 1), base)
+    assert ingest.rejects(spark, base).count() == 3
+    for _ in range(2):  # an attempt made again changes nothing
+        ingest.retry_missing(spark, page_rows(spark, 1, 2), base, 1)
+        assert sorted(r.reason for r in ingest.rejects(spark, base).collect()) == ["page missing", "undecodable"]
+    ingest.retry_missing(spark, page_rows(spark, 1, 2, 3), base, 2)
+    assert [r.reason for r in ingest.rejects(spark, base).collect()] == ["undecodable"]
+    assert sorted(r.platform_id for r in ingest.current_listings(spark, base).collect()) == ["1", "2", "3"]
+
+
 def test_compaction_keeps_the_current_rows(spark, raw, tmp_path):
     events = ingest.event_rows(raw.limit(20), F.lit(1))
     ingest.ingest_batch(events, 0, raw, str(tmp_path / "out"))

@@ -55,10 +55,22 @@ def test_one_hot_key_in_a_batch(spark, target):
 
 def test_children(spark):
     children = spark.createDataFrame([(1, "old"), (2, "kept")], "platform_merchant_id bigint, name string")
-    schema = "id bigint, menu_items array<struct<name: string, price: double>>"
-    batch = spark.createDataFrame([(1, [("x", 1.0), ("y", None)]), (2, [])], schema)
-    assert rows(tb.replace_children(children, batch), "platform_merchant_id", "name") == [(1, "x"), (1, "y"), (2, "kept")]
-    assert tb.append_children(children, batch).count() == 4
+    schema = "id bigint, menu_items array<struct<name: string, price: double>>, seq int"
+    batch = spark.createDataFrame([(1, [("x", 1.0), ("y", None)], 2), (2, [], 1), (1, [("before", 1.0)], 1), (1, [], 3)], schema)
+    assert rows(tb.replace_children(children, batch, ["seq"]), "platform_merchant_id", "name") == [(1, "x"), (1, "y"), (2, "kept")]
+    assert tb.append_children(children, batch).count() == 5
+
+
+def test_audit_counts_each_run_apart(spark):
+    runs = spark.createDataFrame([(1, "p", "m", None), (2, "p", "m", None), (3, "p", "m", "broke")], "id int, platform string, market string, error_detail string")
+    runs = runs.withColumns({"started_at": F.lit("2024-01-01").cast("timestamp"), "finished_at": F.lit("2024-01-02").cast("timestamp")})
+    found = spark.createDataFrame([(1,), (1,), (3,)], "run_id int")
+    assert rows(tb.crawl_audit(found, runs), "id", "status", "merchants_found") == [(1, "success", 2), (2, "success", 0), (3, "failed", 0)]
+
+
+def test_concat_keeps_large_ids_apart(spark):
+    parts = [spark.createDataFrame([(1,), (5_000_000_000,)], "id bigint") for _ in range(3)]
+    assert tb.concat_listings(parts).distinct().count() == 6
 
 
 def test_reset_drops_only_what_the_market_had(spark):
@@ -73,7 +85,9 @@ def test_detail_fills_only_stubs_with_true_values(spark):
     schema = "platform string, platform_id string, address string, lat double, lng double"
     listings = spark.createDataFrame([("p", "a", "", None, None), ("p", "b", "here", 1.0, 1.0), ("p", "c", None, 3.0, None)], schema)
     details = spark.createDataFrame([("p", "a", "found", 5.0, 0.0), ("p", "b", "other", 9.0, 9.0), ("p", "c", "", None, 4.0)], schema)
-    assert {tuple(r) for r in tb.enrich_details(listings, details).collect()} == {
+    before = details.withColumn("address", F.lit("before"))
+    crawled = details.withColumn("seq", F.lit(2)).unionByName(before.withColumn("seq", F.lit(1)))
+    assert {tuple(r) for r in tb.enrich_details(listings, crawled, ["seq"]).collect()} == {
         ("p", "a", "found", 5.0, None), ("p", "b", "here", 1.0, 1.0), ("p", "c", None, 3.0, 4.0)
     }
 
@@ -116,6 +130,23 @@ def test_page_keys_round_trip_on_disk(spark, tmp_path):
     assert (got.page_key, got.html, got.platform, got.market, got.merchant_id) == ("p/2024-01-02/m/id1.html", "<html>é\nx</html>", "p", "m", "id1")
 
 
+def test_page_keys_with_spaces_and_accents(spark, tmp_path):
+    body = tmp_path / "raw" / "p" / "2024-01-02" / "den haag"
+    body.mkdir(parents=True)
+    (body / "café + 1%.html").write_text("x")
+    got = pages.read_pages(spark, str(tmp_path / "raw"), day="2024-01-02").first()
+    assert (got.page_key, got.market, got.merchant_id) == ("p/2024-01-02/den haag/café + 1%.html", "den haag", "café + 1%")
+
+
+def test_page_table_reads_what_was_written(spark, tmp_path):
+    df = spark.createDataFrame([("p", "007", "i", "x"), ("q", "den haag", "j", "y")], "platform string, market string, merchant_id string, html string")
+    for day in ("2024-01-02", "2024-01-03"):
+        pages.write_pages(df, str(tmp_path / "table"), day)
+    back = pages.read_page_table(spark, str(tmp_path / "table"), first="2024-01-03")
+    assert rows(back, "page_key", "html") == [("p/2024-01-03/007/i.html", "x"), ("q/2024-01-03/den haag/j.html", "y")]
+    assert pages.read_page_table(spark, str(tmp_path / "table"), platform="p", last="2024-01-02").count() == 1
+
+
 def test_parsed_listings_round_trip(spark, table, tmp_path):
     from listwell.plans.catalog.tables import _listings
 
