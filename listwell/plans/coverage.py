@@ -91,8 +91,8 @@ def price_comparison(pm: DataFrame, merchants: DataFrame, matches: DataFrame) ->
     wanted = merchants.join(several, merchants["id"] == several["merchant_id"], "left_semi")
     return (
         entity_listings(pm, wanted, matches)
+        .orderBy("canonical_name", "platform", "id")
         .select("canonical_name", "platform", "market", "price_bucket", "delivery_fee", "estimated_delivery_min", "rating")
-        .orderBy("canonical_name", "platform")
     )
 
 
