@@ -50,6 +50,30 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+class Memo(dict):
+    """Results of ``work`` for the keys used last: ``most`` to twice as many of at most 64 characters.
+
+    A full memo becomes the old one, from which keys that are still in use come back.
+    """
+
+    def __init__(self, most: int, work):
+        self.most, self.work, self.old = most, work, {}
+
+    def keep(self, key, value) -> None:
+        if len(key) <= 64:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.work(key)
+        self.keep(key, value)
+        return value
+
+
 class WordHash(dict):
     """64-bit hashes of words, remembered for at most MEMO_WORDS of them."""
 

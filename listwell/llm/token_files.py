@@ -13,17 +13,22 @@ starts are prefix sums over tasks and over the chunks of a task.
 
 from __future__ import annotations
 
+import json
+import os
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from listwell.llm.common import pieces, texts
+from listwell.llm.common import Memo, pieces, texts
 
 BLOCK = 16_384
 CHUNK = 65_536
-MEMO_WORDS = 150_000
+MEMO_WORDS = 300_000
 
 CHUNK_SCHEMA = "part int, chunk int, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, planes array<binary>"
 
@@ -55,25 +60,64 @@ def from_planes(planes: list[bytes], n: int) -> np.ndarray:
     return np.concatenate(found)[:n] if found else np.zeros(0, "<u4")
 
 
-def encoder(vocabulary: str):
-    """A function from texts to arrays of ids, by the tokenizers library.
+_ENCODERS: dict[str, Callable[[list[bytes]], np.ndarray]] = {}
+
+
+def _parts_of_plain_words(spec: dict):
+    """A function from a word of printable ASCII to the pieces that the vocabulary's model gets, or None.
+
+    It is known for vocabularies that normalise and lower-case, cut by one pattern, and end a piece
+    with a suffix: printable ASCII bytes stand for themselves there.
+    """
+    rules = [r["type"] for part, many in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")) for r in (spec[part] or {}).get(many, [])]
+    if rules != ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]:
+        return None
+    split, level = spec["pre_tokenizer"]["pretokenizers"]
+    if (split["behavior"], split["invert"], level["add_prefix_space"], level["use_regex"]) != ("Removed", True, False, False):
+        return None
+    find = regex.compile(split["pattern"]["Regex"]).findall
+    return lambda word: find(word.decode().lower())
+
+
+def encoder(vocabulary: str) -> Callable[[list[bytes]], np.ndarray]:
+    """A function from the words of a text to its ids, by the tokenizers library.
 
     The vocabulary's rules never look across ASCII white space, which it drops; a text's ids are those
-    of its words one after another, and the ids of frequent words are remembered.
+    of its words one after another, and the ids of frequent words are remembered. New words of
+    printable ASCII are cut into pieces here and go to the library's model piece by piece, as most
+    pieces are known; new words of other characters go to the library together, with a digit
+    between them, which is always a token of its own. Later tasks of a Python worker find the
+    words of earlier ones.
     """
+    if vocabulary in _ENCODERS:
+        return _ENCODERS[vocabulary]
     from tokenizers import Tokenizer
 
-    tok, memo = Tokenizer.from_file(vocabulary), {}
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task on each core already
+    tok = Tokenizer.from_file(vocabulary)
+    tok.encode_special_tokens = True
+    parts, model, plain = _parts_of_plain_words(json.loads(tok.to_str())), tok.model, regex.compile(rb"[!-~]+").fullmatch
+    packed = lambda ids: np.array(ids, "<u4").tobytes()
+    whole = lambda word: packed(tok.encode(word.decode(), add_special_tokens=False).ids)
+    of_piece = Memo(MEMO_WORDS, lambda piece: packed([t.id for t in model.tokenize(piece)]))
+    memo = Memo(MEMO_WORDS, lambda word: b"".join(map(of_piece.__getitem__, parts(word))) if parts and plain(word) else whole(word))
+    between = tok.encode("0", add_special_tokens=False).ids[0]
+
+    def learn(found: list[bytes]) -> None:
+        ids = np.array(tok.encode(" 0 ".join([w.decode() for w in found]), add_special_tokens=False).ids, "<u4")
+        ends = [*np.flatnonzero(ids == between).tolist(), len(ids)]
+        if len(ends) == len(found):
+            for word, start, end in zip(found, [0, *[e + 1 for e in ends]], ends):
+                memo.keep(word, ids[start:end].tobytes())
 
     def encode(words: list[bytes]) -> np.ndarray:
-        new = list({w for w in words if w not in memo})
-        if len(memo) + len(new) > MEMO_WORDS:
-            memo.clear()
-            new = list(set(words))
-        for e, w in zip(tok.encode_batch([w.decode() for w in new], add_special_tokens=False), new):
-            memo[w] = np.array(e.ids, np.uint32).tobytes()
-        return np.frombuffer(b"".join([memo[w] for w in words]), np.uint32)
+        if parts:
+            new = [w for w in dict.fromkeys(words) if w not in memo and not w.isascii() and w not in memo.old and b"0" not in w]
+            for i in range(0, len(new), 200):
+                learn(new[i : i + 200])
+        return np.frombuffer(b"".join(map(memo.__getitem__, words)), "<u4")
 
+    _ENCODERS[vocabulary] = encode
     return encode
 
 
@@ -81,7 +125,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     """Write ``path``/chunks and ``path``/index for all documents in ascending doc_id order.
 
     ``vocabulary`` is a tokenizers file that every executor has. Null texts are empty and
-    hold the end id alone; null ids come first; rows that share an id follow in the order of
+    hold the end id alone; the names of special tokens are ordinary text; null ids come first; rows that share an id follow in the order of
     their text, and are written each. Other columns are left out.
     """
     spark = docs.sparkSession

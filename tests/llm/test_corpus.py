@@ -435,6 +435,18 @@ def test_planes_round_trip():
         assert (token_files.from_planes(token_files.to_planes(ids), n) == ids).all()
 
 
+def test_words_encoded_apart_equal_the_whole_text():
+    path, rnd = catalog.tokenizer_file("word_bpe_49k.json"), random.Random(4)
+    theirs = pytest.importorskip("tokenizers").Tokenizer.from_file(path)
+    theirs.encode_special_tokens = True
+    letters = "abzAZ09'stremvdl.,!-_<|>/w\x00\x01\x1c\x7f\x85\xa0éÉßΣσςİıﬁǺ\u030a가각👍🏽½Ⅷ٣ \n\t"
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 60))) for _ in range(4000)]
+    texts += ["", "<|endoftext|>a <|startoftext|>", "ΟΔΟΣ ΑΣ", "don't 'tis 'S it'S", "x" * 500 + " é" * 500]
+    own = token_files.encoder(path)
+    for text in texts + texts[:50]:
+        assert own(text.encode().split()).tolist() == theirs.encode(text, add_special_tokens=False).ids
+
+
 def test_token_files(spark, docs, none, tmp_path, monkeypatch):
     from tokenizers import Tokenizer
 
