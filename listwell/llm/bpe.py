@@ -27,9 +27,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listwell.llm.common import pieces
+from listwell.llm.common import Memo, pieces
 
-MEMO_WORDS = 250_000
+MEMO_WORDS = 300_000
+LONG_TEXT = 1 << 22
 MEMO_STATES = 260_000
 ROOT, NONE = 0, -1
 
@@ -196,21 +197,13 @@ class Codec:
 
     def __init__(self, ranks_path: str, pattern: str):
         ranks = read_ranks(ranks_path)
-        self.find, self.machine, self.decoder = regex.compile(pattern).findall, Transducer(ranks), Decoder(ranks)
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.pattern, self.machine, self.decoder = regex.compile(pattern), Transducer(ranks), Decoder(ranks)
+        self.memo = Memo(MEMO_WORDS, lambda match: array("I", self.machine.encode(match.encode())).tobytes())
 
     def encode(self, text: str) -> array:
-        ids, memo, encode = array("I"), self.memo, self.machine.encode
-        for match in self.find(text):
-            own = memo.get(match)
-            if own is None:
-                own = encode(match.encode())
-                if len(match) <= 64:
-                    if len(memo) >= MEMO_WORDS:
-                        memo.clear()
-                    memo[match] = own
-            ids.extend(own)
-        return ids
+        # a list of matches is quicker to make; of a very long text it would be too long
+        found = self.pattern.findall(text) if len(text) < LONG_TEXT else (m.group() for m in self.pattern.finditer(text))
+        return array("I", b"".join(map(self.memo.__getitem__, found)))
 
     def decode(self, ids) -> str:
         return self.decoder.decode(ids)
