@@ -198,6 +198,7 @@ class Codec:
     def __init__(self, ranks_path: str, pattern: str):
         ranks = read_ranks(ranks_path)
         self.pattern, self.machine, self.decoder = regex.compile(pattern), Transducer(ranks), Decoder(ranks)
+        self.decimal = {r: str(r) for r in ranks.values()}
         self.memo = Memo(MEMO_WORDS, lambda match: array("I", self.machine.encode(match.encode())).tobytes())
 
     def encode(self, text: str) -> array:
@@ -262,7 +263,7 @@ def token_digests(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str =
             ids = [own.encode(t or "") for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id"), "n_tokens": pa.array(map(len, ids), pa.int64()),
-                "ids_sha256": pa.array([sha(",".join(map(str, x)).encode()) for x in ids], pa.string()),
+                "ids_sha256": pa.array([sha(",".join(map(own.decimal.__getitem__, x)).encode()) for x in ids], pa.string()),
                 "decoded_sha256": pa.array([sha(own.decode(x).encode()) for x in ids], pa.string()),
             })
 
