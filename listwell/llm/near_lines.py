@@ -148,7 +148,8 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
     near = among.join(least, "key").where(witness < F.col("first")).select("first", F.lit(True).alias("near")).distinct()
     fate = distinct.select("line", "first").join(near, "first", "left")
     gone = lines.withColumn("place", place).join(fate, "line").where(F.col("near").isNotNull() | (F.col("first") < F.col("place")))
-    return gone.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_list("number")).alias("numbers"))
+    # a set: rows equal in id and text name the same lines
+    return gone.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_set("number")).alias("numbers"))
 
 
 def near_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -260,6 +260,21 @@ def test_lines_equal_brute_force(spark, docs, none):
     assert near_lines.near_lines(none).count() == 0
 
 
+def test_repeated_rows_lose_the_same_lines(spark):
+    """Rows equal in id and text whose line came earlier, or comes twice within the row."""
+    table = [(1, "seen before\nfirst own line"), *[(2, "kept one\nseen before\nlast one")] * 3, *[(3, "twice here\nother line\ntwice here")] * 2, *[(None, "seen before")] * 2, (4, "kept one")]
+    df = spark.createDataFrame(table, "doc_id bigint, text string").repartition(4)
+    earlier, lost = set(), {}
+    for d, text in sorted(set(table), key=lambda r: (r[0] is None, r[0] or 0)):
+        lost[d] = []
+        for k, line in enumerate(text.split("\n")):
+            lost[d] += [k] if line in earlier else []
+            earlier.add(line)
+    expected = [(d, "\n".join(x for k, x in enumerate(t.split("\n")) if k not in lost[d]), lost[d] or None) for d, t in table]
+    same(near_lines.near_lines(df), expected)
+    assert [lost[2], lost[3], lost[None], lost[4]] == [[1], [2], [0], [0]]
+
+
 # 6 -------------------------------------------------------------------------------------
 
 
