@@ -1,8 +1,9 @@
 """Quality rules by distribution divergence, in columns only.
 
 A document's histogram of character classes and its histogram of the most common words of
-its language are compared with the language's own, taken from all documents, by the
-Jensen-Shannon distance. Short documents, whose histograms are noise, are not judged by a
+its language are compared with the language's own by the Jensen-Shannon distance. The
+language's own is the mean of the histograms of its distinct texts that pass the base rules:
+neither many copies nor a long text weigh more than one. Short documents, whose histograms are noise, are not judged by a
 distance: each has a least count.
 """
 
@@ -54,7 +55,7 @@ def _repeated(h: Column) -> Column:
 
 
 def measures(base: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, lang, counts of BASE, counts per character class) of (doc_id, text, lang, text_hash)."""
+    """(doc_id, text_hash, t_hash, lang, counts of BASE, counts per character class) of (doc_id, text, lang, text_hash, t_hash)."""
     t = F.coalesce(F.col("text"), F.lit(""))
     count = lambda others: F.length(F.regexp_replace(t, others, "")).cast("bigint")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -63,14 +64,24 @@ def measures(base: DataFrame) -> DataFrame:
         F.size(w).cast("bigint").alias("n_words"), F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"), let(_windows(w), _repeated).alias("n_repeat_words"),
     ))
     return base.select(
-        "doc_id", "text_hash", "lang", *[count(p).alias("n_symbols" if name == "symbol" else f"n_{name}") for name, p in CLASSES.items()],
+        "doc_id", "text_hash", "t_hash", "lang", *[count(p).alias("n_symbols" if name == "symbol" else f"n_{name}") for name, p in CLASSES.items()],
         F.length(t).cast("bigint").alias("n_chars"), repeats.alias("n_dup_lines"), of_words.alias("w"),
     ).select("*", "w.*").drop("w")
 
 
-def common_words(docs: DataFrame, n: int = COMMON, lang: str = "lang", text: str = "text") -> DataFrame:
-    """(lang, word, share of all words): the n most frequent words of each language, over all documents; ties by code points."""
-    each = docs.select(F.col(lang).alias("lang"), F.explode(words(ascii_lower(F.col(text)))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+def common_words(held: DataFrame, special: DataFrame, n: int = COMMON) -> DataFrame:
+    """(lang, word, share): the n words with the greatest mean share in the distinct texts of each language; ties by code points.
+
+    ``special`` (t_hash, rows) has the texts that come more than once, with the number of their
+    rows, and those of MIN_WORDS or more that fail, with null. Sums are rounded, as the order of
+    rows changes their last bits.
+    """
+    counted = let(words(ascii_lower(F.col("text"))), lambda w: F.struct(F.size(w).alias("n"), F.when(F.size(w) >= MIN_WORDS, w).alias("w")))
+    marked = special.select("t_hash", "rows", F.lit(True).alias("listed"))
+    texts = held.select("lang", "t_hash", "text").join(marked, "t_hash", "left").where(F.col("listed").isNull() | F.col("rows").isNotNull())
+    weight = 1 / (F.col("of.n").cast("double") * F.coalesce("rows", F.lit(1)))
+    each = texts.select("lang", "rows", counted.alias("of")).select("lang", weight.alias("weight"), F.explode("of.w").alias("word"))
+    each = each.groupBy("lang", "word").agg(F.round(F.sum("weight"), 9).alias("n"))
     # a first cut within parts keeps the window from seeing a whole language in one task
     part = Window.partitionBy("lang", F.pmod(F.xxhash64("word"), F.lit(64))).orderBy(F.desc("n"), "word")
     first = each.withColumn("r", F.row_number().over(part)).where(F.col("r") <= n)
@@ -94,7 +105,8 @@ def quality(
     ``kept`` is false if base_failed, if the character distance is over ``max_chars``, or if
     the common-word distance is over ``max_words + word_noise / sqrt(n_words)``. The
     histogram of words has a bar for each common word and one for all others. Documents of
-    fewer than ``judged_from`` words have no distances (null). Distances lie in [0, 1].
+    fewer than ``judged_from`` words have no distances (null), nor have those of a language in which
+    every text is base_failed. Distances lie in [0, 1].
 
     A null text has no words and fails; a null lang is a language of its own. Rows that are
     equal in id, text and lang get the same answer, each its own row. An empty table gives
@@ -103,18 +115,25 @@ def quality(
     held = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.concat(F.lit("="), F.col(lang)), F.lit("-")).alias("lang"),
         F.xxhash64(F.col(doc_id), F.col(text), F.col(lang)).alias("text_hash"),
-    )
+    ).withColumn("t_hash", F.xxhash64("text", "lang"))
     found = measures(held)
-    own = ("doc_id", "text_hash", "lang")
+    own = ("doc_id", "text_hash", "t_hash", "lang")
     m = staged(found.groupBy(*own).agg(F.count("*").alias("copies"), *[F.any_value(c).alias(c) for c in found.columns if c not in own]))
     rest = F.col("n_chars") - F.col("word_chars")
     named = {c: F.col("n_symbols" if c == "symbol" else f"n_{c}") for c in CLASSES}
     letters = F.greatest(F.col("word_chars") - sum(named.values(), F.lit(0)), F.lit(0).cast("bigint"))
     classes = {"space": rest, "letter": letters} | named
     m = m.withColumns({f"c_{k}": v.cast("double") for k, v in classes.items()})
-    by_lang = m.groupBy("lang").agg(*[F.sum(F.col(f"c_{k}") * F.col("copies")).alias(f"l_{k}") for k in classes])
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    own = sum((F.col(f"c_{k}") for k in classes), F.lit(0.0))
+    distinct = m.where(F.col("n_words") >= MIN_WORDS).groupBy("lang", "t_hash").agg(
+        F.sum("copies").alias("rows"), F.any_value(failed).alias("failed"), *[F.any_value(F.col(f"c_{k}") / own).alias(f"p_{k}") for k in classes]
+    )
+    by_lang = distinct.where(~F.col("failed")).groupBy("lang").agg(*[F.sum(f"p_{k}").alias(f"l_{k}") for k in classes])
+    # written apart, so that Spark knows its size: where few texts are special, no text is shuffled for their join
+    special = staged(distinct.where(F.col("failed") | (F.col("rows") > 1)).select("t_hash", F.when(~F.col("failed"), F.col("rows")).alias("rows")))
 
-    common = common_words(held)
+    common = common_words(held, special)
     hits = (
         held.select("doc_id", "text_hash", "lang", F.explode(words(ascii_lower(F.col("text")))).alias("word"))
         .join(F.broadcast(common), ["lang", "word"])  # COMMON rows for each language
@@ -124,10 +143,9 @@ def quality(
     )
     covered = common.groupBy("lang").agg(F.sum("share").alias("q_all"))
     full = (
-        m.join(F.broadcast(by_lang), "lang").join(F.broadcast(covered), "lang", "left")  # a row for each language
+        m.join(F.broadcast(by_lang), "lang", "left").join(F.broadcast(covered), "lang", "left")  # a row for each language
         .join(hits, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("text_hash") == F.col("h_hash")), "left")
     )
-    own = sum((F.col(f"c_{k}") for k in classes), F.lit(0.0))
     langs = sum((F.col(f"l_{k}") for k in classes), F.lit(0.0))
     chars = F.lit(0.0)
     for k in classes:
@@ -142,10 +160,10 @@ def quality(
     p_rest, q_rest = F.greatest(1 - p_seen, F.lit(0.0)), F.greatest(1 - q_all, F.lit(0.0))
     word = present + F.greatest(q_all - q_seen, F.lit(0.0)) + _half(p_rest, q_rest) + _half(q_rest, p_rest)
     root = lambda x: F.sqrt(F.greatest(x / 2, F.lit(0.0)))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    measured = (F.col("n_words") >= judged_from) & langs.isNotNull()
     judged = full.select(
-        "doc_id", "text_hash", *BASE, "copies", F.when(F.col("n_words") >= judged_from, root(chars)).alias("char_distance"),
-        F.when(F.col("n_words") >= judged_from, root(word)).alias("word_distance"), failed.alias("base_failed"),
+        "doc_id", "text_hash", *BASE, "copies", F.when(measured, root(chars)).alias("char_distance"),
+        F.when(measured, root(word)).alias("word_distance"), failed.alias("base_failed"),
     )
     far = (F.coalesce("char_distance", F.lit(0.0)) > max_chars) | (
         F.coalesce("word_distance", F.lit(0.0)) > max_words + word_noise / F.sqrt("n_words")

@@ -394,6 +394,21 @@ def test_quality_distances(spark):
     assert found[5].word_distance == pytest.approx(math.sqrt(js))
 
 
+@pytest.mark.parametrize("junk", ["copies", "long", "failed"])
+def test_quality_reference_is_not_moved_by_junk(spark, junk):
+    """Over a third of a language is one junk text, many times or a long one, or junk that fails the base rules."""
+    rnd = random.Random(9)
+    good = [sentence(rnd, 200) for _ in range(30)]
+    word = lambda: "".join(rnd.choice("BCDFGHJKLM#$%") for _ in range(9))
+    bad = {"copies": [" ".join(word() for _ in range(200))] * 20, "long": [" ".join(word() for _ in range(6000))], "failed": [" ".join(["$$$$ #### BUY NOW"] * 60 + [str(i)]) for i in range(60)]}[junk]
+    table = [(i, t, "en") for i, t in enumerate(good + bad)] + [(900, "xx xx xx " * 60, "fr"), (901, "few words", "fr")]
+    found = {r.doc_id: r for r in quality.quality(spark.createDataFrame(table, "doc_id bigint, text string, lang string").repartition(4)).collect()}
+    assert len(found) == len(table)
+    assert [i for i in range(30) if not found[i].kept] == []
+    assert not any(found[i].kept for i in range(30, len(good + bad)))
+    assert [(found[i].kept, found[i].char_distance, found[i].word_distance) for i in (900, 901)] == [(False, None, None)] * 2
+
+
 # 9 -------------------------------------------------------------------------------------
 
 
