@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from listwell.llm.bpe import token_digests
 from listwell.llm.common import shared_folder, table
+from listwell.llm.fingerprints import as_text, fingerprints
 from listwell.llm.mixing import mix
 from listwell.llm.near_lines import near_lines
 from listwell.llm.near_vectors import near_vectors
@@ -81,6 +82,14 @@ def op10(spark, sf_dir):
     return read_digests(spark, path)
 
 
+def op13(spark, sf_dir):
+    made = fingerprints(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n_chars", "edited_sha256", as_text(F.col("vector")).alias("fingerprint"),
+        as_text(F.col("edited_vector")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 OP4_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
@@ -124,4 +133,5 @@ ENTRIES = {
     "op8_quality_rules": (op8, None),
     "op9_secret_scan": (op9, None),
     "op10_token_files": (op10, None),
+    "op13_multiset_fingerprint": (op13, None),
 }

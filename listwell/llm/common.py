@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from listwell.session import ensure_checkpoint_dir
@@ -35,6 +35,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(rows: DataFrame, order: list[Column | str], name: str = "number") -> DataFrame:
+    """The rows, staged, with their places 0, 1, … in the order given (nulls first when ascending).
+
+    Ranges of the order go to partitions, which count their rows; only one offset per
+    partition is broadcast. Columns of the order should tell most rows apart, as rows
+    equal in all of them share a partition.
+    """
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = staged(dealt.withColumn("_place", F.monotonically_increasing_id()))
+    part = F.shiftright("_place", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("_part", (before - F.shiftleft("_part", 33)).alias("_offset"))
+    return (
+        placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+        .withColumn(name, F.col("_place") + F.col("_offset")).drop("_part", "_place", "_offset")
+    )
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; none for a null or blank text."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
