@@ -35,15 +35,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def numbered(rows: DataFrame, order: list[Column | str], name: str = "number") -> DataFrame:
-    """The rows, staged, with their places 0, 1, … in the order given (nulls first when ascending).
+def numbered(rows: DataFrame, order: list[Column | str], keep: list[Column | str] | None = None, name: str = "number") -> DataFrame:
+    """The rows (``keep`` of their columns), staged, with their places 0, 1, … in the order given, nulls first when ascending.
 
     Ranges of the order go to partitions, which count their rows; only one offset per
     partition is broadcast. Columns of the order should tell most rows apart, as rows
     equal in all of them share a partition.
     """
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = staged(dealt.withColumn("_place", F.monotonically_increasing_id()))
+    placed = staged(dealt.select(*(keep or ["*"]), F.monotonically_increasing_id().alias("_place")))
     part = F.shiftright("_place", 33)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     before = F.coalesce(F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -1,22 +1,21 @@
 """Document fingerprints: a homomorphic multiset hash over paragraphs, in Spark functions alone.
 
-A paragraph (a text between line feeds) hashes to a wide vector: one number of word
-windows, eight uniform numbers of 32 bits, and 189 counters, where counter i says how many
-of the paragraph's word windows have bit i of their hash set. A window is up to three
+A paragraph (a text between line feeds) hashes to a wide vector: its number of word
+windows, eight uniform numbers of 32 bits, and 124 counters, where counter i says how many
+of the paragraph's word windows have bit i of their hashes set. A window is up to three
 words of a line, counted from its start. A text's fingerprint is the sum of the
-vectors of its paragraphs, modulo 2**32 for the uniform numbers and 2**20 for the rest.
+vectors of its paragraphs, modulo 2**32 for the uniform numbers and 2**30 for the rest.
 Sums do not depend on order, and a paragraph is put in or taken out by adding or
 subtracting its vector (``plus``, ``minus``) without the rest of the text.
 
 The uniform numbers tell multisets of paragraphs apart. The counters also say how alike two
 texts are: twice a counter less the number of windows is a random projection of the
 multiset of windows, so the cosine of two such rows estimates the cosine of the multisets,
-with a standard error of about 0.07.
+with a standard error of about 0.09.
 
-Three counters share a long, each with a spare bit above it that takes the carry and is
-masked off after each addition; no sum can overflow, however long a text is. Likeness reads
-differences modulo 2**20 as signed numbers, which holds until one window is repeated half
-a million times in a text.
+Two counters share a long. Each has 30 bits and a spare one above that takes the carry of an
+addition and is masked off after it. A text has at most 2**31 bytes and so fewer windows
+than 31 bits can count, which makes the sums exact before they are reduced.
 """
 
 from __future__ import annotations
@@ -27,9 +26,9 @@ from pyspark.sql import functions as F
 from listwell.llm.common import numbered, staged
 
 WINDOW = r"[^\x20\x09-\x0D]++(?:[\x20\x09\x0B-\x0D]++[^\x20\x09-\x0D]++){0,2}"
-UNIFORM, HASHES, SHIFTS, LANE_BITS = 4, 3, 21, 21
-LANE, WORD = 2**20 - 1, 2**32 - 1
-ONES = sum(1 << LANE_BITS * lane for lane in range(3))
+UNIFORM, HASHES, SHIFTS, LANES, LANE_BITS = 4, 2, 31, 2, 31
+LANE, WORD = 2**30 - 1, 2**32 - 1
+ONES = sum(1 << LANE_BITS * lane for lane in range(LANES))
 MASKS = [LANE, *[WORD] * (2 * UNIFORM), *[LANE * ONES] * (HASHES * SHIFTS)]
 UNITS = [1, *[1] * (2 * UNIFORM), *[ONES] * (HASHES * SHIFTS)]
 PACKED = 1 + 2 * UNIFORM
@@ -39,33 +38,29 @@ def _longs(values: list[int]) -> Column:
     return F.array(*[F.lit(v).cast("bigint") for v in values])
 
 
-def _sum(values: Column, term, mask: int) -> Column:
-    """The sum of ``term`` over an array, masked after every addition."""
-    return F.aggregate(values, F.lit(0).cast("bigint"), lambda total, x: (total + term(x)).bitwiseAND(F.lit(mask)))
+def vectors(rows: DataFrame, text: str, keys: list[str], name: str = "vector") -> DataFrame:
+    """(keys, vector) of a text column. ``keys`` name a row.
 
-
-def with_vector(df: DataFrame, text: str, name: str, none: Column | None = None) -> DataFrame:
-    """Adds a text column's vector. Null counts as an empty text, which is one empty paragraph.
-
-    Where ``none`` holds there are no paragraphs at all and the vector is zero.
+    Null counts as an empty text, which is one empty paragraph. Windows become rows that are
+    summed within their partition at once, so one row of sums travels for each text.
     """
     value = F.coalesce(text, F.lit(""))
-    paragraphs, windows = F.split(value, "\n"), F.regexp_extract_all(value, F.lit(WINDOW), F.lit(0))
-    if none is not None:
-        paragraphs = F.when(none, F.array().cast("array<string>")).otherwise(paragraphs)
-    hashed = lambda texts, i: F.transform(texts, lambda x: F.xxhash64(F.lit(i), x))
-    found = df.withColumns({"_paragraphs": paragraphs, "_windows": windows}).withColumns(
-        {f"_u{i}": hashed(F.col("_paragraphs"), i) for i in range(UNIFORM)} | {f"_w{i}": hashed(F.col("_windows"), i) for i in range(HASHES)}
-    )
-    own = [F.size("_windows").cast("bigint").bitwiseAND(F.lit(LANE))]
+    hashed = lambda i: F.transform(F.split(value, "\n"), lambda p: F.xxhash64(F.lit(i), p))
+    total = lambda c, part: F.aggregate(c, F.lit(0).cast("bigint"), lambda s, h: (s + part(h)).bitwiseAND(F.lit(WORD)))
+    uniform = []
     for i in range(UNIFORM):
-        own.append(_sum(F.col(f"_u{i}"), lambda h: h.bitwiseAND(F.lit(WORD)), WORD))
-        own.append(_sum(F.col(f"_u{i}"), lambda h: F.shiftrightunsigned(h, 32), WORD))
-    for i in range(HASHES):
-        for shift in range(SHIFTS):
-            own.append(_sum(F.col(f"_w{i}"), lambda h, s=shift: F.shiftright(h, s).bitwiseAND(F.lit(ONES)), LANE * ONES))
-    helpers = ["_paragraphs", "_windows", *[f"_u{i}" for i in range(UNIFORM)], *[f"_w{i}" for i in range(HASHES)]]
-    return found.withColumn(name, F.array(*own)).drop(*helpers)
+        uniform += [total(F.col(f"_p{i}"), lambda h: h.bitwiseAND(F.lit(WORD))), total(F.col(f"_p{i}"), lambda h: F.shiftrightunsigned(h, 32))]
+    named = {f"_u{i}": c for i, c in enumerate(uniform)}
+    hashes = rows.select(*keys, F.regexp_extract_all(value, F.lit(WINDOW), F.lit(0)).alias("_all"), *[hashed(i).alias(f"_p{i}") for i in range(UNIFORM)])
+    found = hashes.select(*keys, *[c.alias(n) for n, c in named.items()], F.explode_outer("_all").alias("_w"))
+    # A text without windows has one row without a window, whose bits are all 0.
+    bits = [F.when(F.col("_w").isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64(F.lit(i), "_w")).alias(f"_h{i}") for i in range(HASHES)]
+    found = found.select(*keys, *named, "_w", *bits)
+    counters = [F.sum(F.shiftright(f"_h{i}", s).bitwiseAND(F.lit(ONES))).alias(f"_c{i}_{s}") for i in range(HASHES) for s in range(SHIFTS)]
+    summed = found.groupBy(*keys, *named).agg(F.count("_w").alias("_n"), *counters)
+    reduced = lambda c, mask: F.col(c).bitwiseAND(F.lit(mask))
+    packed = [reduced(f"_c{i}_{s}", LANE * ONES) for i in range(HASHES) for s in range(SHIFTS)]
+    return summed.select(*keys, F.array(reduced("_n", LANE), *[F.col(n) for n in named], *packed).alias(name))
 
 
 def plus(a: Column, b: Column) -> Column:
@@ -80,20 +75,20 @@ def minus(a: Column, b: Column) -> Column:
     return F.transform(a, lambda x, i: (x + F.get(b, i).bitwiseXOR(F.get(masks, i)) + F.get(units, i)).bitwiseAND(F.get(masks, i)))
 
 
-def _signed(vector: Column) -> Column:
-    """Twice each counter less the number of windows, as a signed residue."""
-    half, n = 2**19, F.get(vector, F.lit(0))
+def signed(vector: Column) -> Column:
+    """Twice each counter less the number of windows, as a signed residue: what likeness is read from."""
+    half, n = 2**29, F.get(vector, F.lit(0))
     one = lambda p, lane: (
         (F.shiftright(p, LANE_BITS * lane).bitwiseAND(F.lit(LANE)) * 2 - n + half).bitwiseAND(F.lit(LANE)) - half
     ).cast("double")
     packed = F.slice(vector, PACKED + 1, HASHES * SHIFTS)
-    return F.flatten(F.transform(packed, lambda p: F.array(*[one(p, lane) for lane in range(3)])))
+    return F.flatten(F.transform(packed, lambda p: F.array(*[one(p, lane) for lane in range(LANES)])))
 
 
 def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """Adds how alike two fingerprints are, 0 to 1: 1 for equal ones, 0 where just one has no window."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, t: s + t)
-    rows = df.withColumns({"_a": _signed(F.col(a)), "_b": _signed(F.col(b))})
+    rows = df.withColumns({"_a": signed(F.col(a)), "_b": signed(F.col(b))})
     rows = rows.withColumns({"_ab": dot(F.col("_a"), F.col("_b")), "_aa": dot(F.col("_a"), F.col("_a")), "_bb": dot(F.col("_b"), F.col("_b"))})
     cosine = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_ab") / F.sqrt(F.col("_aa") * F.col("_bb"))))
     value = F.when(F.col(a) == F.col(b), 1.0).when((F.col("_aa") == 0) | (F.col("_bb") == 0), 0.0).otherwise(cosine)
@@ -105,69 +100,52 @@ def as_text(vector: Column) -> Column:
     return F.array_join(F.transform(vector, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
-def _ring(docs: DataFrame) -> DataFrame:
-    """Per doc_id: the id before it, that id's least text hash, and how much of the next text it takes at most.
+def _following(rows: DataFrame) -> DataFrame:
+    """(row, doc_id, n_chars, next_row) of every row of (row, doc_id, tie, n_chars).
 
     Ids are ranked by ranges, so no task sees them all; the first follows the last.
     """
-    ids = docs.groupBy("doc_id").agg(F.min("tie").alias("tie"), F.max(F.length("text")).alias("longest"))
-    ranked = numbered(ids, ["doc_id"])
+    ids = rows.groupBy("doc_id").agg(F.min(F.struct("tie", "row")).alias("first"))
+    ranked = numbered(ids.select("doc_id", F.col("first.row").alias("row")), ["doc_id"])
     total = ranked.agg(F.count("*").alias("total"))
-    after = ranked.crossJoin(F.broadcast(total)).select(
-        ((F.col("number") + 1) % F.col("total")).alias("number"), F.col("doc_id").alias("for_id"), F.col("tie").alias("for_tie"),
-        F.expr("longest div 2").cast("int").alias("need"),
+    before = ranked.crossJoin(F.broadcast(total)).select(
+        F.pmod(F.col("number") - 1, F.col("total")).alias("number"), F.col("row").alias("next_row")
     )
-    return ranked.join(after, "number").select(F.col("doc_id").alias("r_id"), F.col("tie").alias("r_tie"), "for_id", "for_tie", "need")
+    ring = ranked.join(before, "number").select(F.col("doc_id").alias("for_id"), "next_row")
+    return rows.join(ring, F.col("doc_id").eqNullSafe(F.col("for_id"))).select("row", "doc_id", "n_chars", "next_row")
 
 
 def edited_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, next_id, speaks, head): each row with as much of the next document as it may take.
+    """(row, doc_id, n_chars, next_row, edited) of every row; ``row`` numbers the rows of ``docs`` as they are read.
+
+    ``docs`` is read several times and must give its rows in the same order each time, as a table does.
 
-    The next document is that of the next greater id; null comes before all ids and the first
-    follows the last. Where rows share an id, the one with the least 64-bit hash of its text
-    speaks for it, and all of them have the same next. Texts are shuffled once by id (both
-    joins read the same exchange); beside them only the heads travel.
+    The edited text ends in the head of the next document instead of its own last half. The next
+    document is that of the next greater id; null comes before all ids and the first follows the last.
+    Where rows share an id, the one with the least 64-bit hash of its text speaks for it, and all of them have
+    the same next. Texts are shuffled once, as both joins read one exchange. Beside them only heads travel.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ring = _ring(rows.withColumn("tie", F.xxhash64("text")))
-    heads = (
-        rows.join(ring, F.col("doc_id").eqNullSafe(F.col("r_id")), "left").where(F.xxhash64("text") == F.col("r_tie"))
-        .groupBy("for_id", "for_tie", F.col("doc_id").alias("next_id")).agg(F.min(F.col("text").substr(F.lit(1), F.col("need"))).alias("head"))
-    )
-    joined = rows.join(heads, F.col("doc_id").eqNullSafe(F.col("for_id")), "left")
-    return joined.select("doc_id", "text", "next_id", (F.xxhash64("text") == F.col("for_tie")).alias("speaks"), "head")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), text.alias("text"))
+    light = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64(text).alias("tie"), F.length(text).alias("n_chars"))
+    wanted = _following(light).withColumnRenamed("row", "for_row")
+    half = F.expr("n_chars div 2").cast("int")
+    heads = rows.join(wanted, F.col("row") == F.col("next_row")).select("for_row", "doc_id", "n_chars", "next_row", F.col("text").substr(F.lit(1), half).alias("head"))
+    kept = F.col("text").substr(F.lit(1), F.col("n_chars") - half)
+    joined = rows.join(heads, F.col("row") == F.col("for_row"))
+    return joined.select("row", "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), "next_row", F.concat(kept, "head").alias("edited"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, vector, edited_vector, near_edited, near_next) of every row.
 
-    The edited text ends in the head of the next document instead of its own last half. Its
-    vector comes from the paragraphs before the one that the edit begins in, which both
-    texts share, plus those of its own end. Null counts as empty. A text without a window is
-    like another such text only if their fingerprints are equal. Repeated rows give equal rows.
+    See :func:`edited_documents` for the edited text and the next document. Null counts as empty. A text without a
+    window is like another such text only if their fingerprints are equal. Repeated rows give equal rows.
     """
-    n, half = F.length("text"), F.expr("length(text) div 2").cast("int")
-    kept = F.col("text").substr(F.lit(1), n - half)
-    rows = edited_documents(docs).select(
-        "doc_id", "text", "next_id", "speaks", n.cast("bigint").alias("n_chars"), kept.alias("kept"),
-        F.concat(kept, F.col("head").substr(F.lit(1), half)).alias("edited"),
-    )
-    last = F.instr(F.reverse("kept"), "\n")
-    rows = rows.withColumn("shared", F.when(last > 0, F.length("kept") - last + 1).otherwise(0))
-    rows = rows.select(
-        "doc_id", "next_id", "speaks", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), (F.col("shared") == 0).alias("none"),
-        F.col("text").substr(F.lit(1), F.col("shared") - 1).alias("same"), F.col("text").substr(F.col("shared") + 1, n).alias("old"),
-        F.col("edited").substr(F.col("shared") + 1, F.length("edited")).alias("new"),
-    )
-    for text, name, none in (("same", "v_same", F.col("none")), ("old", "v_old", None), ("new", "v_new", None)):
-        rows = with_vector(rows, text, name, none)
-    made = staged(
-        rows.select(
-            "doc_id", "next_id", "speaks", "n_chars", "edited_sha256", plus(F.col("v_same"), F.col("v_old")).alias("vector"),
-            plus(F.col("v_same"), F.col("v_new")).alias("edited_vector"),
-        )
-    )
-    spoken = made.where("speaks").select(F.col("doc_id").alias("n_id"), F.col("vector").alias("n_vector")).dropDuplicates(["n_id"])
-    joined = made.join(spoken, F.col("next_id").eqNullSafe(F.col("n_id")), "left")
-    near = with_likeness(with_likeness(joined, "vector", "edited_vector", "near_edited"), "vector", "n_vector", "near_next")
+    edits = edited_documents(docs).withColumn("edited_sha256", F.sha2("edited", 256))
+    edited = vectors(edits, "edited", ["row", "doc_id", "next_row", "n_chars", "edited_sha256"], "edited_vector")
+    own = staged(vectors(docs.select(F.monotonically_increasing_id().alias("row"), "text"), "text", ["row"]))
+    after = own.select(F.col("row").alias("next_row"), F.col("vector").alias("next_vector"))
+    joined = edited.join(own, "row").join(after, "next_row")
+    near = with_likeness(with_likeness(joined, "vector", "edited_vector", "near_edited"), "vector", "next_vector", "near_next")
     return near.select("doc_id", "n_chars", "edited_sha256", "vector", "edited_vector", "near_edited", "near_next")
