@@ -42,25 +42,29 @@ def vectors(rows: DataFrame, text: str, keys: list[str], name: str = "vector") -
     """(keys, vector) of a text column. ``keys`` name a row.
 
     Null counts as an empty text, which is one empty paragraph. Windows become rows that are
-    summed within their partition at once, so one row of sums travels for each text.
+    summed within their partition at once; where the rows are dealt by one of the keys
+    already, nothing is shuffled.
     """
     value = F.coalesce(text, F.lit(""))
-    hashed = lambda i: F.transform(F.split(value, "\n"), lambda p: F.xxhash64(F.lit(i), p))
+    windows, paragraphs = F.regexp_extract_all(value, F.lit(WINDOW), F.lit(0)), F.split(value, "\n")
+    under = lambda i: F.transform(paragraphs, lambda p: F.xxhash64(F.lit(i), p)).alias(f"_p{i}")
+    hashed = rows.select(*keys, windows.alias("_all"), *map(under, range(UNIFORM)))
     total = lambda c, part: F.aggregate(c, F.lit(0).cast("bigint"), lambda s, h: (s + part(h)).bitwiseAND(F.lit(WORD)))
-    uniform = []
+    uniform = {}
     for i in range(UNIFORM):
-        uniform += [total(F.col(f"_p{i}"), lambda h: h.bitwiseAND(F.lit(WORD))), total(F.col(f"_p{i}"), lambda h: F.shiftrightunsigned(h, 32))]
-    named = {f"_u{i}": c for i, c in enumerate(uniform)}
-    hashes = rows.select(*keys, F.regexp_extract_all(value, F.lit(WINDOW), F.lit(0)).alias("_all"), *[hashed(i).alias(f"_p{i}") for i in range(UNIFORM)])
-    found = hashes.select(*keys, *[c.alias(n) for n, c in named.items()], F.explode_outer("_all").alias("_w"))
+        uniform[f"_u{2 * i}"] = total(f"_p{i}", lambda h: h.bitwiseAND(F.lit(WORD)))
+        uniform[f"_u{2 * i + 1}"] = total(f"_p{i}", lambda h: F.shiftrightunsigned(h, 32))
+    # Worked out before the windows become rows, or it would be done for each of them.
+    whole = hashed.select(*keys, "_all", *[c.alias(n) for n, c in uniform.items()])
+    found = whole.select(*keys, *uniform, F.explode_outer("_all").alias("_w"))
     # A text without windows has one row without a window, whose bits are all 0.
     bits = [F.when(F.col("_w").isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64(F.lit(i), "_w")).alias(f"_h{i}") for i in range(HASHES)]
-    found = found.select(*keys, *named, "_w", *bits)
+    found = found.select(*keys, *uniform, "_w", *bits)
     counters = [F.sum(F.shiftright(f"_h{i}", s).bitwiseAND(F.lit(ONES))).alias(f"_c{i}_{s}") for i in range(HASHES) for s in range(SHIFTS)]
-    summed = found.groupBy(*keys, *named).agg(F.count("_w").alias("_n"), *counters)
+    summed = found.groupBy(*keys, *uniform).agg(F.count("_w").alias("_n"), *counters)
     reduced = lambda c, mask: F.col(c).bitwiseAND(F.lit(mask))
     packed = [reduced(f"_c{i}_{s}", LANE * ONES) for i in range(HASHES) for s in range(SHIFTS)]
-    return summed.select(*keys, F.array(reduced("_n", LANE), *[F.col(n) for n in named], *packed).alias(name))
+    return summed.select(*keys, F.array(reduced("_n", LANE), *[F.col(n) for n in uniform], *packed).alias(name))
 
 
 def plus(a: Column, b: Column) -> Column:
@@ -101,51 +105,59 @@ def as_text(vector: Column) -> Column:
 
 
 def _following(rows: DataFrame) -> DataFrame:
-    """(row, doc_id, n_chars, next_row) of every row of (row, doc_id, tie, n_chars).
+    """(row, doc_id, n_chars, copies, next_row) of every different row of (row, doc_id, n_chars).
 
     Ids are ranked by ranges, so no task sees them all; the first follows the last.
     """
-    ids = rows.groupBy("doc_id").agg(F.min(F.struct("tie", "row")).alias("first"))
-    ranked = numbered(ids.select("doc_id", F.col("first.row").alias("row")), ["doc_id"])
+    rows = staged(rows.groupBy("row", "doc_id", "n_chars").agg(F.count("*").alias("copies")))
+    ranked = numbered(rows.groupBy("doc_id").agg(F.min("row").alias("row")), ["doc_id"])
     total = ranked.agg(F.count("*").alias("total"))
     before = ranked.crossJoin(F.broadcast(total)).select(
         F.pmod(F.col("number") - 1, F.col("total")).alias("number"), F.col("row").alias("next_row")
     )
     ring = ranked.join(before, "number").select(F.col("doc_id").alias("for_id"), "next_row")
-    return rows.join(ring, F.col("doc_id").eqNullSafe(F.col("for_id"))).select("row", "doc_id", "n_chars", "next_row")
+    return rows.join(ring, F.col("doc_id").eqNullSafe(F.col("for_id"))).drop("for_id")
 
 
 def edited_documents(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, n_chars, next_row, edited) of every row; ``row`` numbers the rows of ``docs`` as they are read.
+    """(row, doc_id, n_chars, copies, next_row, text, edited) of every different (doc_id, text).
 
-    ``docs`` is read several times and must give its rows in the same order each time, as a table does.
-
-    The edited text ends in the head of the next document instead of its own last half. The next
-    document is that of the next greater id; null comes before all ids and the first follows the last.
-    Where rows share an id, the one with the least 64-bit hash of its text speaks for it, and all of them have
-    the same next. Texts are shuffled once, as both joins read one exchange. Beside them only heads travel.
+    ``row`` is a 128-bit digest of both, ``copies`` says how many rows they have. The edited text ends in the
+    head of the next document instead of its own last half. The next document is that of the
+    next greater id; null comes before all ids and the first follows the last. Where an id has several texts,
+    the one with the least digest speaks for it, and all have the same next. Texts are shuffled
+    once, as both joins read one exchange; beside them only heads travel.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), text.alias("text"))
-    light = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64(text).alias("tie"), F.length(text).alias("n_chars"))
-    wanted = _following(light).withColumnRenamed("row", "for_row")
+    row = F.unhex(F.substring(F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text), 256), 1, 32)).alias("row")
+    rows = docs.select(row, text.alias("text")).dropDuplicates(["row"])
+    wanted = _following(docs.select(row, "doc_id", F.length(text).alias("n_chars"))).withColumnRenamed("row", "for_row")
     half = F.expr("n_chars div 2").cast("int")
-    heads = rows.join(wanted, F.col("row") == F.col("next_row")).select("for_row", "doc_id", "n_chars", "next_row", F.col("text").substr(F.lit(1), half).alias("head"))
+    heads = rows.join(wanted, F.col("row") == F.col("next_row")).select(
+        "for_row", "doc_id", "n_chars", "copies", "next_row", F.col("text").substr(F.lit(1), half).alias("head")
+    )
     kept = F.col("text").substr(F.lit(1), F.col("n_chars") - half)
     joined = rows.join(heads, F.col("row") == F.col("for_row"))
-    return joined.select("row", "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), "next_row", F.concat(kept, "head").alias("edited"))
+    return joined.select("row", "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), "copies", "next_row", "text", F.concat(kept, "head").alias("edited"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, vector, edited_vector, near_edited, near_next) of every row.
 
     See :func:`edited_documents` for the edited text and the next document. Null counts as empty. A text without a
-    window is like another such text only if their fingerprints are equal. Repeated rows give equal rows.
+    window is like another such text only if their fingerprints are equal. Repeated rows are worked on once and
+    give equal rows.
     """
-    edits = edited_documents(docs).withColumn("edited_sha256", F.sha2("edited", 256))
-    edited = vectors(edits, "edited", ["row", "doc_id", "next_row", "n_chars", "edited_sha256"], "edited_vector")
-    own = staged(vectors(docs.select(F.monotonically_increasing_id().alias("row"), "text"), "text", ["row"]))
-    after = own.select(F.col("row").alias("next_row"), F.col("vector").alias("next_vector"))
-    joined = edited.join(own, "row").join(after, "next_row")
-    near = with_likeness(with_likeness(joined, "vector", "edited_vector", "near_edited"), "vector", "next_vector", "near_next")
-    return near.select("doc_id", "n_chars", "edited_sha256", "vector", "edited_vector", "near_edited", "near_next")
+    own = ["row", "doc_id", "n_chars", "copies", "next_row", "edited_sha256"]
+    both = edited_documents(docs).select(*own[:-1], F.sha2("edited", 256).alias("edited_sha256"), F.array("text", "edited").alias("texts"))
+    each = vectors(both.select(*own, F.posexplode("texts").alias("which", "body")), "body", [*own, "which"])
+    side = lambda which: F.max(F.when(F.col("which") == which, F.col("vector")))
+    made = staged(each.groupBy(*own).agg(side(0).alias("vector"), side(1).alias("edited_vector")))
+    after = made.select(F.col("row").alias("next_row"), F.col("vector").alias("next_vector"))
+    near = with_likeness(with_likeness(made.join(after, "next_row"), "vector", "edited_vector", "near_edited"), "vector", "next_vector", "near_next")
+    # Copies come back in stretches, so that no row holds a long list of them.
+    stretch = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(copies - 1) div 1000"))).alias("stretch")
+    results = ["doc_id", "n_chars", "edited_sha256", "vector", "edited_vector", "near_edited", "near_next"]
+    rows = near.select(*results, "copies", stretch)
+    rest = F.least(F.col("copies") - F.col("stretch") * 1000, F.lit(1000)).cast("int")
+    return rows.select(*results, F.explode(F.array_repeat(F.lit(0), rest)).alias("copy")).drop("copy")
