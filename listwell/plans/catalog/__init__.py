@@ -6,9 +6,9 @@ None where no SQL can say it.
 
 from __future__ import annotations
 
-from listwell.plans.catalog import matching, pages, reports, streams, tables, texts
+from listwell.plans.catalog import matching, pages, places, reports, streams, tables, texts
 
-MODULES = (reports, tables, texts, matching, pages, streams)
+MODULES = (reports, tables, texts, matching, places, pages, streams)
 
 
 def entries() -> dict:
