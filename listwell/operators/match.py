@@ -77,7 +77,7 @@ def signatures(fields: DataFrame) -> DataFrame:
     )
 
 
-def _own_keys(sigs: DataFrame, parts: tuple[str, ...]) -> DataFrame:
+def own_keys(sigs: DataFrame, parts: tuple[str, ...]) -> DataFrame:
     """Right side: for each field its own value and the mark for "any"."""
     out = sigs
     for part in parts:
@@ -85,19 +85,19 @@ def _own_keys(sigs: DataFrame, parts: tuple[str, ...]) -> DataFrame:
     return out
 
 
-def _partner_keys(sigs: DataFrame, partners: DataFrame, parts: tuple[str, ...]) -> DataFrame:
+def partner_keys(sigs: DataFrame, similar: DataFrame, parts: tuple[str, ...]) -> DataFrame:
     """Left side: for each field every key of its value, with the score of the two values."""
     out = sigs
     for part in parts:
         key = KEY_OF[part]
-        own = partners.where(F.col("part") == part).select(
+        own = similar.where(F.col("part") == part).select(
             "market", F.col("value").alias(part), F.col("key").alias(key), F.col("score").alias(f"{key}_score")
         )
         out = out.join(own, ["market", part])
     return out
 
 
-def _partners(sigs: DataFrame, parts: tuple[str, ...], near: DataFrame) -> DataFrame:
+def partners(sigs: DataFrame, parts: tuple[str, ...], near: DataFrame) -> DataFrame:
     """(part, market, value, key, score): every key a field value emits on the left side.
 
     ``near`` holds the similar pairs (part, market, value_a, value_b, score).
@@ -131,12 +131,12 @@ def _address_partners(sigs: DataFrame) -> DataFrame:
     fields = F.array(*[F.struct(F.lit(p).alias("part"), F.col(p).alias("value")) for p in first])
     values = sigs.select("market", F.inline(fields)).where("value <> ''").distinct()
     near = similar_pairs(values, values, ["market", "part"], ["market", "part"])
-    short = cut_lineage(_partners(sigs, first, near))
+    short = cut_lineage(partners(sigs, first, near))
     numbers = ("street_number",)
     streets = _similar_in_market(
-        "street_name", _partner_keys(sigs, short, numbers), _own_keys(sigs, numbers), [KEY_OF["street_number"]]
+        "street_name", partner_keys(sigs, short, numbers), own_keys(sigs, numbers), [KEY_OF["street_number"]]
     ).withColumn("part", F.lit("street_name"))
-    return short.unionByName(_partners(sigs, ("street_name",), streets))
+    return short.unionByName(partners(sigs, ("street_name",), streets))
 
 
 def _name_partners(sigs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
@@ -150,10 +150,10 @@ def _name_partners(sigs: DataFrame, left: DataFrame, right: DataFrame) -> DataFr
 
 def matching_sides(sigs: DataFrame) -> Sides:
     """Left and right rows whose equal (market, other, keys) means a match."""
-    right = _own_keys(sigs, PARTS).select("sid", "side", "market", "name", *KEYS)
+    right = own_keys(sigs, PARTS).select("sid", "side", "market", "name", *KEYS)
     # Most combinations of similar values exist nowhere; they go before names are looked at.
     there = right.select("market", *KEYS).distinct()
-    keyed = _partner_keys(sigs, cut_lineage(_address_partners(sigs)), PARTS)
+    keyed = partner_keys(sigs, cut_lineage(_address_partners(sigs)), PARTS)
     left = keyed.select("sid", "side", "market", "name", *KEYS, *[f"{k}_score" for k in KEYS])
     left = cut_lineage(left.join(there, ["market", *KEYS], "left_semi"))
     names = cut_lineage(_name_partners(sigs, left, right))
@@ -221,7 +221,7 @@ def rule_based_match(pm: DataFrame) -> DataFrame:
     )
 
 
-def _key_edges(sides: Sides) -> DataFrame:
+def key_edges(sides: Sides) -> DataFrame:
     """Edges (src, dst) that tie together what matches, one per signature and key.
 
     Signatures of one single platform do not match each other, so a key stands for
@@ -239,8 +239,8 @@ def _key_edges(sides: Sides) -> DataFrame:
     return tied.join(least, node).select(F.col("sid").alias("src"), F.col("low").alias("dst")).distinct()
 
 
-def _members(fields: DataFrame, sigs: DataFrame, sides: Sides) -> DataFrame:
-    labels = connected_components(_key_edges(sides))
+def members_of(fields: DataFrame, sigs: DataFrame, sides: Sides) -> DataFrame:
+    labels = connected_components(key_edges(sides))
     named = sigs.join(labels.select(F.col("member_id").alias("sid"), "entity_id"), "sid")
     members = fields.join(named.select(*SIGNATURE, "sid", "entity_id"), list(SIGNATURE))
     return cut_lineage(members.select("entity_id", "id", "platform", "sid"))
@@ -250,7 +250,7 @@ def cluster_listings(pm: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(entity_id, id, platform, sid) of all matched listings, and the signatures used."""
     fields = cut_lineage(_resolvable(pm))
     sigs = cut_lineage(signatures(fields))
-    return _members(fields, sigs, matching_sides(sigs)), sigs
+    return members_of(fields, sigs, matching_sides(sigs)), sigs
 
 
 def _listing_pairs(fields: DataFrame, sigs: DataFrame, sides: Sides) -> DataFrame:
@@ -312,11 +312,10 @@ def _agreement(a: str, b: str) -> tuple[Column, Column]:
 def member_confidence(members: DataFrame, sigs: DataFrame) -> DataFrame:
     """Members with their confidence: the score against the entity's first listing where the two match."""
     as_struct = sigs.select("sid", F.struct("name", *PARTS).alias("sig"))
-    roots = members.where(F.col("id") == F.col("entity_id")).select("entity_id", F.col("platform").alias("root_platform"))
+    roots = members.where(F.col("id") == F.col("entity_id")).select("entity_id", F.col("platform").alias("root_platform"), F.col("sid").alias("root_sid"))
     pairs = members.select("entity_id", "sid").distinct()
-    scored = pairs.join(as_struct, "sid").join(
-        as_struct.select(F.col("sid").alias("entity_id"), F.col("sig").alias("root")), "entity_id"
-    )
+    root_sigs = roots.join(as_struct.select(F.col("sid").alias("root_sid"), F.col("sig").alias("root")), "root_sid")
+    scored = pairs.join(as_struct, "sid").join(root_sigs.select("entity_id", "root"), "entity_id")
     good, confidence = _agreement("sig", "root")
     scored = scored.select("entity_id", "sid", good.alias("agrees"), confidence.alias("score"))
     direct = F.col("agrees") & (F.col("platform") != F.col("root_platform"))
@@ -403,7 +402,7 @@ def resolution_stats(pm: DataFrame) -> DataFrame:
     fields = cut_lineage(_resolvable(rows))
     sigs = cut_lineage(signatures(fields))
     sides = matching_sides(sigs)
-    members = _members(fields, sigs, sides)
+    members = members_of(fields, sigs, sides)
     figure = lambda name, value: F.struct(F.lit(name).alias("figure"), value.cast("bigint").alias("value"))
     per_platform = rows.groupBy("platform").agg(F.count("*").alias("n")).select(F.concat(F.lit("rows "), "platform").alias("figure"), F.col("n").alias("value"))
     clusters = members.agg(F.count("*").alias("n"), F.count_distinct("entity_id").alias("c")).select(

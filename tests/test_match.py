@@ -102,7 +102,7 @@ def test_copies_of_one_listing_are_one_signature(spark):
     fields = mt.match_fields(frame(spark, copies + others))
     sigs = mt.signatures(fields)
     assert sigs.where("name = 'pizza roma'").count() == 1
-    edges = mt._key_edges(mt.matching_sides(sigs))
+    edges = mt.key_edges(mt.matching_sides(sigs))
     assert edges.count() < 10 * sigs.count()
     members, _ = mt.cluster_listings(frame(spark, copies + others))
     assert members.where("entity_id = 1").count() == 3000
