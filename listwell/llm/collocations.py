@@ -2,12 +2,13 @@
 
 Texts are packed into chunks of one language each and become word ids, ranked by frequency
 within the language, so that frequent words have small ids. The plane of (left id, right id) is
-cut into tiles of TILE x TILE cells. A chunk counts its neighbouring pairs tile by tile, and
-a tile's counts meet in one stream: a tile that gets many entries is added up in a dense array
-addressed by the cell (``numpy.bincount`` within a chunk), a sparse one as sorted coordinates.
-Pairs found often enough are ranked and get ids themselves; (pair id, next word id) is counted
-in the same way, and so on for longer phrases. A phrase can only be frequent if all its
-parts are, so nothing else is ever looked at.
+cut into tiles: 1,024 ids wide at first, and twice as wide as before from there on, because what is
+rarer fills less; in large languages tiles are sliced by their left ids too. A chunk counts its
+neighbouring pairs tile by tile, and a tile's counts meet in one stream: a tile that is full enough
+is added up in a dense array addressed by the pair (``numpy.bincount`` within a chunk), a sparse
+one as sorted coordinates. Pairs found often enough are ranked and get ids themselves; (pair id,
+next word id) is counted in the same way, and so on for longer phrases. A phrase can only be
+frequent if all its parts are, so nothing else is ever looked at.
 
 No task holds more than a chunk or a tile. Chunks do not hold a dictionary of the corpus:
 they ask for the ids of their own distinct words and pairs. A tile that lies in very many
@@ -20,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -32,19 +34,21 @@ from listwell.llm.common import numbered, pieces, staged, texts
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 UPPER = bytes(range(ord("A"), ord("Z") + 1))
 FOLD = bytes.maketrans(UPPER + SEPARATORS + b"\t", UPPER.lower() + b"\n" * len(SEPARATORS) + b" ")
-CHUNK_BYTES, SLICE_BYTES = 8_000_000, 1_000_000
-TILE_BITS = 10
-TILE, CELLS, CELL_BITS = 1 << TILE_BITS, 1 << 2 * TILE_BITS, 2 * TILE_BITS
-#: Ids of one language and length; a tile's two numbers have 22 bits each.
-MOST_IDS = 1 << 32
-DENSE_FROM = CELLS // 8
+CHUNK_BYTES, SLICE_BYTES = 16_000_000, 1_000_000
+#: Ids of one language and length are below 2^32. Bands begin at 0, 1,024, 2,048, 4,096, …
+MOST_IDS, FIRST_BITS = 1 << 32, 10
+BANDS = np.array([0, *[1 << b for b in range(FIRST_BITS, 32)]], np.uint64)
+WIDTHS = np.array([1 << FIRST_BITS, *[1 << b for b in range(FIRST_BITS, 32)]], np.uint64)
+#: Words of a language per slice of its tiles; cells up to which a tile may be a dense array.
+SLICE_WORDS, MOST_CELLS = 1 << 26, 1 << 22
+COMPACT_FROM = 1 << 21
 FAN = 256
 
 CHUNKS = "chunk bigint, lang string, vocab array<string>, counts array<bigint>, seq binary"
-ENCODED = "chunk bigint, lang string, ids binary"
-TILES = "lang string, tile bigint, chunk bigint, cells binary, counts binary"
+ENCODED = "chunk bigint, lang string, slices bigint, ids binary"
+TILES = "lang string, tile bigint, chunk bigint, pairs binary, counts binary"
 COUNTED = "lang string, l bigint, r bigint, a bigint"
-ANSWERS = "chunk bigint, words int, tile bigint, cells binary, ids binary"
+ANSWERS = "chunk bigint, words int, pairs binary, ids binary"
 
 
 def _batch(schema: str, columns: list) -> pa.RecordBatch:
@@ -107,12 +111,11 @@ def _to_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(batch.column("lang").to_pylist(), texts(batch, "text")):
             for part in _slices(text.translate(FOLD) + b"\n"):
                 held.setdefault(lang, _Chunk()).add(part)
-                # A chunk ends only where a piece does; all end together, so that many languages take no more memory.
+                # A chunk ends only where a piece does. The largest goes when all are too large together.
                 if part.endswith(b"\n") and sum(c.size for c in held.values()) >= CHUNK_BYTES:
-                    for name, chunk in held.items():
-                        yield chunk.row(task << 33 | done, name)
-                        done += 1
-                    held = {}
+                    name = max(held, key=lambda x: held[x].size)
+                    yield held.pop(name).row(task << 33 | done, name)
+                    done += 1
     for name, chunk in held.items():
         yield chunk.row(task << 33 | done, name)
         done += 1
@@ -132,131 +135,166 @@ def _ranked(counted: DataFrame, name: list[str]) -> DataFrame:
     return placed.withColumn("id", fits.cast("bigint")).drop("number", "first", "ids")
 
 
-def _encoded(chunks: DataFrame, words: DataFrame) -> DataFrame:
-    """Chunks as word ids; -1 stands for rare words and for ends of pieces."""
+def _encoded(chunks: DataFrame, words: DataFrame, totals: DataFrame) -> DataFrame:
+    """Chunks as word ids, with the number of slices of their language; -1 stands for rare words and for ends of pieces."""
     asked = chunks.select("chunk", "lang", F.posexplode("vocab").alias("at", "word"))
     known = asked.join(words.select("lang", "word", "id"), ["lang", "word"]).select(F.col("chunk").alias("chunk"), "at", "id")
 
     def encode(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = []
-        for chunk, lang, seq in zip(*(left.column(c).to_pylist() for c in ("chunk", "lang", "seq"))):
+        for chunk, lang, slices, seq in zip(*(left.column(c).to_pylist() for c in ("chunk", "lang", "slices", "seq"))):
             local = _unpacked(seq, np.int32)
             ids = np.full(int(local.max(initial=-1)) + 2, -1, np.int64)
             ids[right.column("at").to_numpy()] = right.column("id").to_numpy()
-            rows.append((chunk, lang, _packed(ids[local])))  # -1 takes the last, which is -1
-        return pa.Table.from_batches([_batch(ENCODED, list(zip(*rows)) if rows else [[], [], []])])
+            rows.append((chunk, lang, slices, _packed(ids[local])))  # -1 takes the last, which is -1
+        return pa.Table.from_batches([_batch(ENCODED, list(zip(*rows)) if rows else [[]] * 4)])
 
-    seqs = chunks.select("chunk", "lang", "seq")
+    slices = totals.select("lang", F.expr(f"1 + n div {SLICE_WORDS}").alias("slices"))
+    seqs = chunks.select("chunk", "lang", "seq").join(slices, "lang")
     return staged(seqs.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(encode, ENCODED))
 
 
-def _cell_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Tile of the left id, tile of the right id, cell: one number, in the order of tiles and cells."""
-    left, right = left.astype(np.uint64), right.astype(np.uint64)
-    t, low = np.uint64(TILE_BITS), np.uint64(TILE - 1)
-    tile = (left >> t) << np.uint64(22) | right >> t
-    return tile << np.uint64(CELL_BITS) | (left & low) << t | right & low
-
-
 def _pair_keys(symbols: np.ndarray, ids: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places, keys) of phrases of ``words`` + 1 words; ``symbols`` are ids of those of ``words`` words by place."""
+    """(places, pairs) of phrases of ``words`` + 1 words; ``symbols`` are ids of those of ``words`` words by place.
+
+    A pair is one number: left id, then right id.
+    """
     n = len(ids) - words
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     at = np.flatnonzero((symbols[:n] >= 0) & (symbols[1 : n + 1] >= 0) & (ids[words:] >= 0))
-    return at, _cell_keys(symbols[at], ids[at + words])
+    return at, symbols[at].astype(np.uint64) << np.uint64(32) | ids[at + words].astype(np.uint64)
+
+
+def _halves(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)
+
+
+def _counted_pairs(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs in order with their counts; those of the first tile, the fullest by far, by bincount."""
+    left, right = _halves(pairs)
+    first = (left < WIDTHS[0]) & (right < WIDTHS[0])
+    cells = int(WIDTHS[0]) ** 2
+    if np.count_nonzero(first) < cells // 8:
+        return np.unique(pairs, return_counts=True)
+    dense = np.bincount((left[first] << np.uint64(FIRST_BITS) | right[first]).astype(np.int64), minlength=cells)
+    full = np.flatnonzero(dense)
+    own = (full >> FIRST_BITS).astype(np.uint64) << np.uint64(32) | (full & (1 << FIRST_BITS) - 1).astype(np.uint64)
+    others, counts = np.unique(pairs[~first], return_counts=True)
+    found, counts = np.concatenate([own, others]), np.concatenate([dense[full], counts])
+    order = np.argsort(found, kind="stable")
+    return found[order], counts[order]
+
+
+def _tile_of(pairs: np.ndarray, slices: int) -> np.ndarray:
+    """Band of the left id, band of the right id, slice of the left band, as one number. The first tile has one slice."""
+    left, right = _halves(pairs)
+    a, b = (np.searchsorted(BANDS, x, side="right") - 1 for x in (left, right))
+    part = ((left - BANDS[a]) * np.uint64(slices) // WIDTHS[a]).astype(np.int64)
+    return (a << 5 | b) << 32 | np.where((a == 0) & (b == 0), 0, part)
+
+
+def _tile_rows(chunk: int, lang: str, slices: int, pairs: np.ndarray) -> pa.RecordBatch:
+    pairs, counts = _counted_pairs(pairs)
+    tiles = _tile_of(pairs, slices)
+    order = np.argsort(tiles, kind="stable")  # pairs stay in order within a tile
+    pairs, counts, tiles = pairs[order], counts[order].astype(np.uint32), tiles[order]
+    starts = np.flatnonzero(np.diff(tiles, prepend=-1))
+    ends = [*starts[1:], len(tiles)]
+    rows = [(int(tiles[s]), _pairs_out(pairs[s:e]), _packed(counts[s:e])) for s, e in zip(starts, ends)]
+    n = len(rows)
+    return _batch(TILES, [[lang] * n, [r[0] for r in rows], [chunk] * n, [r[1] for r in rows], [r[2] for r in rows]])
 
 
-def _counted_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order with their counts; the first tile, the fullest by far, by bincount."""
-    first = keys < CELLS
-    if np.count_nonzero(first) < DENSE_FROM:
-        return np.unique(keys, return_counts=True)
-    dense = np.bincount(keys[first].astype(np.int64), minlength=CELLS)
-    cells = np.flatnonzero(dense)
-    others, counts = np.unique(keys[~first], return_counts=True)
-    return np.concatenate([cells.astype(np.uint64), others]), np.concatenate([dense[cells], counts])
+def _pairs_out(pairs: np.ndarray) -> bytes:
+    """Sorted pairs as differences, which compress well."""
+    return _packed(np.diff(pairs, prepend=np.uint64(0)))
 
 
-def _tile_rows(chunk: int, lang: str, keys: np.ndarray) -> pa.RecordBatch:
-    keys, counts = _counted_keys(keys)
-    tiles, cells = (keys >> np.uint64(CELL_BITS)).astype(np.int64), (keys & np.uint64(CELLS - 1)).astype(np.uint32)
-    counts = counts.astype(np.uint32)
-    starts = np.flatnonzero(np.diff(tiles, prepend=-1))
-    ends = [*starts[1:], len(tiles)]
-    cut = lambda values: [values[s:e].tobytes() for s, e in zip(starts, ends)]
-    n = len(starts)
-    return _batch(TILES, [[lang] * n, tiles[starts], [chunk] * n, cut(cells), cut(counts)])
+def _pairs_in(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data, np.uint64), dtype=np.uint64)
 
 
 def _symbols(ids: np.ndarray, answers: pa.Table, words: int) -> np.ndarray:
     """Ids of the phrases of ``words`` words by place, from the answers for 2, 3, … words; -1 where there is none."""
     symbols, length = ids, np.asarray(answers.column("words"))
     for level in range(2, words + 1):
-        own = answers.filter(pa.array(length == level)).sort_by("tile")
+        own = answers.filter(pa.array(length == level))
         next_symbols = np.full(len(ids), -1, np.int64)
         if own.num_rows:
-            cells = [np.frombuffer(c, np.uint32) for c in own.column("cells").to_pylist()]
-            tiles = np.repeat(np.asarray(own.column("tile")).astype(np.uint64), [len(c) for c in cells])
-            known = tiles << np.uint64(CELL_BITS) | np.concatenate(cells).astype(np.uint64)
-            named = np.concatenate([np.frombuffer(i, np.int64) for i in own.column("ids").to_pylist()])
-            at, keys = _pair_keys(symbols, ids, level - 1)
-            place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-            next_symbols[at] = np.where(known[place] == keys, named[place], -1)
+            known = np.concatenate([_pairs_in(c) for c in own.column("pairs").to_pylist()])
+            named = np.concatenate([_unpacked(i, np.int64) for i in own.column("ids").to_pylist()])
+            order = np.argsort(known)
+            known, named = known[order], named[order]
+            at, pairs = _pair_keys(symbols, ids, level - 1)
+            place = np.minimum(np.searchsorted(known, pairs), len(known) - 1)
+            next_symbols[at] = np.where(known[place] == pairs, named[place], -1)
         symbols = next_symbols
     return symbols
 
 
 def _tiles(encoded: DataFrame, answers: DataFrame | None, words: int) -> DataFrame:
-    """Per chunk and tile: the cells of phrases of ``words`` + 1 words that are in it, and how often each is."""
+    """Per chunk and tile: the pairs that make phrases of ``words`` + 1 words, and how often each is there."""
+    own = ("chunk", "lang", "slices", "ids")
     if words == 1:
 
         def alone(batches):
             for batch in batches:
-                for chunk, lang, data in zip(*(batch.column(c).to_pylist() for c in ("chunk", "lang", "ids"))):
+                for chunk, lang, slices, data in zip(*(batch.column(c).to_pylist() for c in own)):
                     ids = _unpacked(data, np.int64)
-                    yield _tile_rows(chunk, lang, _pair_keys(ids, ids, 1)[1])
+                    yield _tile_rows(chunk, lang, slices, _pair_keys(ids, ids, 1)[1])
 
         return encoded.mapInArrow(alone, TILES)
 
     def longer(left: pa.Table, right: pa.Table) -> pa.Table:
         found = []
-        for chunk, lang, data in zip(*(left.column(c).to_pylist() for c in ("chunk", "lang", "ids"))):
+        for chunk, lang, slices, data in zip(*(left.column(c).to_pylist() for c in own)):
             ids = _unpacked(data, np.int64)
-            found.append(_tile_rows(chunk, lang, _pair_keys(_symbols(ids, right, words), ids, words)[1]))
+            found.append(_tile_rows(chunk, lang, slices, _pair_keys(_symbols(ids, right, words), ids, words)[1]))
         return pa.Table.from_batches(found or [_batch(TILES, [[]] * 5)])
 
     return encoded.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(longer, TILES)
 
 
 class _Tile:
-    """Counts of one tile: sorted coordinates while there are few, a dense array beyond."""
+    """Counts of one tile: sorted coordinates while it is sparse, an array with a cell for each pair once it is full enough."""
 
-    def __init__(self):
-        self.cells, self.counts, self.entries, self.dense = [], [], 0, None
+    def __init__(self, tile: int):
+        a, b = tile >> 37, tile >> 32 & 31
+        self.left, self.right, self.width = int(BANDS[a]), int(BANDS[b]), int(WIDTHS[b])
+        self.area = int(WIDTHS[a]) * self.width
+        self.pairs, self.counts, self.entries, self.dense = [], [], 0, None
 
-    def add(self, cells: np.ndarray, counts: np.ndarray) -> None:
+    def _cells(self, pairs: np.ndarray) -> np.ndarray:
+        left, right = _halves(pairs)
+        return (left.astype(np.int64) - self.left) * self.width + right.astype(np.int64) - self.right
+
+    def add(self, pairs: np.ndarray, counts: np.ndarray) -> None:
         if self.dense is not None:
-            self.dense[cells] += counts  # a row has a cell once
+            self.dense[self._cells(pairs)] += counts  # a row has a pair once
             return
-        self.cells.append(cells)
-        self.counts.append(counts)
-        self.entries += len(cells)
-        if self.entries > DENSE_FROM:
-            total = np.zeros(CELLS, np.int64)
-            for c, n in zip(self.cells, self.counts):
-                total[c] += n
-            self.cells, self.counts, self.dense = [], [], total
+        self.pairs.append(pairs)
+        self.counts.append(counts.astype(np.int64))
+        self.entries += len(pairs)
+        if self.area <= MOST_CELLS and self.entries > self.area // 8:
+            dense = np.zeros(self.area, np.int64)
+            for p, n in zip(self.pairs, self.counts):
+                dense[self._cells(p)] += n
+            self.pairs, self.counts, self.dense = [], [], dense
+        elif self.entries > COMPACT_FROM and len(self.pairs) > 1 and self.entries > 2 * len(self.pairs[0]):
+            pairs, counts = self.totals()
+            self.pairs, self.counts, self.entries = [pairs], [counts], len(pairs)
 
     def totals(self) -> tuple[np.ndarray, np.ndarray]:
         if self.dense is not None:
             cells = np.flatnonzero(self.dense)
-            return cells, self.dense[cells]
-        cells, counts = np.concatenate(self.cells), np.concatenate(self.counts).astype(np.int64)
-        order = np.argsort(cells, kind="stable")
-        cells, counts = cells[order], counts[order]
-        starts = np.flatnonzero(np.diff(cells.astype(np.int64), prepend=-1))
-        return cells[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+            left, right = cells // self.width + self.left, cells % self.width + self.right
+            return left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64), self.dense[cells]
+        pairs, counts = np.concatenate(self.pairs), np.concatenate(self.counts)
+        order = np.argsort(pairs, kind="stable")
+        pairs, counts = pairs[order], counts[order]
+        starts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]]) if len(pairs) else np.zeros(0, np.int64)
+        return pairs[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
 def _merged(tiles: DataFrame, chunks: int, least: int) -> DataFrame:
@@ -265,92 +303,94 @@ def _merged(tiles: DataFrame, chunks: int, least: int) -> DataFrame:
     Rounds add up to FAN rows of a tile each, the last one all that are left.
     """
 
-    def streams(batches, finish, empty):
+    def streams(batches, finish):
         key, tile = None, None
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("lang", "tile", "salt", "cells", "counts")))
-            for lang, number, salt, cells, counts in rows:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("lang", "tile", "salt", "whole", "pairs", "counts")))
+            for lang, number, salt, whole, pairs, counts in rows:
                 if (lang, number, salt) != key:
                     if tile is not None:
                         yield finish(key, *tile.totals())
-                    key, tile = (lang, number, salt), _Tile()
-                counts = np.frombuffer(counts, np.uint32 if len(counts) == len(cells) else np.int64)
-                tile.add(np.frombuffer(cells, np.uint32), counts)
+                    key, tile = (lang, number, salt), _Tile(number)
+                tile.add(_pairs_in(pairs), _unpacked(counts, np.int64 if whole else np.uint32))
         if tile is not None:
             yield finish(key, *tile.totals())
 
     def partial(batches):
-        finish = lambda key, cells, counts: _batch(
-            TILES, [[key[0]], [key[1]], [key[2]], [cells.astype(np.uint32).tobytes()], [counts.astype(np.int64).tobytes()]]
-        )
-        yield from streams(batches, finish, TILES)
+        yield from streams(batches, lambda key, pairs, counts: _batch(TILES, [[key[0]], [key[1]], [key[2]], [_pairs_out(pairs)], [_packed(counts)]]))
 
     def final(batches):
-        def finish(key, cells, counts):
+        def finish(key, pairs, counts):
             often = counts >= least
-            cells, counts = cells[often].astype(np.int64), counts[often]
-            left = (key[1] >> 22) * TILE + (cells >> TILE_BITS)
-            right = (key[1] & (1 << 22) - 1) * TILE + (cells & TILE - 1)
-            return _batch(COUNTED, [[key[0]] * len(cells), left, right, counts])
+            left, right = _halves(pairs[often])
+            return _batch(COUNTED, [[key[0]] * len(left), left.astype(np.int64), right.astype(np.int64), counts[often]])
 
-        yield from streams(batches, finish, COUNTED)
+        yield from streams(batches, finish)
 
-    def dealt(rows, salts):
-        salted = rows.withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(salts)))
-        return salted.repartition("lang", "tile", "salt").sortWithinPartitions("lang", "tile", "salt").select("lang", "tile", "salt", "cells", "counts")
+    def dealt(rows, salts, whole):
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(salts))).withColumn("whole", F.lit(whole))
+        by = ["lang", "tile", "salt"]
+        return salted.repartition(*by).sortWithinPartitions(*by).select(*by, "whole", "pairs", "counts")
 
+    whole = False
     while chunks > FAN:
         chunks = -(-chunks // FAN)
-        tiles = dealt(tiles, chunks).mapInArrow(partial, TILES)
-    return dealt(tiles, 1).mapInArrow(final, COUNTED)
+        tiles, whole = dealt(tiles, chunks, whole).mapInArrow(partial, TILES), True
+    return dealt(tiles, 1, whole).mapInArrow(final, COUNTED)
 
 
-def _answered(tiles: DataFrame, phrases: DataFrame, chunks: int, words: int) -> DataFrame:
+def _answered(tiles: DataFrame, phrases: DataFrame, encoded: DataFrame, chunks: int, words: int) -> DataFrame:
     """Ids of the frequent phrases of ``words`` words for each chunk that has them, staged.
 
-    A tile's frequent cells come first in its stream and stay while its chunks pass.
+    A tile's frequent pairs come first in its stream and stay while its chunks pass.
     """
     salt = F.pmod(F.xxhash64("chunk"), F.lit(-(-chunks // FAN) or 1)).alias("salt")
-    asking = tiles.select("lang", "tile", salt, "chunk", "cells")
+    asking = tiles.select("lang", "tile", salt, "chunk", "pairs")
     where = asking.select("lang", "tile", "salt").distinct()
-    low = TILE - 1
-    tile = F.shiftleft(F.shiftright("l", TILE_BITS), 22).bitwiseOR(F.shiftright("r", TILE_BITS)).alias("tile")
-    cell = F.shiftleft(F.col("l").bitwiseAND(F.lit(low)), TILE_BITS).bitwiseOR(F.col("r").bitwiseAND(F.lit(low))).alias("cell")
-    known = phrases.select("lang", tile, cell, "id").join(where, ["lang", "tile"])
-    none = F.lit(None)
-    rows = known.select("lang", "tile", "salt", none.cast("bigint").alias("chunk"), none.cast("binary").alias("cells"), "cell", "id").unionByName(
-        asking.select("lang", "tile", "salt", "chunk", "cells", none.cast("bigint").alias("cell"), none.cast("bigint").alias("id"))
+
+    @F.pandas_udf("bigint")
+    def tile_of(left: pd.Series, right: pd.Series, slices: pd.Series) -> pd.Series:
+        pairs = left.to_numpy(np.uint64) << np.uint64(32) | right.to_numpy(np.uint64)
+        found = np.zeros(len(pairs), np.int64)
+        for n in slices.unique():
+            found[slices == n] = _tile_of(pairs[slices == n], int(n))
+        return pd.Series(found)
+
+    slices = encoded.select("lang", "slices").distinct()
+    known = phrases.join(slices, "lang").select("lang", tile_of("l", "r", "slices").alias("tile"), "l", "r", "id").join(where, ["lang", "tile"])
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    rows = known.select("lang", "tile", "salt", none("bigint", "chunk"), none("binary", "pairs"), "l", "r", "id").unionByName(
+        asking.select("lang", "tile", "salt", "chunk", "pairs", none("bigint", "l"), none("bigint", "r"), none("bigint", "id"))
     )
-    rows = rows.repartition("lang", "tile", "salt").sortWithinPartitions("lang", "tile", "salt", F.asc_nulls_first("chunk"), "cell")
+    rows = rows.repartition("lang", "tile", "salt").sortWithinPartitions("lang", "tile", "salt", F.asc_nulls_first("chunk"), "l", "r")
 
     def answer(batches):
-        key, cells_known, ids_known, table = None, [], [], None
+        key, pairs_known, ids_known, table = None, [], [], None
         for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            tiles_, salts = (batch.column(c).to_numpy() for c in ("tile", "salt"))
             numbers = batch.column("chunk")
             asks = numbers.is_valid().to_numpy(zero_copy_only=False)
             # Runs of rows of one kind and tile.
-            kinds = list(zip(langs, tiles_.tolist(), salts.tolist(), asks.tolist()))
+            kinds = list(zip(*(batch.column(c).to_pylist() for c in ("lang", "tile", "salt")), asks.tolist()))
             starts = [i for i, kind in enumerate(kinds) if i == 0 or kind != kinds[i - 1]]
             out = []
             for start, end in zip(starts, [*starts[1:], len(kinds)]):
                 if kinds[start][:3] != key:
-                    key, cells_known, ids_known, table = kinds[start][:3], [], [], None
+                    key, pairs_known, ids_known, table = kinds[start][:3], [], [], None
                 if not asks[start]:
-                    cells_known.append(batch.column("cell").slice(start, end - start).to_numpy())
-                    ids_known.append(batch.column("id").slice(start, end - start).to_numpy())
+                    left, right, ids = (batch.column(c).slice(start, end - start).to_numpy() for c in ("l", "r", "id"))
+                    pairs_known.append(left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64))
+                    ids_known.append(ids)
                     continue
-                if not cells_known:
+                if not pairs_known:
                     continue
                 if table is None:
-                    table = np.concatenate(cells_known), np.concatenate(ids_known)
+                    table = np.concatenate(pairs_known), np.concatenate(ids_known)
                 for i in range(start, end):
-                    cells = np.frombuffer(batch.column("cells")[i].as_py(), np.uint32)
-                    place = np.minimum(np.searchsorted(table[0], cells), len(table[0]) - 1)
-                    hit = table[0][place] == cells
+                    pairs = _pairs_in(batch.column("pairs")[i].as_py())
+                    place = np.minimum(np.searchsorted(table[0], pairs), len(table[0]) - 1)
+                    hit = table[0][place] == pairs
                     if hit.any():
-                        out.append((numbers[i].as_py(), words, key[1], cells[hit].tobytes(), table[1][place[hit]].tobytes()))
+                        out.append((numbers[i].as_py(), words, _pairs_out(pairs[hit]), _packed(table[1][place[hit]])))
             if out:
                 yield _batch(ANSWERS, list(zip(*out)))
 
@@ -368,7 +408,7 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, least: int = 10) -> tuple
     listed = chunks.select("lang", F.inline(F.arrays_zip("vocab", "counts"))).groupBy("lang", F.col("vocab").alias("word")).agg(F.sum("counts").alias("a"))
     totals = chunks.select("lang", F.aggregate("counts", F.lit(0).cast("bigint"), lambda s, x: s + x).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
     words = _ranked(listed.where(F.col("a") >= least), ["word"])
-    encoded = _encoded(chunks, words)
+    encoded = _encoded(chunks, words, totals)
     nothing, no_id = F.array().cast("array<bigint>"), F.lit(None).cast("bigint")
     level = words.select("lang", "id", F.col("word").alias("phrase"), F.col("word").alias("last"), "a", nothing.alias("prefixes"), nothing.alias("suffixes"), no_id.alias("prefix"), no_id.alias("suffix"))
     levels, pairs, answers = [level], None, None
@@ -392,7 +432,7 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, least: int = 10) -> tuple
         levels.append(staged(level))
         pairs = found
         if length < max_words:
-            own = _answered(tiles, found, n_chunks, length)
+            own = _answered(tiles, found, encoded, n_chunks, length)
             answers = own if answers is None else answers.unionByName(own)
     return totals, levels
 

@@ -77,6 +77,7 @@ def test_collocations(spark, monkeypatch, most, least, percent, top):
         monkeypatch.setattr(collocations, "SLICE_BYTES", 50)
         monkeypatch.setattr(collocations, "CHUNK_BYTES", 400)
         monkeypatch.setattr(collocations, "FAN", 3)
+        monkeypatch.setattr(collocations, "SLICE_WORDS", 2_000)
     rows = some_texts()
     found = collocations.collocations(docs_of(spark, rows).repartition(4), most, least, percent)
     got = collocations.best_per_language(found, top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
@@ -88,21 +89,38 @@ def test_collocations_of_nothing(spark):
     assert collocations.best_per_language(collocations.collocations(docs_of(spark, [(1, "once only", "en")]))).count() == 0
 
 
-def test_tiles_dense_and_sparse_agree():
+def test_tiles_dense_and_sparse_agree(monkeypatch):
     import numpy as np
 
     rnd = np.random.default_rng(1)
-    tile, plain = collocations._Tile(), np.zeros(collocations.CELLS, np.int64)
-    for n in (5, 100_000, 90_000, 7):
-        cells = np.unique(rnd.integers(0, collocations.CELLS, n)).astype(np.uint32)
-        counts = rnd.integers(1, 9, len(cells)).astype(np.uint32)
-        plain[cells] += counts
-        tile.add(cells, counts)
-        got = tile.totals()
-        assert (got[0] == np.flatnonzero(plain)).all() and (got[1] == plain[got[0]]).all()
-    keys = rnd.integers(0, 1 << 21, 400_000).astype(np.uint64)
-    for a, b in zip(collocations._counted_keys(keys), np.unique(keys, return_counts=True)):
-        assert (a == b).all()
+    monkeypatch.setattr(collocations, "COMPACT_FROM", 1_000)
+    for a, b in ((0, 0), (1, 0), (2, 1), (9, 7)):  # the last are too large for so few entries
+        low, wide = collocations.BANDS, collocations.WIDTHS
+        tile, plain = collocations._Tile((a << 5 | b) << 32), collections.Counter()
+        for n in (5, 90_000, 80_000, 7):
+            left, right = rnd.integers(low[a], low[a] + wide[a], n, np.uint64), rnd.integers(low[b], low[b] + wide[b], n, np.uint64)
+            pairs = np.unique(left << np.uint64(32) | right)
+            counts = rnd.integers(1, 9, len(pairs)).astype(np.uint32)
+            assert (collocations._pairs_in(collocations._pairs_out(pairs)) == pairs).all()
+            assert set(collocations._tile_of(pairs, 1)) == {(a << 5 | b) << 32}
+            for p, c in zip(pairs.tolist(), counts.tolist()):
+                plain[p] += c
+            tile.add(pairs, counts)
+            got = tile.totals()
+            assert got[0].tolist() == sorted(plain) and got[1].tolist() == [plain[p] for p in sorted(plain)]
+        assert (tile.dense is not None) == (a < 2)
+    pairs = rnd.integers(0, 1200, 400_000).astype(np.uint64) << np.uint64(32) | rnd.integers(0, 1200, 400_000).astype(np.uint64)
+    for x, y in zip(collocations._counted_pairs(pairs), np.unique(pairs, return_counts=True)):
+        assert (x == y).all()
+
+
+def test_slices_part_the_left_ids():
+    import numpy as np
+
+    pairs = np.arange(1024, 4096).astype(np.uint64) << np.uint64(32) | np.uint64(5)
+    tiles = collocations._tile_of(pairs, 4)
+    assert len(set(tiles)) == 8 and (np.diff(tiles) >= 0).all()
+    assert set(collocations._tile_of(np.arange(1024).astype(np.uint64), 4)) == {0}
 
 
 def test_scores_are_exact(spark):
