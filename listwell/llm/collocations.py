@@ -34,7 +34,7 @@ from listwell.llm.common import numbered, pieces, staged, texts
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 UPPER = bytes(range(ord("A"), ord("Z") + 1))
 FOLD = bytes.maketrans(UPPER + SEPARATORS + b"\t", UPPER.lower() + b"\n" * len(SEPARATORS) + b" ")
-CHUNK_BYTES, SLICE_BYTES = 16_000_000, 1_000_000
+CHUNK_BYTES, SLICE_BYTES = 10_000_000, 1_000_000
 #: Ids of one language and length are below 2^32. Bands begin at 0, 1,024, 2,048, 4,096, …
 MOST_IDS, FIRST_BITS = 1 << 32, 10
 BANDS = np.array([0, *[1 << b for b in range(FIRST_BITS, 32)]], np.uint64)
