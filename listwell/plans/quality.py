@@ -128,13 +128,22 @@ def dq_anomalies_by_platform(pm: DataFrame) -> DataFrame:
     )
 
 
-def listing_counters(listings: DataFrame) -> DataFrame:
-    """Per platform and market: listings lacking address, cuisine or coordinates (0 counts as lacking)."""
+def listing_counters(listings: DataFrame, *by: Column) -> DataFrame:
+    """Per platform and market (and ``by``): listings lacking address, cuisine or coordinates (0 counts as lacking), bad prices of their items.
+
+    A price is bad if it is unknown or negative. Listings without a column of items have none.
+    """
     missing = lambda c: c.isNull() | F.isnan(c) | (c == 0)
-    return listings.groupBy("platform", "market").agg(
+    bad = F.lit(0)
+    if "menu_items" in listings.columns:
+        wrong = F.filter("menu_items", lambda i: i["price"].isNull() | (i["price"] < 0))
+        bad = F.when(F.col("menu_items").isNull(), 0).otherwise(F.size(wrong))
+    return listings.groupBy(*by, "platform", "market").agg(
+        F.count("*").alias("listings"),
         F.count_if(null_or_empty(F.col("address"))).alias("missing_address"),
         F.count_if(null_or_empty_array(F.col("cuisine_tags"))).alias("missing_cuisine"),
         F.count_if(missing(F.col("lat")) | missing(F.col("lng"))).alias("missing_coords"),
+        F.sum(bad).alias("invalid_price"),
     )
 
 

@@ -36,14 +36,14 @@ def events_source(spark: SparkSession, path: str | None = None, **options: str)
     return reader.options(**options).load().select(F.col("value").cast("string").alias("value"))
 
 
-def decode(events: DataFrame) -> DataFrame:
-    """Event fields next to the text, with a reason where the event cannot be used."""
+def decode(events: DataFrame, *others: str) -> DataFrame:
+    """Event fields next to the text (and ``others``), with a reason where the event cannot be used."""
     parsed = F.from_json("value", EVENT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"})
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     incomplete = reduce(lambda a, b: a | b, [blank(c) for c in ("platform", "market", "minio_key")])
     reason = F.when(F.col("broken").isNotNull() | F.col("e").isNull(), "undecodable").when(incomplete, "incomplete")
-    return events.select("value", parsed.alias("e")).select("value", "e", "e.*").select(
-        "value", "platform", "market", "merchant_id", "minio_key",
+    return events.select("value", *others, parsed.alias("e")).select("value", *others, "e", "e.*").select(
+        "value", *others, "platform", "market", "merchant_id", "minio_key",
         F.timestamp_millis((F.col("scraped_at").try_cast("double") * 1000).cast("bigint")).alias("scraped_at"), reason.alias("reason"),
     )
 
@@ -63,15 +63,20 @@ def _on(pages: DataFrame) -> list[str]:
     return [c for c in ("platform", "date", "market", "page_key") if c in pages.columns]
 
 
-def in_date_range(pages: DataFrame, events: DataFrame) -> DataFrame:
-    """Only the day folders of the page table that a micro-batch points into.
+#: Days of a micro-batch that are named to the scan; with more, the join prunes by itself.
+MOST_DAYS = 1000
 
-    Two dates come to the driver; the folders in between are pruned before the scan.
+
+def in_days(pages: DataFrame, usable: DataFrame) -> DataFrame:
+    """Only the day folders of the page table that the events of a micro-batch point into.
+
+    The days, so many as there are folders at most, come to the driver and are pruned before the scan.
+    Beyond MOST_DAYS that is left to the join on the folder columns.
     """
     if "date" not in pages.columns:
         return pages
-    first, last = _keyed(usable_events(events)).agg(F.min("date"), F.max("date")).first()
-    return pages.where(F.lit(False)) if first is None else pages.where(F.col("date").between(first, last))
+    days = [r.date for r in _keyed(usable).select("date").distinct().limit(MOST_DAYS + 1).collect()]
+    return pages if len(days) > MOST_DAYS else pages.where(F.col("date").isin([d for d in days if d is not None]))
 
 
 def fetch_pages(events: DataFrame, pages: DataFrame) -> DataFrame:
@@ -92,19 +97,28 @@ def rejected_events(events: DataFrame, pages: DataFrame) -> DataFrame:
     has_extractor = F.col("platform").isin(*LISTING_EXTRACTORS)
     reason = F.coalesce("reason", F.when(~has_extractor, "no extractor"))
     labelled = read.withColumn("reason", reason)
+    lost = missing_pages(labelled.where("reason IS NULL"), pages)
+    return labelled.where("reason IS NOT NULL").select("value", "reason").unionByName(lost.select("value", F.lit("page missing").alias("reason")))
+
+
+def missing_pages(usable: DataFrame, pages: DataFrame) -> DataFrame:
+    """Events whose page is not in the table."""
     on = _on(pages)
     there = pages.select(*on, F.lit(True).alias("there"))
-    lost = _keyed(labelled.where("reason IS NULL")).join(there, on, "left").where("there IS NULL")
-    return labelled.where("reason IS NOT NULL").select("value", "reason").unionByName(lost.select("value", F.lit("page missing").alias("reason")))
+    return _keyed(usable).join(there, on, "left").where("there IS NULL")
 
 
 def listings_of(events: DataFrame, pages: DataFrame) -> DataFrame:
-    """Normalised listings of all usable events: the batch form of the stream.
+    """Normalised listings of all usable events: the batch form of the stream."""
+    return listings_from(usable_events(events), pages)
+
+
+def listings_from(usable: DataFrame, pages: DataFrame) -> DataFrame:
+    """Normalised listings of decoded events.
 
     Events are reduced before they meet the page table, which has one body for a key, so a
     body is fetched once however often its page is announced.
     """
-    usable = usable_events(events)
     times = usable.groupBy(F.col("minio_key").alias("page_key")).agg(F.max("scraped_at").alias("scraped_at"))
     once = usable.groupBy("platform", "market", "minio_key").agg(F.max("scraped_at").alias("scraped_at"))
     rows = normalize_listings(extract_listings(fetch_pages(once, pages).drop("scraped_at")))
@@ -119,7 +133,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, pages: DataFrame, base: str) -
     spark, part = batch.sparkSession, f"batch_id={batch_id}"
     batch = batch.select("value").persist()  # texts of events, read from their source once
     try:
-        pages = in_date_range(pages, batch)
+        pages = in_days(pages, usable_events(batch))
         listings_of(batch, pages).write.mode("overwrite").parquet(f"{base}/changes/{part}")
         # What was written is read back, so pages are parsed once.
         done = spark.read.parquet(f"{base}/changes/{part}")
@@ -167,7 +181,7 @@ def compact(spark: SparkSession, base: str, into: str) -> None:
 def total_counters(spark: SparkSession, base: str) -> DataFrame:
     """Counters over all batches."""
     counted = spark.read.parquet(f"{base}/counters")
-    sums = [F.sum(c).alias(c) for c in ("missing_address", "missing_cuisine", "missing_coords")]
+    sums = [F.sum(c).alias(c) for c in ("missing_address", "missing_cuisine", "missing_coords", "invalid_price")]
     return counted.groupBy("platform", "market").agg(*sums)
 
 
