@@ -199,25 +199,21 @@ def rule_based_match(pm: DataFrame) -> DataFrame:
     """
     fields = cut_lineage(_resolvable(pm))
     sigs = cut_lineage(signatures(fields))
-    listed = fields.join(sigs, list(SIGNATURE)).select("sid", "id", "platform")
-    shown = pm.select("id", F.col("name"))
-    side = lambda s: listed.select(F.col("sid").alias(f"sid_{s}"), F.col("id").alias(f"id_{s}"), F.col("platform").alias(f"platform_{s}"))
+    listed = fields.join(sigs, list(SIGNATURE)).select("sid", "id", "platform").join(pm.select("id", F.col("name").alias("shown")), "id")
+    listed = cut_lineage(listed)
+    side = lambda s: listed.select("sid", "id", "platform", "shown").toDF(*[f"{c}_{s}" for c in ("sid", "id", "platform", "shown")])
     pairs = (
         match_signatures(matching_sides(sigs))
         .join(side("a"), "sid_a")
         .join(side("b"), "sid_b")
         .where("platform_a <> platform_b AND (sid_a <> sid_b OR id_a < id_b)")
-        .select(
-            F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "name_similarity", "confidence"
-        )
     )
-    return (
-        pairs.join(shown.select(F.col("id").alias("id_a"), F.col("name").alias("name_a")), "id_a")
-        .join(shown.select(F.col("id").alias("id_b"), F.col("name").alias("name_b")), "id_b")
-        .select(
-            "id_a", "id_b", "name_a", "name_b", "name_similarity", F.lit(None).cast("double").alias("geo_distance_m"),
-            F.lit(True).alias("address_match"), "confidence", F.lit("field_fuzzy").alias("match_method"),
-        )
+    ordered = F.col("id_a") < F.col("id_b")
+    first, second = (lambda a, b: F.when(ordered, F.col(a)).otherwise(F.col(b))), (lambda a, b: F.when(ordered, F.col(b)).otherwise(F.col(a)))
+    return pairs.select(
+        first("id_a", "id_b").alias("id_a"), second("id_a", "id_b").alias("id_b"), first("shown_a", "shown_b").alias("name_a"),
+        second("shown_a", "shown_b").alias("name_b"), "name_similarity", F.lit(None).cast("double").alias("geo_distance_m"),
+        F.lit(True).alias("address_match"), "confidence", F.lit("field_fuzzy").alias("match_method"),
     )
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from listwell.functions import similarity as sim
+from listwell.operators import fuzzy
 from listwell.operators import match as mt
 from listwell.operators.components import connected_components
 
@@ -136,3 +137,16 @@ def test_components_equal_union_find_in_any_edge_order(spark):
     wanted = clusters_of(edges)
     got = {r.member_id: r.entity_id for r in connected_components(spark.createDataFrame(edges, "src bigint, dst bigint")).collect()}
     assert got == wanted
+
+
+def test_candidates_are_few_where_names_are_alike(spark):
+    """Short names of few syllables in one block, without addresses: what meets is near what matches."""
+    rng = random.Random(1)
+    syllables = "ro ma su shi piz za ka fe ta co bu rger li no ba mi san to wok thai".split()
+    vocabulary = ["".join(rng.choice(syllables) for _ in range(rng.randint(2, 3))) for _ in range(400)]
+    vocabulary += ["restaurant", "cafe", "bar", "the", "pizza", "sushi"] * 6
+    names = sorted({" ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 3))) for _ in range(900)} | {"a b a", "a a b", "b a a a", "é é", "é"})
+    df = spark.createDataFrame([(n, "m") for n in names], "value string, market string")
+    wanted = {(a, b) for i, a in enumerate(names) for b in names[i + 1 :] if sim._fuzz(a, b) >= 80}
+    met = {(r.value_a, r.value_b) for r in fuzzy.candidate_pairs(df, df, ["market"], ["market"]).collect()}
+    assert wanted <= met and len(met) <= 10 * len(wanted)
