@@ -79,7 +79,7 @@ class Transducer:
                     self.token.append(NONE)
                 node = there
             self.token[node] = r
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}  # by both ranks in one number
         self._clear()
 
     def _clear(self) -> None:
@@ -96,11 +96,12 @@ class Transducer:
         return found
 
     def _fit(self, a: int, b: int) -> bool:
-        known = self.fits.get((a, b))
+        pair = a << 32 | b
+        known = self.fits.get(pair)
         if known is None:
-            if len(self.fits) > 4 * MEMO_STATES:
+            if len(self.fits) > 2 * MEMO_STATES:
                 self.fits.clear()
-            known = self.fits[a, b] = merged(self.bytes_of[a] + self.bytes_of[b], self.ranks) == [a, b]
+            known = self.fits[pair] = merged(self.bytes_of[a] + self.bytes_of[b], self.ranks) == [a, b]
         return known
 
     def _step(self, state: State, byte: int) -> tuple[State, tuple]:
@@ -195,11 +196,11 @@ class Decoder:
 class Codec:
     """A pattern's matches encoded one by one; the ids of frequent matches are remembered."""
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, memo_words: int = MEMO_WORDS):
         ranks = read_ranks(ranks_path)
         self.pattern, self.machine, self.decoder = regex.compile(pattern), Transducer(ranks), Decoder(ranks)
         self.decimal = {r: str(r) for r in ranks.values()}
-        self.memo = Memo(MEMO_WORDS, lambda match: array("I", self.machine.encode(match.encode())).tobytes())
+        self.memo = Memo(memo_words, lambda match: array("I", self.machine.encode(match.encode())).tobytes())
 
     def encode(self, text: str) -> array:
         # a list of matches is quicker to make; of a very long text it would be too long
@@ -210,13 +211,14 @@ class Codec:
         return self.decoder.decode(ids)
 
 
-_CODECS: dict[tuple[str, str], Codec] = {}
+_CODECS: dict[tuple[str, str, int], Codec] = {}
 
 
-def codec(ranks_path: str, pattern: str) -> Codec:
-    """The codec of this Python worker: later tasks find the tables of earlier ones."""
-    key = (ranks_path, pattern)
+def codec(ranks_path: str, pattern: str, memo_words: int = MEMO_WORDS) -> Codec:
+    """The codec of this Python worker: later tasks find the tables of earlier ones, of one codec at a time."""
+    key = (ranks_path, pattern, memo_words)
     if key not in _CODECS:
+        _CODECS.clear()
         _CODECS[key] = Codec(*key)
     return _CODECS[key]
 
@@ -249,15 +251,17 @@ def decode_documents(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFr
     return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
-def token_digests(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def token_digests(
+    docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", memo_words: int = MEMO_WORDS
+) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): each text encoded and its ids decoded again.
 
-    The digests are of the decimal ids joined by commas and of the decoded text in UTF-8.
+    ``memo_words`` matches, up to twice as many, are remembered by each worker: less takes less memory and more time. The digests are of the decimal ids joined by commas and of the decoded text in UTF-8.
     Nulls, empty texts and repeated rows as in ``encode_documents``.
     """
 
     def run(batches):
-        own = codec(ranks_path, pattern)
+        own = codec(ranks_path, pattern, memo_words)
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for b in pieces(batches, "text"):
             ids = [own.encode(t or "") for t in b.column("text").to_pylist()]
