@@ -27,7 +27,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that came earlier; one that had words and has none left goes."""
+    """Documents without the lines that came earlier; one that had words and has none left goes.
+
+    Null and empty texts stay; rows equal in id and text lose the same lines. See ``near_lines`` for what comes earlier.
+    """
     kept = near_lines(docs)
     emptied = F.col("dropped_numbers").isNotNull() & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     n_chars = F.when(F.col("dropped_numbers").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
@@ -35,7 +38,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five words a shingle, similarity 0.8 or more."""
+    """One document of each group of near duplicates: five words a shingle, similarity 0.8 or more.
+
+    Of rows equal in id and text one stays. Texts without words are like no other text and stay.
+    """
     first = shingle_join(docs, n=5, percent=80).where("first").select(F.col("doc_id").alias("k_id"), F.col("tie").alias("k_tie"))
     keyed = docs.withColumn("k_row_id", F.col("doc_id")).withColumn("k_row_tie", F.xxhash64("text"))
     same = F.col("k_row_id").eqNullSafe(F.col("k_id")) & (F.col("k_row_tie") == F.col("k_tie"))
@@ -43,13 +49,16 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each document and pass that the mix takes words from."""
+    """A row for each document and pass that the mix takes words from. Nulls, ties and repeats as in ``mixed_documents``."""
     return mixed_documents(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokens of each row: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    return token_digests(docs, tokenizer_file("byte_bpe_multi_50k.tiktoken"), tokenizer_pattern())
+    """Tokens of each row: doc_id, n_tokens, ids_sha256, decoded_sha256. Nulls count as empty; rows that repeat are answered alike.
+
+    Workers have other stages behind them, so they remember half as many matches as they do alone.
+    """
+    return token_digests(docs, tokenizer_file("byte_bpe_multi_50k.tiktoken"), tokenizer_pattern(), memo_words=150_000)
 
 
 STAGES = [
