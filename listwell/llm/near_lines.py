@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listwell.llm.common import WordHash, let, mixed, pieces, staged, texts
+from listwell.llm.common import WordHash, let, mixed, numbered, pieces, staged, texts
 
 MIN_WORDS = 10
 EMITTED = 256  # lines in a batch of variants
@@ -84,7 +84,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, tie, numbers): for each document the numbers of its lines that go.
 
-    ``rows`` has all columns, ``_d`` the id and ``_t`` a hash of the text in 32 bits, by which rows that share an id are told apart and ordered.
+    ``rows`` has all columns, ``_d`` the id and ``_t`` the rank of the text among the different texts of its id.
     """
     keyed = rows.select(F.col("_d").alias("doc_id"), F.col("_t").alias("tie"), F.col(text).alias("text"))
 
@@ -115,7 +115,7 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
     number = F.col("at").bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
     wanted = able.groupBy(F.nullif("id", F.lit(NO_ID)).alias("w_id"), F.shiftright("at", 32).cast("int").alias("w_tie")).agg(F.collect_set(number).alias("numbers"))
 
-    def emit(batches):
+    def emit(batches, places_too=True):
         hashes = WordHash()
         unpacked = (pa.RecordBatch.from_arrays([*(b.column(c) for c in (text, "numbers", "_d", "_t"))], ["text", "numbers", "_d", "_t"]) for b in batches)
         for b in pieces(unpacked, "text"):
@@ -130,6 +130,9 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
                     keys += [v, mixed(v ^ mixed(places + np.uint64(1))), whole[line : line + 1]]
                     kinds += [np.zeros(len(v), np.int8), np.ones(len(v), np.int8), np.full(1, 2, np.int8)]
                 m = 2 * (own.end - own.start)[some] + 1
+                if not places_too:
+                    yield pa.RecordBatch.from_pydict({"line": _signed(np.repeat(whole[some], m)), "key": _signed(np.concatenate(keys))})
+                    continue
                 of = pa.array(np.repeat([own.doc[x] for x in some], m))
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": b.column("_d").take(of), "tie": b.column("_t").take(of), "number": pa.array(np.repeat([own.number[x] for x in some], m), pa.int32()),
@@ -140,7 +143,8 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
     again = rows.join(wanted, F.col("_d").eqNullSafe(F.col("w_id")) & (F.col("_t") == F.col("w_tie"))).select(*rows.columns, "numbers")
     variants = again.mapInArrow(emit, "doc_id bigint, tie int, number int, line bigint, key bigint, kind byte")
     # most keys are of one line alone; they are found by two integers each, and the others go on with their places
-    met = variants.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("key")
+    keys_alone = again.mapInArrow(lambda batches: emit(batches, False), "line bigint, key bigint")
+    met = keys_alone.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a <> b").select("key")
     among = staged(variants.select("key", "kind", place.alias("p")).select("key", "kind", "p.*").join(met, "key").select("key", "kind", F.struct("id", "at").alias("first")))
     # kind 0: a variant, 1: a variant and its place, 2: a whole line
     least = among.groupBy("key").agg(F.min("first").alias("earliest"), F.min(F.when(F.col("kind") == 2, F.col("first"))).alias("whole"))
@@ -152,18 +156,42 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
     return gone.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_set("number")).alias("numbers"))
 
 
+def _ranked_texts(rows: DataFrame, text: str) -> DataFrame:
+    """Adds ``_t``: 0 where all texts of an id are equal, else the rank of the text among the id's different texts.
+
+    Texts of one id are told apart by 128 bits of hashes and their length, and ranked by the first 64. Ids with several texts are
+    found by minima and maxima alone; only their texts are ranked, by ranges, however many share an id.
+    """
+    value = F.coalesce(F.col(text), F.lit(""))
+    marks = {"_h1": F.xxhash64(value), "_h2": F.xxhash64(F.lit(1), value), "_size": F.length(value)}
+    marked = rows.select("_d", *[c.alias(name) for name, c in marks.items()])
+    differ = " OR ".join(f"min{m} <> max{m}" for m in marks)
+    ends = [f(m).alias(f"{word}{m}") for m in marks for word, f in (("min", F.min), ("max", F.max))]
+    several = marked.groupBy("_d").agg(*ends).where(differ).select(F.col("_d").alias("_e"))
+    if several.isEmpty():
+        return rows.withColumn("_t", F.lit(0))
+    texts_of = marked.join(several, F.col("_d").eqNullSafe(F.col("_e")), "left_semi").distinct()
+    ranked = numbered(texts_of, ["_d", *marks])
+    first = ranked.groupBy("_d").agg(F.min("number").alias("first")).withColumnRenamed("_d", "_e")
+    ranked = ranked.join(first, F.col("_d").eqNullSafe(F.col("_e"))).select(F.col("_d").alias("_e"), *[F.col(m).alias(f"r{m}") for m in marks], (F.col("number") - F.col("first")).cast("int").alias("_r"))
+    same = F.col("_d").eqNullSafe(F.col("_e"))
+    for m, c in marks.items():
+        same = same & (c == F.col(f"r{m}"))
+    return rows.join(ranked, same, "left").select(*rows.columns, F.coalesce("_r", F.lit(0)).alias("_t"))
+
+
 def near_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of ``docs`` with the lines that come again removed, and ``dropped_numbers``.
 
     Lines are parts between line feeds, numbered from 0; order is by doc_id, null ids last,
-    then by a hash of the text, then by number. Lines equal in their words are duplicates at
+    then by a 64-bit hash of the text, then by number. Lines equal in their words are duplicates at
     any length, within a document too; lines without words stay. A removed line goes with its line feed.
     ``dropped_numbers`` is null where no line goes; then the text, which may be null or
     empty, is as it was. Rows equal in id and text are one document: each keeps or loses the
     same lines. Hashes of 64 bits stand for lines.
     """
     own = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
-    rows = docs.select(*[F.col(c).alias(own[c]) for c in docs.columns], F.col(doc_id).cast("bigint").alias("_d"), F.shiftright(F.xxhash64(F.col(text)), 32).cast("int").alias("_t"))
+    rows = _ranked_texts(docs.select(*[F.col(c).alias(own[c]) for c in docs.columns], F.col(doc_id).cast("bigint").alias("_d")), own[text])
     gone = dropped_lines(rows, own[text], min_words).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("numbers").alias("_numbers"))
     joined = rows.join(gone, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_tie")), "left")
     whole = F.col(own[text])
