@@ -62,8 +62,14 @@ def _axes(distinct: DataFrame, width: int) -> np.ndarray:
     return np.linalg.eigh((moments + moments.T) / 2)[1][:, ::-1].copy()
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their greatest component near 1: exact, and squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def links_between(a, b, raw_a, raw_b, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of pairs with cosine >= threshold; a and b are unit rows in PCA order."""
+    raw_a, raw_b = _scaled(raw_a), _scaled(raw_b)
     width = a.shape[1]
     cuts = [c for c in BLOCKS if c < width] + [width]
     tail = lambda m, c: np.sqrt((m[:, c:] ** 2).sum(axis=1))
