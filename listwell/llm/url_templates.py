@@ -43,22 +43,31 @@ def _ruled(rules, host: Column, path: Column, value) -> Column:
 
 
 def templates(
-    paths: DataFrame, min_share: float = 0.02, min_rows: int = 4, z: float = 1.96, max_depth: int = 8
+    paths: DataFrame, min_share: float = 0.02, min_rows: int = 4, z: float = 1.96, eager_depth: int = 8
 ) -> DataFrame:
     """(host, path, template) for distinct (host, path, n, bad, labelled).
 
     A segment is constant if at least ``min_rows`` URLs and ``min_share`` of its node have
     it, and else joins the wildcard ``*``. Constants whose share of bad pages is within ``z``
     standard errors of the node's merge into ``~``; ``=name`` is a constant of its own and
-    ``$`` the end. Levels below ``max_depth`` belong to the template above them.
+    ``$`` the end. From ``eager_depth`` segments on, only nodes that still have pages of either label are
+    opened, to any depth; all below another node belongs to its template, ``...``.
     """
     held = cut_lineage(
-        paths.select("host", "path", "n", "bad", "labelled", F.split(F.regexp_replace("path", "^/", ""), "/").alias("segments"), F.lit("").alias("template"))
+        paths.select("host", "path", "n", "bad", "labelled", F.split(F.regexp_replace("path", "^/", ""), "/").alias("segments"), F.lit("").alias("template"), F.lit(False).alias("shut"))
     )
     deepest = held.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(min(deepest, max_depth)):
+    for level in range(deepest):
+        if level >= eager_depth:
+            below = held.where(~F.col("shut") & (F.size("segments") > level)).groupBy("host", "template").agg(F.sum("bad").alias("b"), F.sum("labelled").alias("l"))
+            mixed = cut_lineage(below.where("b > 0 AND b < l").select("host", "template", F.lit(True).alias("mixed")))
+            if mixed.isEmpty():
+                held = held.withColumn("shut", F.col("shut") | (F.size("segments") > level))
+                break
+            held = held.join(mixed, ["host", "template"], "left")
+            held = held.withColumn("shut", F.col("shut") | ((F.size("segments") > level) & F.col("mixed").isNull())).drop("mixed")
         now = held.withColumn("segment", F.coalesce(F.get("segments", F.lit(level)), F.lit(""))).withColumn(
-            "open", F.size("segments") > level
+            "open", ~F.col("shut") & (F.size("segments") > level)
         )
         branch = now.where("open").groupBy("host", "template", "segment").agg(
             F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")
@@ -80,11 +89,11 @@ def templates(
         )
         held = cut_lineage(
             now.join(step, ["host", "template", "segment", "open"], "left").select(
-                "host", "path", "n", "bad", "labelled", "segments",
+                "host", "path", "n", "bad", "labelled", "segments", "shut",
                 F.when(F.col("open"), F.concat("template", F.lit("/"), "step")).otherwise(F.col("template")).alias("template"),
             )
         )
-    ended = F.when(F.size("segments") <= max_depth, "/$").otherwise("/...")
+    ended = F.when(F.col("shut"), "/...").otherwise("/$")
     return held.select("host", "path", "n", "bad", "labelled", F.concat("template", ended).alias("template"))
 
 

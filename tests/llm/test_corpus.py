@@ -2,9 +2,11 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -128,6 +130,54 @@ def test_templates_generalise_merge_and_reject(spark):
     assert {r.template for r in url_templates.judge_urls(twins, even).collect()} == {"/~/*/$"}
 
 
+def plain_templates(paths, min_share=0.02, min_rows=4, z=1.96, eager=8):
+    """Templates of {(host, path): (n, bad, labelled)}, node by node from the top."""
+    found = {}
+
+    def split(host, template, level, rows):
+        ended = [r for r in rows if len(r[0]) <= level]
+        found.update({(host, r[1]): template + "/$" for r in ended})
+        rows = [r for r in rows if len(r[0]) > level]
+        bad, labelled = sum(r[3] for r in rows), sum(r[4] for r in rows)
+        if level >= eager and not 0 < bad < labelled:
+            found.update({(host, r[1]): template + "/..." for r in rows})
+            return
+        n, share, groups = sum(r[2] for r in rows), bad / labelled if labelled else None, collections.defaultdict(list)
+        for name, own in itertools.groupby(sorted(rows, key=lambda r: r[0][level]), key=lambda r: r[0][level]):
+            own = list(own)
+            m, b, k = (sum(r[i] for r in own) for i in (2, 3, 4))
+            if m < min_rows or m < min_share * n:
+                step = "*"
+            elif not k or share is None or abs(b / k - share) <= z * math.sqrt(share * (1 - share) / k):
+                step = "~"
+            else:
+                step = "=" + name
+            groups[step] += own
+        for step, own in groups.items():
+            split(host, f"{template}/{step}", level + 1, own)
+
+    for host in {h for h, _ in paths}:
+        split(host, "", 0, [(re.sub("^/", "", p).split("/"), p, *v) for (h, p), v in paths.items() if h == host])
+    return found
+
+
+@pytest.mark.parametrize("eager", [8, 2])
+def test_templates_equal_brute_force_at_any_depth(spark, eager):
+    rnd = random.Random(7)
+    deep = "/".join("abcdefghij")
+    paths = {("h", f"/{deep}/{'bad' if i % 2 else 'good'}/x{i}"): (1, i % 2, 1) for i in range(60)}
+    for i in range(500):
+        path = "".join(f"/{rnd.choice(['a', 'b', 'news', str(rnd.randint(0, 99))])}" for _ in range(rnd.randint(0, 14)))
+        labelled = rnd.randint(0, 3)
+        bad = sum(rnd.random() < (0.8 if "/b/" in path else 0.1) for _ in range(labelled))
+        paths[rnd.choice(["h", "é", ""]), path or "/"] = (labelled + rnd.randint(1, 3), bad, labelled)
+    df = spark.createDataFrame([(*k, *v) for k, v in paths.items()], "host string, path string, n bigint, bad bigint, labelled bigint")
+    got = {(r.host, r.path): r.template for r in url_templates.templates(df, eager_depth=eager).collect()}
+    assert got == plain_templates(paths, eager=eager)
+    # A bad branch that begins at the eleventh segment is told from its good sibling.
+    assert {t for (h, p), t in got.items() if deep in p and "/bad/" in p}.isdisjoint({t for (h, p), t in got.items() if deep in p and "/good/" in p})
+
+
 # 3 -------------------------------------------------------------------------------------
 
 
@@ -208,6 +258,15 @@ def reach(n, links):
     return group
 
 
+def test_vectors_of_any_scale_link(spark):
+    """Components near the ends of double precision: squares overflow or vanish, the cosine does not."""
+    own = [(i, [(3.0 + i % 2 * 0.01) * s, 4.0 * s, -2.0 * s], 1) for i, s in enumerate(s for s in (1.0, 1e160, 1e-170, 1.7e307, 5e-300) for _ in range(2))]
+    own += [(50, [1e160, -1e160, 1e160], 1), (51, [1e-170, 0.0, 0.0], 1), (None, [3.0, 4.0, -2.0], 1), (0, [3.0, 4.0, -2.0], 1)]
+    df = spark.createDataFrame(own, "vec_id bigint, embedding array<double>, label int")
+    got = {(r.vec_id, r.n_links, r.component_id) for r in near_vectors.near_vectors(df).collect()}
+    assert got == {(i, 11, 0) for i in [*range(10), None, 0]} | {(50, 0, 50), (51, 0, 51)}
+
+
 @pytest.mark.parametrize("tile", [3, 1000])
 def test_vectors_equal_brute_force(spark, tile):
     rnd = np.random.default_rng(4)
@@ -275,6 +334,15 @@ def test_repeated_rows_lose_the_same_lines(spark):
     assert [lost[2], lost[3], lost[None], lost[4]] == [[1], [2], [0], [0]]
 
 
+def test_texts_without_an_id_keep_their_own_lines(spark):
+    """Rows that share an id, null here, are told apart by their whole texts, not by few bits of a hash."""
+    table = [(None, f"unique words of text number {i}\nand one line that all have") for i in range(400)] + [(1, "and one line that all have"), (None, None), (None, "")]
+    got = near_lines.near_lines(spark.createDataFrame(table, "doc_id bigint, text string").repartition(3)).collect()
+    assert sorted((r.text, r.dropped_numbers) for r in got if r.text and "unique" in r.text) == sorted((t.split("\n")[0], [1]) for _, t in table if t and "unique" in t)
+    ranks = near_lines._ranked_texts(spark.createDataFrame(table, "_d bigint, t string"), "t").where("_d IS NULL").select("_t").distinct().count()
+    assert ranks == 401
+
+
 # 6 -------------------------------------------------------------------------------------
 
 
@@ -433,24 +501,48 @@ def plain_entropy(found):
     return (hot[0], hot[-1] + window) if hot else None
 
 
+def plain_added(text):
+    """Entropy spans: what is no base span and no part with an allowed word is looked through."""
+    blank = lambda m: " " * len(m[0])
+    rest = re.sub(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12,}|AKIA[A-Z0-9]{14,}|[0-9a-f]{16,}""", blank, text)
+    words = "example sample dummy placeholder xxxx abcdefgh 01234567 12345678".split()
+    rest = re.sub("[A-Za-z0-9+_=-]+", lambda m: blank(m) if any(w in m[0].lower() for w in words) else m[0], rest)
+    out = []
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", rest):
+        public = re.match("(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|sha(1|256|512)[-_=]", m[0])
+        hot = re.search("[0-9]", m[0]) and not public and plain_entropy(m[0])
+        if hot:
+            out.append((m.start() + hot[0], 3, m.start() + hot[1]))
+    return [x for x in out if not any(s < x[2] and x[0] < e for s, _, e in plain_secrets(text))]
+
+
+def test_long_runs_and_many_hits_take_time_in_proportion(spark):
+    rnd = random.Random(9)
+    run = "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(300_000))
+    hits = " ".join(f"{rnd.getrandbits(80):020x}" for _ in range(20_000))
+    start = time.time()
+    got = secrets.secrets(spark.createDataFrame([(None, run), (2, hits), (3, "a" * 300_000)], "doc_id bigint, text string")).collect()
+    assert time.time() - start < 60
+    assert {(r.doc_id, r.n_hex, r.n_entropy) for r in got} == {(None, 0, 1), (2, 20_000, 0), (3, 1, 0)}
+    assert next(r.spans for r in got if r.doc_id == 2).split(",")[-1] == f"hex:{len(hits) - 20}:{len(hits)}"
+
+
 def test_secrets(spark):
     rnd = random.Random(6)
+    key = "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZghijklmnopqrstuvwxyz0123456789") for _ in range(40))
     alphabet = "ABCabcxyz019+/_=-"
     parts = ["password=", "Token : '", "api_key", "APIKEY=", "AKIA", "secret==", "0123456789abcdef", "é🙂", "\n", "example", "9" * 30, "Zq8vT2mK4pX7wL1nB6cR3", "AKIA" + "Q7" * 9]
     texts = [None, "", "token=secret=abcdefghijkl", "password: token = abcdefghijklmnop", "AKIAAKIA" + "A" * 11, "aB3dE5fG7hI9jK1lM3nO5pQ7 and abcdefgh1jklmnopqrstuvw"]
     texts += ["".join(rnd.choice([rnd.choice(parts), " ", "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 40)))]) for _ in range(rnd.randint(1, 25))) for _ in range(300)]
+    texts += [f"AKIA{'Q7' * 8}/{key}", f"api/examples/{key}", f"{key}-0123456789abcdef", f"my-sample-{key}", f"x/{key}/y"]
     df = spark.createDataFrame([(i % 50, t, "x", "y") for i, t in enumerate(texts)], "doc_id bigint, text string, a string, spans string")
+    line = lambda spans: ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
     expected = []
     for i, t in enumerate(texts):
-        t = t or ""
-        base, extra = plain_secrets(t), []
-        for m in re.finditer(secrets.KEYS, t):
-            if re.search("[0-9]", m[0]) and not any(re.search(a, m[0]) for a in secrets.ALLOW) and not any(s < m.end() and m.start() < e for s, _, e in base):
-                hot = plain_entropy(m[0])
-                extra += [(m.start() + hot[0], 3, m.start() + hot[1])] if hot else []
-        line = lambda spans: ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
+        base, extra = plain_secrets(t or ""), plain_added(t or "")
         count = collections.Counter(k for _, k, _ in base)
         expected.append((i % 50, count[0], count[1], count[2], len(extra), line(base), line(base + extra)))
+    assert [r[4] for r in expected[-5:]] == [1, 1, 1, 0, 1]
     same(secrets.secrets(df), expected)
     assert sum(r[4] for r in expected) > 20 and secrets.secrets(df.limit(0)).count() == 0
 
