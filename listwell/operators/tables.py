@@ -7,12 +7,15 @@ one row per partition.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from listwell.session import cut_lineage
+
 
 def latest(batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the one with the greatest ``order_by`` values."""
@@ -141,11 +144,101 @@ def replace_children(children: DataFrame, batch: DataFrame, order_by: Sequence[s
 
 
 def concat_listings(parts: Sequence[DataFrame]) -> DataFrame:
-    """Rows of all parts, ids kept apart however large: the id times the number of parts, plus the part's place."""
-    own = [p.withColumn("id", F.col("id") * len(parts) + i) for i, p in enumerate(parts)]
+    """Rows of all parts with the part's place in front: (part, id) tells rows apart, however large the ids are."""
+    own = [p.select(F.lit(i).alias("part"), *p.columns) for i, p in enumerate(parts)]
     return reduce(DataFrame.unionByName, own)
 
 
+def as_of(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, values: Sequence[str], tolerance: str | None = None) -> DataFrame:
+    """``left`` with the ``values`` (null where there are none) of the last ``right`` row of its keys at or before its time ``at``.
+
+    ``found_at`` says when that row was; with a ``tolerance`` (an interval) it must not be longer ago. Rows of
+    ``right`` with the same keys and time: the greatest values count. Rows with a null key or time find nothing.
+
+    Both sides go through one order of (keys, time), cut into ranges, so a key with any share of all
+    rows is spread. Within a range the last row is carried on; from range to range only the last row of each key.
+    """
+    rest = [c for c in left.columns if c not in (*keys, at)]
+    queries = left.select(*keys, at, F.lit(1).alias("_side"), F.struct(*rest, F.lit(0).alias("_none")).alias("_row"), F.lit(None).alias("_found"))
+    held = F.struct(F.col(at).alias("found_at"), *values)
+    facts = right.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, at)])).select(
+        *keys, at, F.lit(0).alias("_side"), F.lit(None).cast(queries.schema["_row"].dataType).alias("_row"), held.alias("_found")
+    )
+    queries = queries.withColumn("_found", F.lit(None).cast(facts.schema["_found"].dataType))
+    # A tie breaker: rows equal in keys, time and side need not share a range.
+    both = queries.unionByName(facts).withColumn("_tie", F.coalesce(F.xxhash64("_row"), F.lit(0)))
+    order = [*keys, at, "_side", "_found", "_tie"]
+    ranged = cut_lineage(both.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    so_far = Window.partitionBy("_range", *keys).orderBy(at, "_side", "_found").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = ranged.withColumn("_found", F.last("_found", ignorenulls=True).over(so_far))
+    ends = ranged.where("_side = 0").groupBy(*keys, "_range").agg(F.max("_found").alias("_end"))
+    ranges = ranged.select(*keys, "_range").distinct().join(ends, [*keys, "_range"], "left")
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ranges.withColumn("_carried", F.last("_end", ignorenulls=True).over(before)).select(*keys, "_range", "_carried")
+    joined = filled.where("_side = 1").join(carried, [*keys, "_range"], "left").withColumn("_found", F.coalesce("_found", "_carried"))
+    if tolerance is not None:
+        joined = joined.withColumn("_found", F.when(F.col("_found.found_at") >= F.col(at) - F.expr(f"INTERVAL {tolerance}"), F.col("_found")))
+    order_of_columns = [c if c in (*keys, at) else F.col("_row")[c].alias(c) for c in left.columns]
+    return joined.select(*order_of_columns, F.col("_found.found_at").alias("found_at"), *[F.col(f"_found.{v}").alias(v) for v in values])
+
+
+def delta_as_of(counts: DataFrame, lag_days: int = 7) -> DataFrame:
+    """Change against the last count that is at least ``lag_days`` old; ``days`` says how old it is."""
+    then = counts.select("snapshot_date", "platform", "count", F.date_sub("snapshot_date", lag_days).alias("then"))
+    past = counts.select(F.col("snapshot_date").alias("then"), "platform", F.col("count").alias("count_before"))
+    found = as_of(then, past, ["platform"], "then", ["count_before"])
+    return found.select(
+        "snapshot_date", "platform", "count", "count_before", F.date_diff("snapshot_date", "found_at").alias("days"), (F.col("count") - F.col("count_before")).alias("delta")
+    )
+
+
+def within(points: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, start: str, end: str) -> DataFrame:
+    """Each point with each span of its keys that has it, ``start`` and ``end`` included; both are timestamps.
+
+    A span belongs to the level whose buckets, four times as long from level to level, are just as long as it is, and so lies in
+    two buckets at most; a point looks into one bucket of each level there is. A long span costs no more rows than a
+    short one. A span without an end is open: it has all points from its start on. Columns of both sides are kept; they
+    must have different names, keys apart.
+    """
+    seconds = lambda c: F.unix_micros(c.cast("timestamp")) / 1_000_000
+    last = points.agg(F.max(at).alias("_last"))
+    closed = spans.crossJoin(F.broadcast(last)).withColumn("_end", F.coalesce(end, F.greatest("_last", start))).drop("_last").where(F.col("_end") >= F.col(start))
+    length = F.greatest(seconds(F.col("_end")) - seconds(F.col(start)), F.lit(1.0))
+    level = F.ceil(F.log(length) / math.log(4)).cast("int")
+    closed = closed.withColumn("_level", level).withColumn("_width", F.pow(F.lit(4.0), F.col("_level")))
+    bucket = lambda c: F.floor(seconds(F.col(c)) / F.col("_width"))
+    placed = closed.withColumn("_bucket", F.explode(F.sequence(bucket(start), bucket("_end"))))
+    # A few dozen at most: a level is a power of four seconds.
+    levels = F.broadcast(closed.select("_level", "_width").distinct())
+    looking = points.crossJoin(levels).withColumn("_bucket", bucket(at)).drop("_width")
+    met = looking.join(placed.drop("_width"), [*keys, "_level", "_bucket"]).where(F.col(at).between(F.col(start), F.col("_end")))
+    return met.drop("_level", "_bucket", "_end")
+
+
+def audit_by_time(listings: DataFrame, runs: DataFrame) -> DataFrame:
+    """(id, merchants_found): listings of a run's platform and market seen while it ran; listings count for every run that saw them."""
+    seen = listings.select("platform", "market", F.col("scraped_at").alias("_seen"))
+    spans = runs.select("platform", "market", F.col("id"), "started_at", "finished_at")
+    found = within(seen, spans, ["platform", "market"], "_seen", "started_at", "finished_at").groupBy("id").agg(F.count("*").alias("merchants_found"))
+    return runs.select("id").join(found, "id", "left").select("id", F.coalesce("merchants_found", F.lit(0)).alias("merchants_found"))
+
+
+#: Registers of a sketch: 2^12. The estimate's relative standard error is about 1.04 / 2^6 = 1.6 %.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def daily_sketches(listings: DataFrame) -> DataFrame:
+    """(snapshot_date, platform, sketch): distinct listings of a day, in a few kilobytes that can be merged."""
+    day = F.to_date("scraped_at").alias("snapshot_date")
+    return listings.where("scraped_at IS NOT NULL AND platform_id IS NOT NULL").groupBy(day, "platform").agg(F.hll_sketch_agg("platform_id", SKETCH_BITS).alias("sketch"))
+
+
+def merged_counts(sketches: DataFrame, *by) -> DataFrame:
+    """Distinct listings per ``by``, estimated from the days' sketches: no listing is read again."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+
+
 def snapshot_counts(pm: DataFrame, as_of: str) -> DataFrame:
     """Distinct listings per platform under the given day."""
     return pm.groupBy("platform").agg(F.count_distinct("platform_id").alias("count")).select(

@@ -343,7 +343,7 @@ def _(mm):
 
 
 @query("concat_platforms", PM, """
-SELECT id * 4 + CASE platform WHEN 'ubereats' THEN 0 WHEN 'justeattakeaway' THEN 1 WHEN 'doordash' THEN 2 ELSE 3 END AS id,
+SELECT CASE platform WHEN 'ubereats' THEN 0 WHEN 'justeattakeaway' THEN 1 WHEN 'doordash' THEN 2 ELSE 3 END AS part, id,
   platform, COALESCE(name, '') AS name FROM platform_merchants""")
 def _(pm):
     named = pm.select("id", "platform", F.coalesce("name", F.lit("")).alias("name"))
@@ -353,3 +353,48 @@ def _(pm):
 @query("sample_one", PM, None)
 def _(pm):
     return cv.sample_one(pm.select("id", "platform", "name"), seed=7)
+
+
+@query("coverage_margins", PM, """
+SELECT platform, market, CAST(GROUPING(platform, market) AS INT) AS margin, COUNT(*) AS listings, COUNT(DISTINCT platform_id) AS distinct_listings
+FROM platform_merchants GROUP BY CUBE (platform, market)""")
+def _(pm):
+    return cv.coverage_margins(pm)
+
+
+_GAPS = "(dayofyear(snapshot_date) + length(platform)) % 3 <> 0"
+
+
+@query("delta_as_of", ("daily_counts",), f"""
+WITH g AS (SELECT * FROM daily_counts WHERE {_GAPS})
+SELECT strftime(a.snapshot_date, '%Y-%m-%d') AS snapshot_date, a.platform, a.count, b.count AS count_before,
+  CAST(a.snapshot_date - b.snapshot_date AS INT) AS days, a.count - b.count AS delta
+FROM (SELECT *, CAST(snapshot_date - INTERVAL 7 DAYS AS DATE) AS t FROM g) a ASOF LEFT JOIN g b ON a.platform = b.platform AND a.t >= b.snapshot_date""")
+def _(counts):
+    """Every third day of a platform has no snapshot."""
+    return tb.delta_as_of(counts.where(_GAPS))
+
+
+_RUNS = "started_at + INTERVAL '1' MINUTE * CAST(merchants_found % 500 AS INT)"
+
+
+@query("audit_by_time", ("listing_batch", "crawl_runs"), f"""
+WITH r AS (SELECT id, platform, market, started_at, CASE WHEN status = 'running' THEN NULL ELSE {_RUNS} END AS finished_at FROM crawl_runs),
+l AS (SELECT platform, 'market' || (seq % 5) AS market, scraped_at FROM listing_batch)
+SELECT r.id, COUNT(l.scraped_at) AS merchants_found FROM r
+LEFT JOIN l ON l.platform = r.platform AND l.market = r.market AND l.scraped_at >= r.started_at AND (r.finished_at IS NULL OR l.scraped_at <= r.finished_at) GROUP BY r.id""")
+def _(batch, runs):
+    """Runs take up to 500 minutes and overlap; those still running have no end."""
+    ended = F.expr(f"CASE WHEN status = 'running' THEN NULL ELSE {_RUNS} END")
+    return tb.audit_by_time(batch.withColumn("market", F.concat(F.lit("market"), F.col("seq") % 5)), runs.withColumn("finished_at", ended))
+
+
+@query("merged_distinct", ("listing_batch",), """
+SELECT strftime(date_trunc('week', scraped_at), '%Y-%m-%d') AS week, platform, COUNT(DISTINCT platform_id) AS exact, TRUE AS within_bound FROM listing_batch GROUP BY 1, 2""")
+def _(batch):
+    """Weeks from the sketches of their days, next to the exact number: within four standard errors."""
+    week = F.to_date(F.date_trunc("week", "snapshot_date")).alias("week")
+    merged = tb.merged_counts(tb.daily_sketches(batch), week, "platform")
+    exact = batch.groupBy(F.to_date(F.date_trunc("week", "scraped_at")).alias("week"), "platform").agg(F.count_distinct("platform_id").alias("exact"))
+    near = F.abs(F.col("estimate") - F.col("exact")) <= 4 * tb.SKETCH_ERROR * F.col("exact")
+    return exact.join(merged, ["week", "platform"]).select("week", "platform", "exact", near.alias("within_bound"))

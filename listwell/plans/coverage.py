@@ -176,3 +176,15 @@ def first_listings(listings: DataFrame, n: int = 10) -> DataFrame:
 
 def sample_one(df: DataFrame, seed: int = 0) -> DataFrame:
     return df.orderBy(F.rand(seed)).limit(1)
+
+
+def coverage_margins(pm: DataFrame) -> DataFrame:
+    """Listings and distinct listings per platform and market, per platform, per market and in all, from one scan.
+
+    ``margin`` has 2 for a sum over platforms and 1 for one over markets; null values of the columns are groups of
+    their own. Rows are reduced to distinct listings before they are counted for each margin.
+    """
+    once = pm.groupBy("platform", "market", "platform_id").agg(F.count("*").alias("n"))
+    return once.cube("platform", "market").agg(
+        F.grouping_id("platform", "market").cast("int").alias("margin"), F.sum("n").alias("listings"), F.count_distinct("platform_id").alias("distinct_listings")
+    )

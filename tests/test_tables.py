@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,8 +71,10 @@ def test_audit_counts_each_run_apart(spark):
 
 
 def test_concat_keeps_large_ids_apart(spark):
-    parts = [spark.createDataFrame([(1,), (5_000_000_000,)], "id bigint") for _ in range(3)]
-    assert tb.concat_listings(parts).distinct().count() == 6
+    keyed = spark.createDataFrame([("a", "1"), ("b", "2"), ("b", "3")], "platform string, platform_id string")
+    parts = [keyed.withColumn("id", tb.stable_id(tb.LISTING_KEYS)) for _ in range(3)]
+    both = tb.concat_listings(parts)
+    assert both.select("part", "id").distinct().count() == 9 and both.where("abs(id) > 1e12").count() > 0
 
 
 def test_reset_drops_only_what_the_market_had(spark):
@@ -174,3 +178,70 @@ def test_crawl_targets(spark):
     assert urls["ubereats", "amsterdam"].endswith("&page=1")
     assert urls["doordash", "new_york"] == "https://www.doordash.com/food-delivery/new-york-restaurants/"
     assert urls["ubereats", "new_york"] == "https://www.ubereats.com/city/new_york"
+
+
+def test_as_of_equals_brute_force(spark):
+    rng = random.Random(4)
+    when = lambda: rng.choice([None, *range(100)])
+    left = [(rng.choice(["hot"] * 6 + ["a", None]), when(), i) for i in range(400)]
+    right = [(rng.choice(["hot"] * 6 + ["a", "b", None]), when(), rng.choice([None, 1, 2, 3])) for _ in range(80)]
+    a = spark.createDataFrame(left, "k string, t int, n int").repartition(3)
+    b = spark.createDataFrame(right, "k string, t int, v int").repartition(3)
+    got = {r.n: (r.k, r.t, r.found_at, r.v) for r in tb.as_of(a, b, ["k"], "t", ["v"]).collect()}
+    assert len(got) == len(left)
+    for k, t, n in left:
+        found = [(at, -1 if v is None else v) for key, at, v in right if key == k and None not in (k, t, at) and at <= t]
+        at, v = max(found) if found else (None, -1)
+        assert got[n] == (k, t, at, None if v == -1 else v)
+    assert tb.as_of(a, b.limit(0), ["k"], "t", ["v"]).where("found_at IS NOT NULL").count() == 0
+    assert tb.as_of(a.limit(0), b, ["k"], "t", ["v"]).count() == 0
+
+
+def test_as_of_with_a_tolerance(spark):
+    at = lambda t: f"2024-01-{t:02d}"
+    a = spark.createDataFrame([("k", at(10)), ("k", at(20))], "k string, t string").withColumn("t", F.col("t").cast("timestamp"))
+    b = spark.createDataFrame([("k", at(8), 1)], "k string, t string, v int").withColumn("t", F.col("t").cast("timestamp"))
+    assert rows(tb.as_of(a, b, ["k"], "t", ["v"], "3 DAYS").withColumn("d", F.dayofmonth("t")), "d", "v") == [(10, 1), (20, None)]
+
+
+def test_spans_equal_brute_force(spark):
+    rng = random.Random(5)
+    points = [(rng.choice("xxy"), rng.randint(0, 200_000), i) for i in range(300)]
+    spans = [(rng.choice("xxy"), s := rng.randint(0, 200_000), rng.choice([None, s, s - 5, s + rng.randint(0, 10), s + rng.randint(0, 150_000)]), i) for i in range(150)]
+    spans += [("x", 0, 4, 900), ("x", 0, 0, 901), ("x", 64, 128, 902)]
+    stamp = lambda df, *cs: df.withColumns({c: F.timestamp_seconds(c) for c in cs})
+    a = stamp(spark.createDataFrame(points, "k string, at bigint, p int"), "at")
+    b = stamp(spark.createDataFrame(spans, "k string, s bigint, e bigint, r int"), "s", "e")
+    got = sorted((r.p, r.r) for r in tb.within(a, b, ["k"], "at", "s", "e").collect())
+    assert got == sorted((p, r) for k, at, p in points for key, s, e, r in spans if k == key and s <= at and (e is None or at <= e))
+    assert tb.within(a.limit(0), b, ["k"], "at", "s", "e").count() == tb.within(a, b.limit(0), ["k"], "at", "s", "e").count() == 0
+
+
+def test_runs_that_overlap_count_a_listing_each(spark):
+    stamp = lambda df, *cs: df.withColumns({c: F.timestamp_seconds(c) for c in cs})
+    seen = stamp(spark.createDataFrame([("p", "m", 5), ("p", "m", 7), ("p", "n", 5), ("q", "m", 5)], "platform string, market string, scraped_at bigint"), "scraped_at")
+    runs = stamp(spark.createDataFrame([(1, "p", "m", 0, 6), (2, "p", "m", 5, None), (3, "p", "m", 8, 9)], "id int, platform string, market string, started_at bigint, finished_at bigint"), "started_at", "finished_at")
+    assert rows(tb.audit_by_time(seen, runs), "id", "merchants_found") == [(1, 1), (2, 2), (3, 0)]
+
+
+def test_sketches_merge_within_their_error(spark):
+    days = spark.range(60_000).select(
+        F.expr("timestamp '2024-01-01' + make_interval(0, 0, 0, cast(id % 14 as int))").alias("scraped_at"),
+        F.lit("p").alias("platform"), (F.col("id") * 7919 % 20_011).cast("string").alias("platform_id"),
+    )
+    sketches = tb.daily_sketches(days)
+    assert sketches.count() == 14 and sketches.agg(F.max(F.length("sketch"))).first()[0] < 10_000
+    exact = days.select("platform_id").distinct().count()
+    estimate = tb.merged_counts(sketches, "platform").first().estimate
+    assert abs(estimate - exact) <= 4 * tb.SKETCH_ERROR * exact
+    # Weeks merged again are the same as days merged at once.
+    weeks = sketches.groupBy("platform", F.weekofyear("snapshot_date").alias("w")).agg(F.hll_union_agg("sketch").alias("sketch"))
+    assert tb.merged_counts(weeks, "platform").first().estimate == estimate
+
+
+def test_margins_tell_null_from_all(spark):
+    from listwell.plans.coverage import coverage_margins
+
+    pm = spark.createDataFrame([("p", "m", "1"), ("p", "m", "1"), ("p", None, "1"), ("q", "m", "1")], "platform string, market string, platform_id string")
+    got = {(r.platform, r.market, r.margin): (r.listings, r.distinct_listings) for r in coverage_margins(pm).collect()}
+    assert got[("p", None, 0)] == (1, 1) and got[("p", None, 1)] == (3, 1) and got[(None, None, 3)] == (4, 1) and got[(None, None, 2)] == (1, 1)
