@@ -107,6 +107,7 @@ def _truthy(c: Column) -> Column:
 def listing(
     platform: str, platform_id: Column, name: Column, raw_url: Column, *, address: Column | None = None, lat: Column | None = None,
     lng: Column | None = None, tags: Column | None = None, rating: Column | None = None, reviews: Column | None = None, fee: Column | None = None,
+    price_bucket: Column | None = None, minutes: Column | None = None, promoted: Column | None = None,
 ) -> Column:
     """Struct of the listing columns; what a page does not say is empty."""
     none = lambda kind: F.lit(None).cast(kind)
@@ -121,10 +122,10 @@ def listing(
         (F.array().cast("array<string>") if tags is None else F.coalesce(tags, F.array().cast("array<string>"))).alias("cuisine_tags"),
         tx.clamp_rating(or_none(rating, "double")).alias("rating"),
         or_none(reviews, "bigint").alias("review_count"),
-        none("string").alias("price_bucket"),
+        or_none(price_bucket, "string").alias("price_bucket"),
         or_none(fee, "double").alias("delivery_fee"),
-        none("int").alias("estimated_delivery_min"),
-        F.lit(False).alias("is_promoted"),
+        or_none(minutes, "int").alias("estimated_delivery_min"),
+        (F.lit(False) if promoted is None else F.coalesce(promoted, F.lit(False))).alias("is_promoted"),
         raw_url.alias("raw_url"),
     )
 
@@ -181,7 +182,8 @@ def _store_listing(s: Column) -> Column:
         F.concat(F.lit("https://www.doordash.com/store/"), F.coalesce(_text(s, "$.id"), F.lit("")), F.lit("/")),
         address=F.coalesce(_text(s, "$.address.formattedAddress"), flat), lat=_coord(s, "$.address.lat"), lng=_coord(s, "$.address.lng"),
         tags=F.filter(tags, lambda t: t.isNotNull()), rating=_float(s, "$.averageRating"), reviews=_int(s, "$.numRatings"),
-        fee=_float(s, "$.deliveryFee"),
+        fee=_float(s, "$.deliveryFee"), price_bucket=_filled(s, "$.priceRange"), minutes=_int(s, "$.estimatedDeliveryTime"),
+        promoted=F.try_variant_get(s, "$.isSponsored", "boolean"),
     )
 
 
@@ -313,25 +315,20 @@ def card_name(c: Column) -> Column:
 def ubereats_listings(pages: DataFrame) -> DataFrame:
     """Store cards; coordinates from the page states, by nearness and else by the store's object.
 
-    When a page is split into cards, each takes along what stands near its id in the
-    two states. A whole state goes with a card only if it names the store but gives no
-    coordinates nearby, and only then it is parsed.
+    The states are searched once for the ids of all cards, and opened once for those that have no
+    coordinates nearby. Only what was found goes on when the page is split into its cards.
     """
     found = scripts(F.col("html"))
     staged = pages.withColumns(
         {"links": dom.store_links_of(F.col("html")), "s0": script_body(found, REACT), "s1": script_body(found, REDUX)}
     ).withColumn("cards", first_named(F.col("links")))
-
-    def with_windows(states: Column) -> Column:
-        near = lambda c, s: window_near(states[s], c["id"]).alias(f"w{s[1]}")
-        return F.transform(F.col("cards"), lambda c: F.struct(c.alias("card"), near(c, "s0"), near(c, "s1")))
-
-    rows = staged.select(
-        "page_key", "page_market", "s0", "s1", F.posexplode(tx.let(F.struct("s0", "s1"), with_windows)).alias("pos", "e")
-    ).select("page_key", "page_market", "pos", "s0", "s1", F.col("e.card").alias("c"), F.col("e.w0").alias("w0"), F.col("e.w1").alias("w1"))
-    rows = rows.withColumns({"name": card_name(F.col("c")), "n0": coords_in(F.col("w0")), "n1": coords_in(F.col("w1"))}).where("name IS NOT NULL")
-    unread = lambda i: F.when(F.col(f"w{i}").isNotNull() & F.col(f"n{i}").isNull(), tx.unescape_state(F.col(f"s{i}")))
-    rows = rows.withColumns({f"o{i}": jsonwalk.find_object(unread(i), F.col("c.id")) for i in (0, 1)}).drop("s0", "s1", "w0", "w1")
+    ids = F.transform("cards", lambda c: c["id"])
+    told = jsonwalk.stores_in_states(ids, F.col("s0"), F.col("s1"), STATE_WINDOW, LAT_IN_STATE, LNG_IN_STATE)
+    each = F.arrays_zip(F.col("cards").alias("c"), told.alias("t"))
+    rows = staged.select("page_key", "page_market", F.posexplode(each).alias("pos", "e"))
+    rows = rows.select("page_key", "page_market", "pos", "e.c", *[F.col(f"e.t.{x}").alias(x) for x in ("n0", "n1", "o0", "o1")])
+    rows = rows.withColumns({n: usable(F.col(n)) for n in ("n0", "n1")})
+    rows = rows.withColumn("name", card_name(F.col("c"))).where("name IS NOT NULL")
     rows = rows.withColumns({f"d{i}": F.when(F.col(f"o{i}").isNotNull(), _place_of(F.col(f"o{i}"))) for i in (0, 1)})
     at = F.coalesce("n0", usable(F.col("d0")), "n1", usable(F.col("d1")))
     stated = F.coalesce(F.nullif(F.col("d0.address"), F.lit("")), F.col("d1.address"))

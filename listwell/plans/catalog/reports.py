@@ -350,9 +350,14 @@ def _(pm):
     return tb.concat_listings([named.where(F.col("platform") == p) for p in ("ubereats", "justeattakeaway", "doordash", "grubhub")])
 
 
-@query("sample_one", PM, None)
+@query("sample_one", PM, "SELECT CAST(LEAST(COUNT(*), 1) AS BIGINT) AS sampled, CAST(LEAST(COUNT(*), 1) AS BIGINT) AS known FROM platform_merchants")
 def _(pm):
-    return cv.sample_one(pm.select("id", "platform", "name"), seed=7)
+    """Which row comes is left to chance; that it is one, and one of the table's, is not."""
+    rows = pm.select("id", "platform", "name")
+    one = cv.sample_one(rows, seed=7).alias("s")
+    same = F.col("s.id").eqNullSafe(F.col("r.id")) & F.col("s.platform").eqNullSafe(F.col("r.platform")) & F.col("s.name").eqNullSafe(F.col("r.name"))
+    held = one.join(rows.alias("r"), same, "left_semi")
+    return one.agg(F.count("*").alias("sampled")).crossJoin(held.agg(F.count("*").alias("known")))
 
 
 @query("coverage_margins", PM, """

@@ -67,13 +67,14 @@ def _(pm):
 
 
 def _listing_files_load(spark, sf_dir):
-    """Two platforms' files, arrays of up to a thousand listings a line, written and read back."""
+    """All platforms' files, arrays of up to a thousand listings a line, written and read back."""
     pm = bind.table(spark, sf_dir, "platform_merchants").withColumnRenamed("platform_id", "platform_merchant_id")
     base = f"{ensure_checkpoint_dir(spark)}/listing-files-{uuid.uuid4().hex}"
     rows = pm.select("id", "platform", F.struct("platform", "platform_merchant_id", "name", "address", "market").alias("row"))
     lines = rows.groupBy("platform", F.expr("id DIV 1000").alias("run")).agg(F.to_json(F.collect_list("row")).alias("value"))
-    paths = [f"{base}/{p}" for p in ("justeattakeaway", "ubereats")]
-    for path, platform in zip(paths, ("justeattakeaway", "ubereats")):
+    platforms = ("doordash", "grubhub", "justeattakeaway", "ubereats")
+    paths = [f"{base}/{p}" for p in platforms]
+    for path, platform in zip(paths, platforms):
         lines.where(F.col("platform") == platform).select("value").write.text(path)
     loaded = pages.read_listing_files(spark, [*paths, f"{base}/absent"], legacy=f"{base}/legacy", multiline=False)
     return portable(loaded.select("platform", "platform_merchant_id", "name", "address", "market"))
@@ -81,8 +82,7 @@ def _listing_files_load(spark, sf_dir):
 
 ENTRIES["listing_files_load"] = (
     _listing_files_load,
-    f"WITH {bind.ctes('platform_merchants')} SELECT platform, platform_id AS platform_merchant_id, name, address, market "
-    "FROM platform_merchants WHERE platform IN ('justeattakeaway', 'ubereats')",
+    f"WITH {bind.ctes('platform_merchants')} SELECT platform, platform_id AS platform_merchant_id, name, address, market FROM platform_merchants",
 )
 
 
