@@ -103,14 +103,19 @@ class EliasFano:
         return first
 
 
-def quantised(counts: np.ndarray) -> np.ndarray:
-    """One-byte codes: counts up to 127 as they are, greater ones on a logarithmic scale."""
-    large = 127 + np.round(8 * np.log2(np.maximum(counts, 127) / 127)).astype(np.int64)
-    return np.minimum(np.where(counts <= 127, counts, large), 255).astype(np.uint8)
+EXACT = 128  # counts below are their own code
 
 
-#: The count that each code stands for; divided by the number of training tokens it is a joint probability.
-LEVELS = np.concatenate([np.arange(128.0), 127 * 2 ** (np.arange(1, 129) / 8)])
+def quantised(counts: np.ndarray, top: int) -> np.ndarray:
+    """One-byte codes: counts below EXACT as they are, greater ones on a logarithmic scale that ends at ``top``, the greatest there is."""
+    spread = np.log2(max(top, EXACT + 1) / EXACT)
+    large = EXACT + np.round(127 * np.log2(np.maximum(counts, EXACT) / EXACT) / spread).astype(np.int64)
+    return np.where(counts < EXACT, counts, large).astype(np.uint8)
+
+
+def levels(top: int) -> np.ndarray:
+    """The count that each code stands for; divided by the number of training tokens it is a joint probability."""
+    return np.concatenate([np.arange(float(EXACT)), EXACT * (max(top, EXACT + 1) / EXACT) ** (np.arange(128) / 127)])
 
 
 class Trie:
@@ -123,6 +128,7 @@ class Trie:
         """From distinct n-grams sorted by context and successor, with counts over 0."""
         own, first = np.unique(context, return_index=True)
         of = np.repeat(np.arange(len(own), dtype=np.uint64), np.diff(np.append(first, len(context))))
+        top = int(counts.max(initial=0))
         sequences = (own, np.append(first, len(context)).astype(np.uint64), (of << np.uint64(KEY_BITS)) | successor)
         head, body = [], []
         for values in sequences:
@@ -130,13 +136,14 @@ class Trie:
             head += [n, width, len(low), len(high)]
             body += [low.tobytes(), high.tobytes() + bytes(-len(high) % 8)]
         with open(path, "wb") as out:
-            out.write(np.array(head, np.int64).tobytes())
+            out.write(np.array([*head, top], np.int64).tobytes())
             out.write(b"".join(body))
-            out.write(quantised(counts).tobytes())
+            out.write(quantised(counts, top).tobytes())
 
     def __init__(self, path: str):
         data = np.memmap(path, np.uint8, "r")
-        head, at = data[: 12 * 8].view(np.int64).tolist(), 12 * 8
+        head, at = data[: 13 * 8].view(np.int64).tolist(), 13 * 8
+        self.top = head[12]
         for i, name in enumerate(self.PARTS):
             n, width, n_low, n_high = head[4 * i : 4 * i + 4]
             low = data[at : at + 8 * n_low].view(np.uint64)
@@ -247,14 +254,15 @@ def _answer(table: pa.Table) -> pa.Table:
     os.close(handle)
     try:
         Trie.write(path, c[seen], s[seen], sums[seen])
-        codes = Trie(path).look_up(c, s)
+        trie = Trie(path)
+        codes, top = trie.look_up(c, s), trie.top
     finally:
         os.unlink(path)
     pair_codes = np.empty(len(order), np.uint8)
     pair_codes[order] = codes[number]
     m = len(words)
     return pa.table({
-        "batch": table.column("batch"), "shard": table.column("shard"), "tokens": pa.array([int(total.sum())] * m, pa.int64()), "types": pa.array([int((total > 0).sum())] * m, pa.int64()),
+        "batch": table.column("batch"), "shard": table.column("shard"), "tokens": pa.array([int(total.sum())] * m, pa.int64()), "types": pa.array([int((total > 0).sum())] * m, pa.int64()), "top": pa.array([top] * m, pa.int64()),
     } | _binaries(word_counts=[x.tobytes() for x in word_answers[:m]], pair_codes=[x.tobytes() for x in np.split(pair_codes, sizes)]))
 
 
@@ -262,14 +270,14 @@ def _scores(docs: pa.Table, answers: pa.Table, n: int, mass: float) -> pa.Table:
     tokens, types = (sum(answers.column(c).to_pylist()) for c in ("tokens", "types"))  # every shard has answered every batch
     own = Batch(docs.column("text").to_pylist())
     words, pairs = (_by_shard(x, n) for x in own.shards(n))
-    counts, codes = np.zeros(len(own.words)), np.zeros(len(own.context), np.uint8)
-    for shard, w, p in zip(*[answers.column(c).to_pylist() for c in ("shard", "word_counts", "pair_codes")]):
+    counts, pair_counts = np.zeros(len(own.words)), np.zeros(len(own.context))
+    for shard, top, w, p in zip(*[answers.column(c).to_pylist() for c in ("shard", "top", "word_counts", "pair_codes")]):
         counts[words[shard]] = np.frombuffer(w, "<u8")
-        codes[pairs[shard]] = np.frombuffer(p, np.uint8)
+        pair_counts[pairs[shard]] = levels(top)[np.frombuffer(p, np.uint8)]
     unigram = (counts + 0.5) / (tokens + 0.5 * (types + 1))
     ends = counts[np.searchsorted(own.words, END)]  # as many as texts that start
     context = np.where(own.words == START, ends, counts)[own.before]
-    p = (LEVELS[codes[own.pair]] + mass * unigram[own.word]) / (context + mass)
+    p = (pair_counts[own.pair] + mass * unigram[own.word]) / (context + mass)
     total = lambda x: np.add.reduceat(x, own.starts)
     return pa.table({
         "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(own.sizes), "n_known": pa.array(total((counts[own.word] > 0).astype(np.int64))),
@@ -287,7 +295,8 @@ def score_documents(docs: DataFrame, held_out: str | None = None, mass: float =
     scored each by itself, and copies count as often as they are there. With no training
     documents all counts are 0 and p(w) is 1. Other columns are left out. Hashes of 64 bits stand for
     words, of 40 bits for words within a pair; counts of words are exact, those of pairs
-    over 127 are rounded to a twelfth.
+    from 128 on are rounded on a logarithmic scale of 128 steps up to the greatest of their shard, however
+    great it is: by an eightieth where that is a thousand, a thirtieth where it is ten million.
     """
     mark = F.col(held_out) if held_out else F.crc32(F.col(doc_id).cast("string")) % 5 == 1
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(mark, F.lit(False)).alias("held_out"))
@@ -300,5 +309,5 @@ def score_documents(docs: DataFrame, held_out: str | None = None, mass: float =
     dealt = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
     # one plan, so that the dealt documents are shuffled once for asking and scoring
     asked = dealt.groupBy("batch").applyInArrow(lambda t: _ask(t, n), "batch int, shard int, words binary, word_counts binary, contexts binary, successors binary, pair_counts binary")
-    answered = asked.groupBy("shard").applyInArrow(_answer, "batch int, shard int, tokens bigint, types bigint, word_counts binary, pair_codes binary")
+    answered = asked.groupBy("shard").applyInArrow(_answer, "batch int, shard int, tokens bigint, types bigint, top bigint, word_counts binary, pair_codes binary")
     return dealt.groupBy("batch").cogroup(answered.groupBy("batch")).applyInArrow(lambda d, a: _scores(d, a, n, mass), schema)
