@@ -14,7 +14,7 @@ from listwell.plans.bind import AS_OF
 from listwell.plans.catalog.common import portable, registrar
 from listwell.schemas import LISTING
 from listwell.session import ensure_checkpoint_dir
-from listwell.sources import config, pages
+from listwell.sources import archive, config, pages
 
 ENTRIES, query = registrar()
 PM = ("platform_merchants",)
@@ -86,6 +86,21 @@ ENTRIES["listing_files_load"] = (
 )
 
 
+def _page_archive(spark, sf_dir):
+    """All pages written as objects of an archive and read back from it."""
+    spark.dataSource.register(archive.PageArchive)
+    path = f"{ensure_checkpoint_dir(spark)}/archive-{uuid.uuid4().hex}"
+    raw = pages.with_key_parts(bind.table(spark, sf_dir, "raw_pages"))
+    raw.select("page_key", "html", "platform", "date", "market", "merchant_id").write.format("page_archive").mode("append").save(path)
+    return portable(spark.read.format("page_archive").load(path).withColumn("html", F.md5("html")))
+
+
+ENTRIES["page_archive"] = (
+    _page_archive,
+    f"WITH {bind.ctes('raw_pages')} SELECT page_key, md5(html) AS html, {PARTS}, regexp_replace(split_part(page_key, '/', 4), '\\.[^.]*$', '') AS merchant_id FROM raw_pages",
+)
+
+
 @query("merchants_scan", PM, "SELECT id, platform, name, address, lat, lng, market FROM platform_merchants WHERE name IS NOT NULL")
 def _(pm):
     return mt.merchants_scan(pm)
