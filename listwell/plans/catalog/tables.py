@@ -88,7 +88,7 @@ ENTRIES["listing_files_load"] = (
 
 def _page_archive(spark, sf_dir):
     """All pages written as objects of an archive and read back from it."""
-    spark.dataSource.register(archive.PageArchive)
+    archive.register(spark)
     path = f"{ensure_checkpoint_dir(spark)}/archive-{uuid.uuid4().hex}"
     raw = pages.with_key_parts(bind.table(spark, sf_dir, "raw_pages"))
     raw.select("page_key", "html", "platform", "date", "market", "merchant_id").write.format("page_archive").mode("append").save(path)

@@ -1,11 +1,10 @@
 """The page archive as a data source: pages as single objects under ``platform/date/market/merchant.html``.
 
-    spark.dataSource.register(PageArchive)
+    register(spark)
     spark.read.format("page_archive").load(path).where("platform = 'ubereats' AND date >= '2024-01-01'")
 
 The driver lists folders, never files: a partition is one folder of a platform, day and market, and its task
-lists and reads the files. Filters on the three columns choose the folders (Spark asks for them where
-``spark.sql.python.filterPushdown.enabled`` is set; without it they are applied to the rows). As a stream it
+lists and reads the files. Filters on the three columns choose the folders. As a stream it
 gives the files that came since the last batch, by their time. Written to, it makes an object of each row.
 
 The store is opened with ``pyarrow.fs``, which knows local, HDFS and S3 addresses; what only Spark
@@ -23,6 +22,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan,
     LessThanOrEqual, WriterCommitMessage,
@@ -206,3 +206,9 @@ class PageArchive(DataSource):
         if overwrite:
             raise ValueError("the archive is only added to")
         return PageWriter(self.options["path"])
+
+
+def register(spark: SparkSession) -> None:
+    """Makes the source known to the session, with the setting that lets it see filters."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(PageArchive)

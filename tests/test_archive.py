@@ -13,13 +13,11 @@ PAGES = [
 
 @pytest.fixture()
 def path(spark, tmp_path):
-    spark.dataSource.register(archive.PageArchive)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    archive.register(spark)
     write(spark, PAGES, tmp_path)
     (tmp_path / "doordash" / "2024-01-01" / "rome" / "note.txt").write_text("no page")
     (tmp_path / "doordash" / "not a day" / "rome").mkdir(parents=True)
-    yield str(tmp_path)
-    spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    return str(tmp_path)
 
 
 def write(spark, pages, path):
