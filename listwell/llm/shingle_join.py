@@ -173,9 +173,15 @@ def shingle_join(
     shards = max(1, -(-(members.agg(F.sum("n_shingles")).first()[0] or 0) // SHARD_SHINGLES))
 
     def prefixes(batches):
-        """Prefix shingles, packed for the shard that holds their index lists."""
+        """Prefix shingles, packed for the shard that holds their index lists. Of copies within a task one speaks for all."""
+        seen = set()
         for _, found in _sets(batches, n):
-            found = [s for s in found if len(s)]
+            fresh = []
+            for s in found:
+                if len(s) and (name := _print(s)) not in seen:
+                    seen.add(name)
+                    fresh.append(s)
+            found = fresh
             if not found:
                 continue
             own = [_ordered(s, levels)[: prefix_length(len(s), least)] for s in found]
