@@ -7,13 +7,14 @@ import math
 import random
 import re
 import time
+import unicodedata
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from listwell.llm import bpe, catalog, mixing, near_lines, near_vectors, ngram_trie, quality, secrets, shingle_join, token_files, url_templates
+from listwell.llm import bpe, catalog, common, mixing, near_lines, near_vectors, ngram_trie, quality, secrets, shingle_join, token_files, url_templates
 
 SF = "/root/testdata/sf0.001"
 CLASH = "tie string, row string, size string, at string, s string, w string, copies string, batch string, class string, line string, _row string"
@@ -478,6 +479,70 @@ def test_quality_distances(spark):
     assert found[5].word_distance == pytest.approx(math.sqrt(js))
 
 
+def plain_divergence(p, q):
+    half = lambda a, b: a * math.log2(2 * a / (a + b)) if a > 0 else 0.0
+    return math.sqrt(max(0.0, sum(half(a, b) + half(b, a) for a, b in zip(p, q)) / 2))
+
+
+def plain_quality(rows):
+    """[(char distance, word distance, kept)] of (text, lang) rows, by the definitions: every distinct good text of a language weighs one."""
+
+    def bars(t):
+        w = "".join(words(t))
+        kind = lambda c: (
+            "upper" if unicodedata.category(c) == "Lu" else "letter" if unicodedata.category(c)[0] == "L" else "digit" if c in "0123456789"
+            else "mark" if c in ".,;:!?'\"()-" else "symbol" if c in "#*$%&|<>" else "other"
+        )
+        count = collections.Counter(map(kind, w))
+        return [len(t) - len(w), *(count[k] for k in ("letter", "upper", "digit", "mark", "symbol", "other"))]
+
+    def failed(w):
+        windows = collections.Counter(zip(w, w[1:], w[2:]))
+        again = {k for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for k in range(i, i + 3)}
+        return len(w) < 50 or 100 * len(again) > 50 * len(w)
+
+    bad = {t: failed(words(t)) for t, _ in rows}
+    chars, shares = {}, {}
+    for lang in {lang for _, lang in rows}:
+        good = sorted({t for t, own in rows if own == lang and not bad[t]})
+        shapes = [[x / sum(bars(t)) for x in bars(t)] for t in good]
+        chars[lang] = [sum(x) / len(good) for x in zip(*shapes)] if good else None
+        weight = collections.Counter()
+        for t in good:
+            for w, n in collections.Counter(words(lower(t))).items():
+                weight[w] += n / len(words(t))
+        top = sorted(weight.items(), key=lambda x: (-round(x[1], 9), x[0].encode()))[: quality.COMMON]
+        shares[lang] = [(w, x / len(good)) for w, x in top]
+    out = []
+    for t, lang in rows:
+        w = words(lower(t))
+        if len(w) < 50 or chars[lang] is None:
+            out.append((None, None, not bad[t]))
+            continue
+        count = collections.Counter(w)
+        p, q = [count[x] / len(w) for x, _ in shares[lang]], [x for _, x in shares[lang]]
+        own = bars(t)
+        char, word = plain_divergence([x / sum(own) for x in own], chars[lang]), plain_divergence([*p, max(0, 1 - sum(p))], [*q, max(0, 1 - sum(q))])
+        out.append((char, word, not (bad[t] or char > 0.27 or word > 0.19 + 1.3 / math.sqrt(len(w)))))
+    return out
+
+
+def test_quality_equals_brute_force(spark):
+    rnd = random.Random(12)
+    texts = [sentence(rnd, rnd.randint(30, 400)) for _ in range(80)]
+    texts += [" ".join(w + rnd.choice(["", "$", "9", "!"]) for w in texts[i].split()) for i in range(10)] + [t.upper() for t in texts[:5]] + [" ".join(f"{rnd.random()}" for _ in range(120))] * 7
+    texts += ["\n".join([texts[0]] * 3), sentence(rnd, 20_000), "", " \n ", "東京 " * 80, " ".join(rnd.choice("αβγδε") * 4 + str(i) for i in range(90))]
+    rows = [(t, rnd.choice(["en", "fr"]) if i % 9 else None) for i, t in enumerate(texts)] + [(texts[3], "en")] * 4 + [("x y z " * 40, "only bad")] * 2
+    df = spark.createDataFrame([(i, t or None, lang) for i, (t, lang) in enumerate(rows)], "doc_id bigint, text string, lang string").repartition(5)
+    got = {r.doc_id: r for r in quality.quality(df).collect()}
+    wanted = plain_quality(rows)
+    assert len(got) == len(rows) and {r.kept for r in got.values()} == {True, False}
+    for i, (char, word, kept) in enumerate(wanted):
+        assert got[i].kept == kept and (got[i].char_distance is None) == (char is None)
+        if char is not None:
+            assert got[i].char_distance == pytest.approx(char, abs=1e-6) and got[i].word_distance == pytest.approx(word, abs=1e-6)
+
+
 @pytest.mark.parametrize("junk", ["copies", "long", "failed"])
 def test_quality_reference_is_not_moved_by_junk(spark, junk):
     """Over a third of a language is one junk text, many times or a long one, or junk that fails the base rules."""
@@ -627,3 +692,81 @@ def test_near_duplicate_stage_keeps_one(spark, docs):
     kept = corpus_pipeline.keep_one_of_each(spark, docs, SF).collect()
     same_text = [r for r in kept if r.text == "Same text again"]
     assert [r.doc_id for r in same_text] == [10]
+
+
+def plain_without_repeated_lines(rows):
+    """{doc_id: text} without the lines of which an equal one, or one that differs in a word, came earlier."""
+    seen, out = [], {}
+    for i, text in sorted(rows.items()):
+        kept = []
+        for line in text.split("\n"):
+            own = words(line)
+            if not own or not any(own == s or min(len(own), len(s)) >= 10 and word_edits(own, s) <= 1 for s in seen):
+                kept.append(line)
+            if own:
+                seen.append(own)
+        if words("\n".join(kept)) or not words(text):
+            out[i] = "\n".join(kept)
+    return out
+
+
+def plain_one_of_each(rows, n=5, share=0.8):
+    sets = {}
+    for i, text in rows.items():
+        w = words(lower(text))
+        sets[i] = {tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))} if w else set()
+    low = {i: i for i in rows}
+    for _ in rows:
+        for i, a in sets.items():
+            for j, b in sets.items():
+                if a and b and len(a & b) >= share * len(a | b) - 1e-12:
+                    low[i] = low[j] = min(low[i], low[j])
+    return {i: text for i, text in rows.items() if low[i] == i}
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """All stages but the mix against plain Python; of the mix, what it may take from where."""
+    import corpus_pipeline
+    import tiktoken
+
+    rnd = random.Random(21)
+    table = []
+    for i in range(70):
+        lines = [sentence(rnd, rnd.randint(8, 40)) for _ in range(rnd.randint(2, 7))]
+        if table and rnd.random() < 0.4:  # a near copy, or a line from elsewhere, or nearly
+            lines = table[rnd.randrange(len(table))][1].split("\n")[: rnd.choice([2, 9])] + lines[:1]
+        if rnd.random() < 0.3:
+            w = lines[0].split(" ")
+            w[rnd.randrange(len(w))] = "changed"
+            lines[0] = " ".join(w)
+        if rnd.random() < 0.1:
+            lines = ["$$$ 1 2 3 ### 4 5 6 &&& %%%" * 12]
+        table.append((i, "\n".join(lines)))
+    table += [(200 + i, table[3][1] + f" tail{i}") for i in range(5)]
+    for i in range(8):  # long lines, two words apart
+        w = sentence(rnd, 200).split(" ")
+        table.append((300 + 2 * i, " ".join(w)))
+        table.append((301 + 2 * i, " ".join([*w[:90], "other", *w[91:150], "words", *w[151:]])))
+    full = [(i, t, rnd.choice(["en", "fr"]), rnd.choice(["a", "b", None]), len(t)) for i, t in table]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(full, schema).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+
+    good = {r[0]: r[1] for r, (_, _, kept) in zip(full, plain_quality([(r[1], r[2]) for r in full])) if kept}
+    cut = plain_without_repeated_lines(good)
+    one = plain_one_of_each(cut)
+    assert 5 < len(one) < len(cut) <= len(good) < len(full) and cut != good
+    docs, seen = spark.read.parquet(str(tmp_path / "documents.parquet")), {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = common.staged(stage(spark, docs, str(tmp_path)))
+        seen[name] = docs.collect()
+    told = {r[0]: r for r in full}
+    for name, wanted in (("quality", good), ("line_dedup", cut), ("near_duplicates", one)):
+        assert sorted((r.doc_id, r.text, r.lang, r.n_chars) for r in seen[name]) == sorted((i, t, told[i][2], len(t)) for i, t in wanted.items())
+    mixed = seen["mix"]
+    assert {r.doc_id for r in mixed} <= set(one) and max(collections.Counter(r.doc_id for r in mixed).values()) <= 3
+    assert all(set(words(r.text)) <= set(words(one[r.doc_id])) and len(words(r.text)) <= len(words(one[r.doc_id])) for r in mixed)
+    theirs = tiktoken.Encoding("own", pat_str=catalog.tokenizer_pattern(), mergeable_ranks=bpe.read_ranks(catalog.tokenizer_file("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    expected = [(r.doc_id, len(ids), sha(",".join(map(str, ids)).encode()), sha((r.text or "").encode())) for r in mixed for ids in [theirs.encode_ordinary(r.text or "")]]
+    assert sorted(map(tuple, seen["tokens"])) == sorted(expected)
+    assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect())) == sorted(expected)
