@@ -128,6 +128,8 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
                     places = np.arange(len(v), dtype=np.uint64)
                     # a key without a place for lines that equal a variant, one with it for lines that differ in that place
                     keys += [v, mixed(v ^ mixed(places + np.uint64(1))), whole[line : line + 1]]
+                    if not places_too:
+                        continue
                     kinds += [np.zeros(len(v), np.int8), np.ones(len(v), np.int8), np.full(1, 2, np.int8)]
                 m = 2 * (own.end - own.start)[some] + 1
                 if not places_too:
@@ -157,19 +159,17 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
 
 
 def _ranked_texts(rows: DataFrame, text: str) -> DataFrame:
-    """Adds ``_t``: 0 where all texts of an id are equal, else the rank of the text among the id's different texts.
+    """Adds ``_t``: 0 where an id has one row, else the rank of the text among the id's different texts.
 
-    Texts of one id are told apart by 128 bits of hashes and their length, and ranked by the first 64. Ids with several texts are
-    found by minima and maxima alone; only their texts are ranked, by ranges, however many share an id.
+    Texts of one id are told apart by 128 bits of hashes and their length, and ranked by the first 64. Only texts of ids that
+    come more than once are looked at, and they are ranked by ranges, however many share an id.
     """
+    several = staged(rows.groupBy("_d").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("_d").alias("_e")))
+    if several.isEmpty():
+        return rows.withColumn("_t", F.lit(0))
     value = F.coalesce(F.col(text), F.lit(""))
     marks = {"_h1": F.xxhash64(value), "_h2": F.xxhash64(F.lit(1), value), "_size": F.length(value)}
     marked = rows.select("_d", *[c.alias(name) for name, c in marks.items()])
-    differ = " OR ".join(f"min{m} <> max{m}" for m in marks)
-    ends = [f(m).alias(f"{word}{m}") for m in marks for word, f in (("min", F.min), ("max", F.max))]
-    several = marked.groupBy("_d").agg(*ends).where(differ).select(F.col("_d").alias("_e"))
-    if several.isEmpty():
-        return rows.withColumn("_t", F.lit(0))
     texts_of = marked.join(several, F.col("_d").eqNullSafe(F.col("_e")), "left_semi").distinct()
     ranked = numbered(texts_of, ["_d", *marks])
     first = ranked.groupBy("_d").agg(F.min("number").alias("first")).withColumnRenamed("_d", "_e")
