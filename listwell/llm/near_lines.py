@@ -12,7 +12,7 @@ a key, and the earliest is found by partial aggregates.
 
 Only lines that can have a partner emit variants: of two lines one edit apart, the first or
 the last halves (by words of the shorter) are equal, so a line whose halves nobody shares
-has none. Hashes of subsequences are polynomial sums over 64-bit hashes of words.
+has none. Hashes of subsequences are polynomial sums over 64-bit hashes of words, and those over bytes.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listwell.llm.common import WordHash, let, mixed, numbered, pieces, staged, texts
+from listwell.llm.common import let, mixed, numbered, pieces, staged, texts
 
 MIN_WORDS = 10
 EMITTED = 256  # lines in a batch of variants
@@ -37,22 +37,45 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+#: A random number for each byte, and which bytes stand between words.
+BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+SPACES = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+
+
+class Powers:
+    """Powers of BASE and of its inverse, as many as were ever needed."""
+
+    def __init__(self):
+        self.up, self.down = _powers(BASE, 1 << 16), _powers(UNBASE, 1 << 16)
+
+    def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n >= len(self.up):
+            self.up, self.down = _powers(BASE, 2 * n), _powers(UNBASE, 2 * n)
+        return self.up, self.down
+
+
 class Lines:
-    """The lines of a batch of texts: hashes of words one after another, and where each line starts."""
-
-    def __init__(self, batch_texts: list[bytes], hashes: WordHash):
-        found, self.doc, self.number, starts = [], [], [], [0]
-        for d, text in enumerate(batch_texts):
-            for i, line in enumerate(text.split(b"\n")):
-                own = line.split()
-                if own:
-                    found += own
-                    self.doc.append(d)
-                    self.number.append(i)
-                    starts.append(len(found))
-        self.start, self.end = np.array(starts[:-1], np.int64), np.array(starts[1:], np.int64)
-        self.up, self.down = _powers(BASE, len(found)), _powers(UNBASE, len(found))
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(hashes.of(found)) * self.up[: len(found)], dtype=np.uint64)])
+    """The lines of a batch of texts: hashes of words one after another, and where each line starts.
+
+    All texts are looked through as one array of bytes. A word's hash is a polynomial sum over its bytes, so
+    no word is made an object.
+    """
+
+    def __init__(self, batch_texts: list[bytes], powers: Powers):
+        data = np.frombuffer(b"\n".join(batch_texts) + b"\n", np.uint8)
+        between = SPACES[data]
+        edges = np.flatnonzero(np.diff(between, prepend=True))
+        first, last = edges[::2], edges[1::2]  # a line feed ends the array, so every word has an end
+        up, down = powers.to(max(len(data), len(first)) + 1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTES[data] * up[: len(data)], dtype=np.uint64)])
+        word = mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+        line, self.start = np.unique(np.searchsorted(np.flatnonzero(data == 10), first), return_index=True)
+        self.end = np.append(self.start[1:], len(word)) if len(word) else self.start
+        ends = np.cumsum([t.count(b"\n") + 1 for t in batch_texts])
+        doc = np.searchsorted(ends, line, side="right")
+        self.doc, self.number = doc.tolist(), (line - np.concatenate([[0], ends])[doc]).tolist()
+        self.up, self.down = up, down
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(word * up[: len(word)], dtype=np.uint64)])
 
     def part(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """Hashes of the words from lo up to hi, wherever they stand."""
@@ -89,9 +112,9 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
     keyed = rows.select(F.col("_d").alias("doc_id"), F.col("_t").alias("tie"), F.col(text).alias("text"))
 
     def scan(batches):
-        hashes = WordHash()
+        powers = Powers()
         for b in pieces(batches, "text"):
-            own = Lines(texts(b, "text"), hashes)
+            own = Lines(texts(b, "text"), powers)
             if not len(own.start):
                 continue
             n, halves = own.end - own.start, own.halves()
@@ -116,10 +139,10 @@ def dropped_lines(rows: DataFrame, text: str, min_words: int = MIN_WORDS) -> Dat
     wanted = able.groupBy(F.nullif("id", F.lit(NO_ID)).alias("w_id"), F.shiftright("at", 32).cast("int").alias("w_tie")).agg(F.collect_set(number).alias("numbers"))
 
     def emit(batches, places_too=True):
-        hashes = WordHash()
+        powers = Powers()
         unpacked = (pa.RecordBatch.from_arrays([*(b.column(c) for c in (text, "numbers", "_d", "_t"))], ["text", "numbers", "_d", "_t"]) for b in batches)
         for b in pieces(unpacked, "text"):
-            own, wanted_of = Lines(texts(b, "text"), hashes), [set(x) for x in b.column("numbers").to_pylist()]
+            own, wanted_of = Lines(texts(b, "text"), powers), [set(x) for x in b.column("numbers").to_pylist()]
             whole, found = own.whole(), [i for i, (d, number) in enumerate(zip(own.doc, own.number)) if number in wanted_of[d]]
             for start in range(0, len(found), EMITTED):
                 some, keys, kinds = found[start : start + EMITTED], [], []
