@@ -215,12 +215,42 @@ def within(points: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, st
     return met.drop("_level", "_bucket", "_end")
 
 
+def counts_within(points: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, start: str, end: str, span_id: str) -> DataFrame:
+    """(``span_id``, found): how many points of its keys each span has, ``start`` and ``end`` included; no pair is formed.
+
+    A span has the points up to its end without those before its start, and a span without an end all points from its
+    start on. Points, reduced to one row per time, and both ends of the spans go through one order of (keys, time), cut into
+    ranges as in :func:`as_of`; points are counted on within a range, and from range to range only the sums of each key.
+    Spans equal in id are added up. Those with a null key or start, or that end before they start, have none.
+    """
+    known = lambda c: reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in (*keys, c)])
+    held = points.where(known(at)).groupBy(*keys, F.col(at).cast("timestamp").alias("_at")).agg(F.count("*").alias("_n"))
+    # Sides of one time: starts, then points, then ends. Ends that are open come after all times.
+    none = F.lit(None).cast(spans.schema[span_id].dataType).alias("_id")
+    held = held.select(*keys, F.lit(False).alias("_open"), "_at", F.lit(1).alias("_side"), none, F.lit(0).alias("_sign"), "_n")
+    edge = lambda time, open_, side, sign: F.struct(
+        open_.alias("_open"), time.cast("timestamp").alias("_at"), F.lit(side).alias("_side"), F.lit(sign).alias("_sign"), F.lit(0).cast("bigint").alias("_n")
+    )
+    both_ends = F.array(edge(F.col(start), F.lit(False), 0, -1), edge(F.col(end), F.col(end).isNull(), 2, 1))
+    whole = spans.where(known(start) & (F.col(end).isNull() | (F.col(end) >= F.col(start))))
+    asked = whole.select(*keys, F.col(span_id).alias("_id"), F.inline(both_ends)).select(*held.columns)
+    order = [*keys, "_open", "_at", "_side", "_id"]
+    ranged = cut_lineage(held.unionByName(asked).repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    so_far = Window.partitionBy("_range", *keys).orderBy("_open", "_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*keys, "_range").agg(F.sum("_n").alias("_sum"))
+    carried = sums.select(*keys, "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carried"))
+    counted = ranged.withColumn("_so_far", F.sum("_n").over(so_far)).where("_side <> 1").join(carried, [*keys, "_range"])
+    found = counted.groupBy(F.col("_id").alias(span_id)).agg(F.sum(F.col("_sign") * (F.col("_so_far") + F.col("_carried"))).alias("found"))
+    ids = spans.select(span_id).distinct()
+    return ids.join(found, ids[span_id].eqNullSafe(found[span_id]), "left").select(ids[span_id], F.coalesce("found", F.lit(0)).cast("bigint").alias("found"))
+
+
 def audit_by_time(listings: DataFrame, runs: DataFrame) -> DataFrame:
-    """(id, merchants_found): listings of a run's platform and market seen while it ran; listings count for every run that saw them."""
+    """(id, merchants_found), one row per run: listings of a run's platform and market seen while it ran; listings count for every run that saw them."""
     seen = listings.select("platform", "market", F.col("scraped_at").alias("_seen"))
-    spans = runs.select("platform", "market", F.col("id"), "started_at", "finished_at")
-    found = within(seen, spans, ["platform", "market"], "_seen", "started_at", "finished_at").groupBy("id").agg(F.count("*").alias("merchants_found"))
-    return runs.select("id").join(found, "id", "left").select("id", F.coalesce("merchants_found", F.lit(0)).alias("merchants_found"))
+    spans = runs.select("platform", "market", "id", "started_at", "finished_at")
+    return counts_within(seen, spans, ["platform", "market"], "_seen", "started_at", "finished_at", "id").withColumnRenamed("found", "merchants_found")
 
 
 #: Registers of a sketch: 2^12. The estimate's relative standard error is about 1.04 / 2^6 = 1.6 %.

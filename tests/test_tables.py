@@ -224,6 +224,28 @@ def test_runs_that_overlap_count_a_listing_each(spark):
     assert rows(tb.audit_by_time(seen, runs), "id", "merchants_found") == [(1, 1), (2, 2), (3, 0)]
 
 
+def test_counts_in_spans_equal_brute_force(spark):
+    rng = random.Random(6)
+    points = [(rng.choice(["x", "x", "y", None]), rng.choice([None, rng.randint(0, 300)]) if i % 9 == 0 else rng.randint(0, 300)) for i in range(400)]
+    spans = [(i, rng.choice(["x", "y", "z", None]), s := rng.randint(-5, 310), rng.choice([None, s, s - 5, s + rng.randint(0, 200)])) for i in range(150)]
+    spans += [(900, "x", None, 5), (901, "x", None, None), (902, "x", 0, 0), (902, "x", 0, None), (None, "x", 0, 300)]
+    stamp = lambda df, *cs: df.withColumns({c: F.timestamp_seconds(c) for c in cs})
+    a = stamp(spark.createDataFrame(points, "k string, at bigint"), "at")
+    b = stamp(spark.createDataFrame(spans, "r int, k string, s bigint, e bigint"), "s", "e")
+    want = {r: 0 for r, *_ in spans}
+    for r, key, s, e in spans:
+        want[r] += sum(1 for k, at in points if None not in (k, at, s) and k == key and s <= at and (e is None or at <= e))
+    assert {x.r: x.found for x in tb.counts_within(a, b, ["k"], "at", "s", "e", "r").collect()} == want
+    assert all(r.found == 0 for r in tb.counts_within(a.limit(0), b, ["k"], "at", "s", "e", "r").collect())
+
+
+def test_runs_without_an_end_form_no_pairs(spark):
+    """60,000 listings and as many open runs of one platform and market: 1,800,030,000 pairs, which may not be gone through."""
+    seen = spark.range(60_000).select(F.lit("p").alias("platform"), F.lit("m").alias("market"), F.timestamp_seconds("id").alias("scraped_at"))
+    runs = seen.select("platform", "market", F.unix_seconds("scraped_at").alias("id"), F.col("scraped_at").alias("started_at"), F.lit(None).cast("timestamp").alias("finished_at"))
+    assert rows(tb.audit_by_time(seen, runs).where("merchants_found <> 60000 - id"), "id") == []
+
+
 def test_sketches_merge_within_their_error(spark):
     days = spark.range(60_000).select(
         F.expr("timestamp '2024-01-01' + make_interval(0, 0, 0, cast(id % 14 as int))").alias("scraped_at"),
