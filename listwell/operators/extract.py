@@ -248,15 +248,19 @@ def jet_listings(pages: DataFrame) -> DataFrame:
 
 def window_near(state: Column, store_id: Column) -> Column:
     """Up to a thousand characters on both sides of the first mention of the id; null if there is none."""
-    at = F.instr(state, store_id)
-    start = F.greatest(at - 1 - STATE_WINDOW, F.lit(0))
-    return F.when(at > 0, F.substring(state, start + 1, at - 1 + STATE_WINDOW - start))
+
+    def around(s: Column) -> Column:
+        start = lambda at: F.greatest(at - 1 - STATE_WINDOW, F.lit(0))
+        return tx.let(F.instr(s, store_id), lambda at: F.when(at > 0, F.substring(s, start(at) + 1, at - 1 + STATE_WINDOW - start(at))))
+
+    return tx.let(state, around)
 
 
 def coords_in(window: Column) -> Column:
     """(lat, lng) written in the text, if both are there and neither is 0."""
-    number = lambda pattern: F.nullif(F.regexp_extract(window, pattern, 1), F.lit("")).try_cast("double")
-    return usable(F.struct(number(LAT_IN_STATE).alias("lat"), number(LNG_IN_STATE).alias("lng")))
+    number = lambda w, pattern: F.nullif(F.regexp_extract(w, pattern, 1), F.lit("")).try_cast("double")
+    both = lambda w: F.struct(number(w, LAT_IN_STATE).alias("lat"), number(w, LNG_IN_STATE).alias("lng"))
+    return tx.let(window, lambda w: tx.let(both(w), usable))
 
 
 def usable(at: Column) -> Column:

@@ -10,6 +10,7 @@ from listwell.operators import extract as ex
 from listwell.operators.tables import first_seen
 from listwell.plans.catalog.common import doubles, registrar
 from listwell.plans.coverage import first_listings
+from listwell.session import spread
 from listwell.sources.pages import with_key_parts
 
 ENTRIES, query = registrar()
@@ -181,7 +182,7 @@ v AS (SELECT id, TRY_CAST(regexp_extract(t, '(?i)(?:latitude|lat)["\\\\]*:\\s*(-
 SELECT id, CASE WHEN lat <> 0 AND lng <> 0 THEN lat END AS lat, CASE WHEN lat <> 0 AND lng <> 0 THEN lng END AS lng FROM v""")
 def _(part):
     spot = ex.coords_in(ex.window_near(F.expr(STATE), F.concat(F.lit("s"), "p_partkey")))
-    return part.select(F.col("p_partkey").alias("id"), spot.alias("p")).select("id", "p.lat", "p.lng")
+    return spread(part, "p_partkey").select(F.col("p_partkey").alias("id"), spot.alias("p")).select("id", "p.lat", "p.lng")
 
 
 FAR = """CONCAT('<a href="/store/x/s', CAST(p_partkey AS VARCHAR(20)), '">', p_name, '</a><script id="__REDUX_STATE__">"{\\\\u0022stores\\\\u0022:[{\\\\u0022id\\\\u0022:\\\\u0022s', CAST(p_partkey AS VARCHAR(20)),

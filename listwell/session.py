@@ -24,6 +24,15 @@ def local_session(cores: str | int = "*", app: str = "listwell") -> SparkSession
     )
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by ``keys`` to two tasks a core, for much work on short rows.
+
+    A table of short rows is read by a task or two however much each row has to go through. By a hash, so a task that
+    runs again gets the same rows; and to a number of its own, as the rows' bytes say nothing of the work.
+    """
+    return rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints.
 

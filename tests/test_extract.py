@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from listwell.operators import extract as ex
 
@@ -166,3 +167,22 @@ def test_ids_found_in_one_pass():
     for wanted in ("1", "u", "zz"):
         one = jsonwalk.object_with_id(root, wanted)
         assert jsonwalk.objects_with_ids(root, ["1", "u", "zz"]).get(wanted, jsonwalk.ABSENT) == one
+
+
+# ---- Work per page: once, and on all cores ---------------------------------------------
+
+
+def _planned(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_state_is_made_once_for_all_that_is_read_of_it(spark, table):
+    import __spark_entry__ as entry
+    from listwell.plans.catalog.pages import STATE
+
+    plan = _planned(entry.queries()["coords_near_id"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("repeat(") == STATE.count("repeat(")
+    spot = spark.range(1).select(ex.coords_in(ex.window_near(F.lit('"lat": 1.5, x1 "lng": 2.5'), F.lit("x1"))).alias("p")).first().p
+    assert (spot.lat, spot.lng) == (1.5, 2.5)
+    none = spark.range(1).select(ex.coords_in(ex.window_near(F.lit("x1"), F.lit("y"))).alias("p"), ex.window_near(F.lit(None).cast("string"), F.lit("y")).alias("w")).first()
+    assert none.p is None and none.w is None
