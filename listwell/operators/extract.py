@@ -234,8 +234,9 @@ def _jet_place(s: Column) -> Column:
 
 def jet_listings(pages: DataFrame) -> DataFrame:
     """The known map or loose objects, of the first script that has either."""
-    found = scripts(F.col("html"))
-    staged = pages.withColumn("r", jsonwalk.restaurants_of(script_body(found, NEXT), script_body(found, REACT)))
+    found = F.col("scripts")
+    staged = pages.withColumn("scripts", scripts(F.col("html")))
+    staged = staged.withColumn("r", jsonwalk.restaurants_of(script_body(found, NEXT), script_body(found, REACT)))
     known = F.transform(
         F.map_entries(F.from_json("r.known", "map<string, variant>")), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("v"))
     )
@@ -322,10 +323,10 @@ def ubereats_listings(pages: DataFrame) -> DataFrame:
     The states are searched once for the ids of all cards, and opened once for those that have no
     coordinates nearby. Only what was found goes on when the page is split into its cards.
     """
-    found = scripts(F.col("html"))
-    staged = pages.withColumns(
-        {"links": dom.store_links_of(F.col("html")), "s0": script_body(found, REACT), "s1": script_body(found, REDUX)}
-    ).withColumn("cards", first_named(F.col("links")))
+    # The scripts are a column of their own, so that the page is searched for them once.
+    found = F.col("scripts")
+    staged = pages.withColumn("scripts", scripts(F.col("html"))).withColumns({"s0": script_body(found, REACT), "s1": script_body(found, REDUX)})
+    staged = staged.withColumn("links", dom.store_links_of(F.col("html"))).withColumn("cards", first_named(F.col("links")))
     ids = F.transform("cards", lambda c: c["id"])
     told = jsonwalk.stores_in_states(ids, F.col("s0"), F.col("s1"), STATE_WINDOW, LAT_IN_STATE, LNG_IN_STATE)
     each = F.arrays_zip(F.col("cards").alias("c"), told.alias("t"))

@@ -186,3 +186,10 @@ def test_a_state_is_made_once_for_all_that_is_read_of_it(spark, table):
     assert (spot.lat, spot.lng) == (1.5, 2.5)
     none = spark.range(1).select(ex.coords_in(ex.window_near(F.lit("x1"), F.lit("y"))).alias("p"), ex.window_near(F.lit(None).cast("string"), F.lit("y")).alias("w")).first()
     assert none.p is None and none.w is None
+
+
+def test_a_page_is_searched_for_its_scripts_once(spark, table):
+    from listwell.plans.catalog.pages import FAR, as_page
+
+    pages = as_page(spark.read.parquet("/root/testdata/sf0.001/part.parquet"), FAR).select("page_key", F.lit("m").alias("page_market"), "html")
+    assert _planned(ex.ubereats_listings(pages)).count("regexp_extract_all(") == 2
