@@ -91,7 +91,7 @@ def _(raw):
 
 def as_page(part, html: str, platform: str = "ubereats"):
     """A page per part, the html given as SQL text over the part's columns."""
-    return part.select(
+    return spread(part, "p_partkey").select(
         F.col("p_partkey").alias("id"), F.concat(F.lit(f"{platform}/2024-01-01/m/listing_"), "p_partkey", F.lit(".html")).alias("page_key"),
         F.lit(platform).alias("platform"), F.lit("m").alias("market"), F.expr(html).alias("html"),
     )

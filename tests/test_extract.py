@@ -193,3 +193,11 @@ def test_a_page_is_searched_for_its_scripts_once(spark, table):
 
     pages = as_page(spark.read.parquet("/root/testdata/sf0.001/part.parquet"), FAR).select("page_key", F.lit("m").alias("page_market"), "html")
     assert _planned(ex.ubereats_listings(pages)).count("regexp_extract_all(") == 2
+
+
+def test_pages_made_of_rows_lie_on_all_cores(spark, table):
+    from listwell.plans.catalog.pages import CARDS, as_page
+
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    assert part.rdd.getNumPartitions() == 1
+    assert as_page(part, CARDS, "doordash").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
