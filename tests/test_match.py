@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from listwell.functions import similarity as sim
 from listwell.operators import fuzzy
+from listwell.operators import incremental as inc
 from listwell.operators import match as mt
 from listwell.operators.components import connected_components
 
@@ -150,3 +151,13 @@ def test_candidates_are_few_where_names_are_alike(spark):
     wanted = {(a, b) for i, a in enumerate(names) for b in names[i + 1 :] if sim._fuzz(a, b) >= 80}
     met = {(r.value_a, r.value_b) for r in fuzzy.candidate_pairs(df, df, ["market"], ["market"]).collect()}
     assert wanted <= met and len(met) <= 10 * len(wanted)
+
+
+def test_cleaning_lies_on_all_cores(spark):
+    pm = spark.createDataFrame(
+        [(i, "pq"[i % 2], f"Shop {i}", "1 Mill Lane, Hull", 1.0, 1.0, "m") for i in range(64)], "id bigint, platform string, name string, address string, lat double, lng double, market string"
+    ).coalesce(1)
+    for cleaned in (mt._resolvable(pm), inc._cleaned(pm)):
+        spread_over = cleaned._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression [id#" in spread_over and f"], {2 * spark.sparkContext.defaultParallelism}" in spread_over
+        assert cleaned.count() == 64
