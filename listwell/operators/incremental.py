@@ -23,7 +23,7 @@ from listwell.operators import match as mt
 from listwell.operators.components import connected_components
 from listwell.operators.fuzzy import key_frequencies, similar_to_new, text_keys
 from listwell.plans.quality import market_mode
-from listwell.session import cut_lineage
+from listwell.session import cut_lineage, spread
 
 SIG, PARTS, KEYS = list(mt.SIGNATURE), mt.PARTS, list(mt.KEYS)
 
@@ -48,7 +48,7 @@ class Resolution:
 
 
 def _cleaned(rows: DataFrame) -> DataFrame:
-    cleaned = mt.match_fields(rows.dropDuplicates(["id"]))
+    cleaned = mt.match_fields(spread(rows.dropDuplicates(["id"]), "id"))
     return cleaned.select("id", "platform", F.col("market").alias("given_market"), "name", *PARTS)
 
 
