@@ -79,14 +79,22 @@ def in_days(pages: DataFrame, usable: DataFrame) -> DataFrame:
     return pages if len(days) > MOST_DAYS else pages.where(F.col("date").isin([d for d in days if d is not None]))
 
 
+#: So many events are sent to where the bodies are; with more, both sides are dealt by key.
+FEW_EVENTS = 10_000
+
+
 def fetch_pages(events: DataFrame, pages: DataFrame) -> DataFrame:
     """Events with the body of their page.
 
     The join names the key's folder columns too, so that on a page table stored by
     platform, date and market Spark can prune to the folders the events point to.
+
+    A few events are broadcast, so the bodies stay where they are. More go to tasks by key: by their
+    compressed size alone Spark would send any number of them through the driver, batch by batch.
     """
     on = _on(pages)
-    return _keyed(events).join(pages.select(*on, "html"), on).select(
+    few = events.limit(FEW_EVENTS + 1).count() <= FEW_EVENTS
+    return _keyed(events).hint("broadcast" if few else "merge").join(pages.select(*on, "html"), on).select(
         "page_key", F.col("event_platform").alias("platform"), F.col("event_market").alias("market"), "scraped_at", "html"
     )
 
@@ -102,10 +110,10 @@ def rejected_events(events: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def missing_pages(usable: DataFrame, pages: DataFrame) -> DataFrame:
-    """Events whose page is not in the table."""
+    """Events whose page is not in the table. Either side may be long: neither goes through the driver."""
     on = _on(pages)
     there = pages.select(*on, F.lit(True).alias("there"))
-    return _keyed(usable).join(there, on, "left").where("there IS NULL")
+    return _keyed(usable).join(there.hint("merge"), on, "left").where("there IS NULL")
 
 
 def listings_of(events: DataFrame, pages: DataFrame) -> DataFrame:
@@ -122,7 +130,7 @@ def listings_from(usable: DataFrame, pages: DataFrame) -> DataFrame:
     times = usable.groupBy(F.col("minio_key").alias("page_key")).agg(F.max("scraped_at").alias("scraped_at"))
     once = usable.groupBy("platform", "market", "minio_key").agg(F.max("scraped_at").alias("scraped_at"))
     rows = normalize_listings(extract_listings(fetch_pages(once, pages).drop("scraped_at")))
-    return rows.join(times, "page_key").withColumnRenamed("page_key", "raw_key")
+    return rows.join(times.hint("merge"), "page_key").withColumnRenamed("page_key", "raw_key")
 
 
 ORDER = ("scraped_at", "raw_key", "pos")

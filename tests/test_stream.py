@@ -96,3 +96,24 @@ def test_compaction_keeps_the_current_rows(spark, raw, tmp_path):
     ingest.compact(spark, str(tmp_path / "out"), str(tmp_path / "table"))
     assert rows(spark.read.parquet(str(tmp_path / "table"))) == rows(ingest.current_listings(spark, str(tmp_path / "out")))
     assert set(ex.LISTING_EXTRACTORS) >= {r.platform for r in spark.read.parquet(str(tmp_path / "table")).collect()}
+
+
+def _joins(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rejects_send_no_table_through_the_driver(spark, raw):
+    events = ingest.event_rows(raw, F.lit(100)).union(spark.createDataFrame([('{"platform":"doordash","market":"m","minio_key":"doordash/2024-01-01/m/k.html"}',)], "value string"))
+    lost = ingest.rejected_events(events, raw)
+    assert "Broadcast" not in _joins(lost)
+    assert [r.reason for r in lost.collect()] == ["page missing"]
+
+
+def test_many_events_meet_bodies_without_the_driver(spark, raw, monkeypatch):
+    events = ingest.event_rows(raw, F.lit(100) + F.length("merchant_id"))
+    few = ingest.listings_of(events, raw)
+    assert "BroadcastHashJoin" in _joins(few)
+    monkeypatch.setattr(ingest, "FEW_EVENTS", 10)
+    many = ingest.listings_of(events, raw)
+    assert "Broadcast" not in _joins(many)
+    assert rows(many) == rows(few) and rows(few)
