@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from listwell.session import spread
+
 AS_OF = "2024-01-15 00:00:00"
 
 _PLATFORM = (
@@ -93,7 +95,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     head, _, tail = text.rpartition(f"FROM {source}")
     # Spark's own argument slots use braces, which the page texts also contain.
     text = head.replace("{", "{{").replace("}", "}}") + "FROM {src}" + tail
-    return spark.sql(text, src=spark.read.parquet(f"{sf_dir}/{source}.parquet"))
+    rows = spark.read.parquet(f"{sf_dir}/{source}.parquet")
+    # A page is a hundred times as long as the row it is made of.
+    return spark.sql(text, src=spread(rows, "p_partkey") if name == "raw_pages" else rows)
 
 
 def ctes(*names: str) -> str:

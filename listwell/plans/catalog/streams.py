@@ -210,7 +210,7 @@ def _waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
     came = F.timestamp_seconds(F.lit(SECONDS) + F.abs("n") * 60)
     lag = F.when(F.col("n") % 3 == 0, F.expr("INTERVAL -5 MINUTES")).when(F.col("n") % 3 == 1, F.expr("INTERVAL 25 MINUTES")).otherwise(F.expr("INTERVAL 10 SECONDS"))
     keyed = ingest.event_rows(pages.withColumn("at", came), F.lit(SECONDS) + F.length("merchant_id"))
-    told = keyed.select("value", F.from_json("value", "minio_key string").getField("minio_key").alias("page_key")).join(pages.select("page_key", came.alias("arrived_at")), "page_key")
+    told = keyed.select("value", F.from_json("value", "minio_key string").getField("minio_key").alias("page_key")).join(pages.select("page_key", came.alias("arrived_at")).hint("merge"), "page_key")
     useless = all_events(spark, sf_dir).where("value NOT LIKE '%/listing_%'").select("value", F.timestamp_seconds(F.lit(SECONDS)).alias("arrived_at"))
     end = F.timestamp_seconds(F.lit(SECONDS + 864_000))
     events = told.select("value", "arrived_at").unionByName(useless)
