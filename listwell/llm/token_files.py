@@ -19,16 +19,19 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from listwell.llm.common import Memo, pieces, texts
+from listwell.llm.common import pieces
 
 BLOCK = 16_384
 CHUNK = 65_536
-MEMO_WORDS = 300_000
+MEMO_WORDS = 500_000
+MEMO_PIECES = 200_000
+TEXT_BYTES = 8_000_000  # texts whose words are looked up together
 
 CHUNK_SCHEMA = "part int, chunk int, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, planes array<binary>"
 
@@ -60,14 +63,16 @@ def from_planes(planes: list[bytes], n: int) -> np.ndarray:
     return np.concatenate(found)[:n] if found else np.zeros(0, "<u4")
 
 
-_ENCODERS: dict[str, Callable[[list[bytes]], np.ndarray]] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
+BINARY = pa.large_binary()
 
-def _parts_of_plain_words(spec: dict):
-    """A function from a word of printable ASCII to the pieces that the vocabulary's model gets, or None.
+
+def _plain_pieces(spec: dict):
+    """A compiled pattern that cuts lower-cased words of printable ASCII, a line feed between them, as the vocabulary does, or None.
 
     It is known for vocabularies that normalise and lower-case, cut by one pattern, and end a piece
-    with a suffix: printable ASCII bytes stand for themselves there.
+    with a suffix: printable ASCII bytes stand for themselves there. The line feeds are matched too.
     """
     rules = [r["type"] for part, many in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")) for r in (spec[part] or {}).get(many, [])]
     if rules != ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]:
@@ -75,50 +80,131 @@ def _parts_of_plain_words(spec: dict):
     split, level = spec["pre_tokenizer"]["pretokenizers"]
     if (split["behavior"], split["invert"], level["add_prefix_space"], level["use_regex"]) != ("Removed", True, False, False):
         return None
-    find = regex.compile(split["pattern"]["Regex"]).findall
-    return lambda word: find(word.decode().lower())
+    return regex.compile(f"{split['pattern']['Regex']}|\n")
+
+
+def _binary(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The ids from each bound to the next as an array of little-endian 32-bit numbers."""
+    return pa.LargeBinaryArray.from_buffers(BINARY, len(bounds) - 1, [None, pa.py_buffer(4 * np.asarray(bounds, np.int64)), pa.py_buffer(np.ascontiguousarray(ids, "<u4"))])
+
+
+def _ends(found: pa.Array) -> np.ndarray:
+    """Where the values of an array of ids start in its data, in ids, and the last one ends."""
+    return np.frombuffer(found.buffers()[1], np.int64)[found.offset : found.offset + len(found) + 1] // 4
+
 
+def _joined(words: pa.Array, most: int, between: str) -> list[tuple[int, str]]:
+    """(number, text) of each run of ``most`` words, joined."""
+    cuts = np.append(np.arange(0, len(words), most), len(words))
+    runs = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), words.cast(pa.string())), between)
+    return list(zip(np.diff(cuts).tolist(), runs.to_pylist()))
 
-def encoder(vocabulary: str) -> Callable[[list[bytes]], np.ndarray]:
-    """A function from the words of a text to its ids, by the tokenizers library.
+
+class Known:
+    """Ids of the keys used last, ``most`` of at most 64 bytes; many keys are looked up at once, ``work`` has ids for new ones."""
+
+    def __init__(self, most: int, work: Callable[[pa.Array], pa.Array]):
+        self.most, self.work = most, work
+        self.keys = self.ids = pa.array([], BINARY)
+
+    def of(self, keys: pa.Array) -> pa.Array:
+        """The ids of distinct keys."""
+        at = pc.index_in(keys, value_set=self.keys).fill_null(-1).to_numpy().astype(np.int64)
+        new = at < 0
+        used = np.zeros(len(self.keys), bool)
+        used[at[~new]] = True
+        at[new] = len(self.keys) + np.arange(new.sum())
+        ids = pa.concat_arrays([self.ids, self.work(keys.filter(pa.array(new)))]).take(pa.array(at))
+        short = np.flatnonzero(np.asarray(pc.binary_length(keys)) <= 64)[-self.most :]
+        rest = pa.array(np.flatnonzero(~used)[len(short) - self.most :] if len(short) < self.most else np.zeros(0, np.int64))
+        short = pa.array(short)
+        self.keys, self.ids = (pa.concat_arrays([old.take(rest), own.take(short)]) for old, own in ((self.keys, keys), (self.ids, ids)))
+        return ids
+
+
+class Encoder:
+    """Ids of words, by the tokenizers library.
 
     The vocabulary's rules never look across ASCII white space, which it drops; a text's ids are those
-    of its words one after another, and the ids of frequent words are remembered. New words of
-    printable ASCII are cut into pieces here and go to the library's model piece by piece, as most
-    pieces are known; new words of other characters go to the library together, with a digit
-    between them, which is always a token of its own. Later tasks of a Python worker find the
-    words of earlier ones.
+    of its words one after another. Each distinct word of a batch is looked up once, and the ids of words
+    used last are remembered. The new words of a batch go to the library together. Those of printable
+    ASCII are cut into pieces here, and pieces not met before go, a space between them, to the
+    vocabulary's model alone. Words of other characters go to the whole vocabulary with a digit between
+    them, which is always a token of its own. Later tasks of a Python worker find the words of earlier ones.
     """
-    if vocabulary in _ENCODERS:
-        return _ENCODERS[vocabulary]
-    from tokenizers import Tokenizer
-
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task on each core already
-    tok = Tokenizer.from_file(vocabulary)
-    tok.encode_special_tokens = True
-    parts, model, plain = _parts_of_plain_words(json.loads(tok.to_str())), tok.model, regex.compile(rb"[!-~]+").fullmatch
-    packed = lambda ids: np.array(ids, "<u4").tobytes()
-    whole = lambda word: packed(tok.encode(word.decode(), add_special_tokens=False).ids)
-    of_piece = Memo(MEMO_WORDS, lambda piece: packed([t.id for t in model.tokenize(piece)]))
-    memo = Memo(MEMO_WORDS, lambda word: b"".join(map(of_piece.__getitem__, parts(word))) if parts and plain(word) else whole(word))
-    between = tok.encode("0", add_special_tokens=False).ids[0]
-
-    def learn(found: list[bytes]) -> None:
-        ids = np.array(tok.encode(" 0 ".join([w.decode() for w in found]), add_special_tokens=False).ids, "<u4")
-        ends = [*np.flatnonzero(ids == between).tolist(), len(ids)]
-        if len(ends) == len(found):
-            for word, start, end in zip(found, [0, *[e + 1 for e in ends]], ends):
-                memo.keep(word, ids[start:end].tobytes())
-
-    def encode(words: list[bytes]) -> np.ndarray:
-        if parts:
-            new = [w for w in dict.fromkeys(words) if w not in memo and not w.isascii() and w not in memo.old and b"0" not in w]
-            for i in range(0, len(new), 200):
-                learn(new[i : i + 200])
-        return np.frombuffer(b"".join(map(memo.__getitem__, words)), "<u4")
-
-    _ENCODERS[vocabulary] = encode
-    return encode
+
+    def __init__(self, vocabulary: str):
+        from tokenizers import Tokenizer
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task on each core already
+        self.whole = Tokenizer.from_file(vocabulary)
+        self.whole.encode_special_tokens = True
+        spec = json.loads(self.whole.to_str())
+        self.pattern = _plain_pieces(spec)
+        self.model = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
+        self.between = self.whole.encode("0", add_special_tokens=False).ids[0]
+        self.words, self.pieces = Known(MEMO_WORDS, self._of_new), Known(MEMO_PIECES, self._of_pieces)
+
+    def _of_pieces(self, pieces: pa.Array) -> pa.Array:
+        ids, lengths = [], []
+        for n, text in _joined(pieces, 1000, " "):
+            got = self.model.encode(text, add_special_tokens=False)
+            ids.append(got.ids)
+            lengths.append(np.bincount(np.array(got.word_ids, np.int64), minlength=n))
+        return _binary(np.concatenate([[], *ids]).astype("<u4"), np.cumsum(np.concatenate([[0], *lengths])))
+
+    def _of_plain(self, text: str) -> pa.Array:
+        """The ids of words with a line feed between them."""
+        found = pa.array(self.pattern.findall(text.lower()), pa.large_string()).dictionary_encode()
+        border, at = np.asarray(pc.equal(found.dictionary, "\n")), np.asarray(found.indices)
+        pieces = found.dictionary.filter(pa.array(~border)).cast(BINARY)
+        place = np.where(border, len(pieces), np.cumsum(~border) - 1)  # line feeds have no ids
+        ids = pa.concat_arrays([self.pieces.of(pieces), pa.array([b""], BINARY)]).take(pa.array(place[at]))
+        return _binary(np.frombuffer(ids.buffers()[2] or b"", "<u4"), _ends(ids)[np.concatenate([[0], np.flatnonzero(border[at]), [len(at)]])])
+
+    def _of_others(self, n: int, text: str) -> pa.Array:
+        """The ids of ``n`` words with a digit between them."""
+        ids = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
+        borders = np.flatnonzero(ids == self.between)
+        if len(borders) != n - 1:
+            return self._of_each(text.split(" 0 "))
+        return _binary(np.delete(ids, borders), np.concatenate([[0], borders - np.arange(len(borders)), [len(ids) - len(borders)]]))
+
+    def _of_each(self, words: list[str]) -> pa.Array:
+        return pa.array([np.array(self.whole.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words], BINARY)
+
+    def _of_new(self, words: pa.Array) -> pa.Array:
+        text = words.cast(pa.large_string())
+        plain = np.asarray(pc.match_substring_regex(text, "^[!-~]+$")) & bool(self.pattern)
+        others = ~plain & ~np.asarray(pc.match_substring(text, "0")) & bool(self.pattern)
+        some = [words.filter(pa.array(which)) for which in (plain, others, ~plain & ~others)]
+        made = [
+            pa.array([], BINARY), *(self._of_plain(t) for _, t in _joined(some[0], 100_000, "\n")), *(self._of_others(n, t) for n, t in _joined(some[1], 200, " 0 ")),
+            self._of_each(some[2].cast(pa.large_string()).to_pylist()),
+        ]
+        return pa.concat_arrays(made).take(pa.array(np.argsort(np.where(plain, 0, np.where(others, 1, 2)), kind="stable").argsort()))
+
+    def _of_all(self, found: pa.Array) -> pa.Array:
+        coded = found.dictionary_encode()
+        return self.words.of(coded.dictionary).take(coded.indices)
+
+    def of_texts(self, column: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of a column; nulls count as empty."""
+        split = pc.ascii_split_whitespace(column.cast(pa.large_string()).fill_null(""))
+        ids = self._of_all(split.flatten().cast(BINARY))
+        bounds = np.asarray(split.offsets)
+        bounds, flat = _ends(ids)[bounds - bounds[0]].tolist(), np.frombuffer(ids.buffers()[2] or b"", "<u4")
+        return [flat[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(self._of_all(pa.array(words, BINARY)).to_pylist()), "<u4")
+
+
+def encoder(vocabulary: str) -> Encoder:
+    """The encoder of this Python worker: a function from the words of a text to its ids."""
+    if vocabulary not in _ENCODERS:
+        _ENCODERS[vocabulary] = Encoder(vocabulary)
+    return _ENCODERS[vocabulary]
 
 
 def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text") -> None:
@@ -145,9 +231,9 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
                 "lengths": pa.array([lengths], pa.list_(pa.int64())), "planes": pa.array([to_planes(np.concatenate(ids))], pa.list_(pa.binary())),
             })
 
-        for b in pieces(batches, "text"):
-            for name, t in zip(b.column("doc_id").to_pylist(), texts(b, "text")):
-                own = np.append(encode(t.split()), np.uint32(end_id)).astype("<u4")
+        for b in pieces(batches, "text", TEXT_BYTES):
+            for name, found in zip(b.column("doc_id").to_pylist(), encode.of_texts(b.column("text"))):
+                own = np.append(found, np.uint32(end_id)).astype("<u4")
                 ids.append(own)
                 names.append(name)
                 lengths.append(len(own))

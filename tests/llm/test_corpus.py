@@ -11,6 +11,7 @@ import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -650,6 +651,29 @@ def test_words_encoded_apart_equal_the_whole_text():
         assert own(text.encode().split()).tolist() == theirs.encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_a_batch_go_to_the_library_once(monkeypatch):
+    """They went one by one, and again in each document once the memo was full."""
+    path, rnd = catalog.tokenizer_file("word_bpe_49k.json"), random.Random(6)
+    theirs = pytest.importorskip("tokenizers").Tokenizer.from_file(path)
+    theirs.encode_special_tokens = True
+    for most in (1_000_000, 7):
+        monkeypatch.setattr(token_files, "MEMO_WORDS", most)
+        monkeypatch.setattr(token_files, "MEMO_PIECES", most)
+        own = token_files.Encoder(path)
+        pieces, work = [], own.pieces.work
+        own.pieces.work = lambda some: (pieces.extend(some.to_pylist()), work(some))[1]
+        vocabulary = ["".join(rnd.choice("abcdé'0K,.東") for _ in range(rnd.randint(1, 9))) for _ in range(900)] + ["x" * 200, "0", "it's", "\x01", "a\x85b"]
+        batches = [[None, "", " \t", *(" ".join(rnd.choices(vocabulary, k=rnd.randint(0, 80))) + rnd.choice(["", "\n", "\x1c"]) for _ in range(60))] for _ in range(4)]
+        for texts in batches:
+            before = len(pieces)
+            column = pa.array(["left out", *texts]).slice(1)
+            assert [x.tolist() for x in own.of_texts(column)] == [theirs.encode(t or "", add_special_tokens=False).ids for t in texts]
+            assert len(pieces) - before == len(set(pieces[before:]))
+        short = [p for p in pieces if len(p) <= 64]
+        assert most < 10 or len(short) == len(set(short))
+        assert own.of_texts(pa.array([], pa.string())) == [] and own([]).tolist() == []
+
+
 def test_token_files(spark, docs, none, tmp_path, monkeypatch):
     from tokenizers import Tokenizer
 
