@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from listwell.session import cut_lineage
 
+EDGES_A_TASK = 50_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every greater neighbour of a node on the least node around it."""
@@ -28,6 +30,11 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
+def _kept(edges: DataFrame, size: int) -> DataFrame:
+    """Checkpoint of about ``size`` edges, a file for each EDGES_A_TASK: a shuffle gives as many as it has partitions, however few edges there are."""
+    return cut_lineage(edges.coalesce(1 + size // EDGES_A_TASK))
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(entity_id, member_id) for every node of an edge; the entity id is its least member.
 
@@ -37,10 +44,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     reliable checkpoint, read twice: by its fingerprint and by the next round.
     """
     own = cut_lineage(edges.select(F.col(src).cast("bigint").alias("src"), F.col(dst).cast("bigint").alias("dst")))
-    current = cut_lineage(_small_star(own))
+    current = _kept(_small_star(own), own.count())
     seen = _fingerprint(current)
     while True:
-        current = cut_lineage(_small_star(_large_star(current)))
+        current = _kept(_small_star(_large_star(current)), seen[0])
         now = _fingerprint(current)
         if now == seen:
             break

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from listwell.functions import similarity as sim
-from listwell.operators import fuzzy
+from listwell.operators import components, fuzzy
 from listwell.operators import incremental as inc
 from listwell.operators import match as mt
 from listwell.operators.components import connected_components
@@ -161,3 +161,22 @@ def test_cleaning_lies_on_all_cores(spark):
         spread_over = cleaned._jdf.queryExecution().optimizedPlan().toString()
         assert "RepartitionByExpression [id#" in spread_over and f"], {2 * spark.sparkContext.defaultParallelism}" in spread_over
         assert cleaned.count() == 64
+
+
+def test_rounds_of_components_keep_few_edges_in_few_files(spark, monkeypatch):
+    """Each round left a file for every partition of its shuffle, most with no edge or one."""
+    parts, keep = [], components.cut_lineage
+    monkeypatch.setattr(components, "cut_lineage", lambda df: (kept := keep(df), parts.append(kept.rdd.getNumPartitions()))[0])
+    monkeypatch.setattr(components, "EDGES_A_TASK", 100)
+    edges = [(i, i + 1) for i in range(0, 300) if i % 7]
+    wanted = clusters_of(edges)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "23")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.member_id: r.entity_id for r in connected_components(spark.createDataFrame(edges, "src bigint, dst bigint").repartition(5)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == wanted
+    assert len(parts) > 2 and max(parts[1:]) <= 1 + len(edges) // 100
