@@ -8,6 +8,9 @@ shards; slot k takes block pi_e(k mod n), where e = k div n is the pass over the
 blocks and pi_e a pseudorandom permutation of its own (swap-or-not), so that blocks are
 found by an equality join on their number. All draws are hashes: reruns agree.
 
+Slots and blocks are made of a few rows each, so that Spark takes them for few: what is joined by
+block or by document is told to meet by key, and neither side goes through the driver.
+
 Offsets within a source are prefix sums over three levels of small groups, so that a source
 with a third of all rows is never one task.
 """
@@ -83,7 +86,7 @@ def placed(sized: DataFrame, of_source: DataFrame) -> DataFrame:
     counts = of_source.select(s.alias("s"), "docs")
     dealt = sized.withColumn("s", s).join(counts, "s").withColumn(
         "g", F.pmod(F.xxhash64("doc_id", "size", F.lit("deal")), F.ceil(F.col("docs") / GROUP))
-    ).drop("docs").withColumn("h", F.floor(F.col("g") / GROUP))
+    ).drop("docs").withColumn("h", F.floor(F.col("g") / GROUP)).repartition("s", "g")  # else a source stays where the counts met it
     before = lambda *part: Window.partitionBy(*part)
     up = (Window.unboundedPreceding, -1)
     so_far = lambda w: F.coalesce(F.sum("size").over(w.rowsBetween(*up)), F.lit(0))
@@ -190,11 +193,11 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     sized = staged(keyed.select(F.struct("k_id", "k_hash").alias("doc_id"), F.col("k_source").alias("source"), F.col("k_size").alias("size")))
     of_source = targets(sized)
     pieces = blocks(placed(sized, of_source).withColumn("doc_id", F.struct("doc_id", "at")), block_words)
-    picked = pieces.join(slots(of_source, block_words).select("s", "block", "pass"), ["s", "block"]).groupBy("s", "doc_id", "pass").agg(
+    picked = pieces.join(slots(of_source, block_words).select("s", "block", "pass").hint("merge"), ["s", "block"]).groupBy("s", "doc_id", "pass").agg(
         F.array_sort(F.collect_list(F.struct("first", "n"))).alias("parts"), F.sum("n").alias("taken")
     ).select(F.col("s").alias("p_s"), F.col("doc_id.doc_id.k_id").alias("p_id"), F.col("doc_id.doc_id.k_hash").alias("p_hash"), "parts", "taken")
     own = keyed.where("k_size > 0").select("_row", "k_id", "k_hash", "k_s", "k_size").dropDuplicates(["k_id", "k_hash", "k_s"])
-    chosen = picked.join(own, F.col("k_id").eqNullSafe(F.col("p_id")) & (F.col("k_hash") == F.col("p_hash")) & (F.col("k_s") == F.col("p_s")))
+    chosen = picked.join(own.hint("merge"), F.col("k_id").eqNullSafe(F.col("p_id")) & (F.col("k_hash") == F.col("p_hash")) & (F.col("k_s") == F.col("p_s")))
     text = F.col("_row")["text"]
     some = let(words(text), lambda w: F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(w, (p["first"] + 1).cast("int"), p["n"].cast("int")))), " "))
     out = chosen.select("_row", F.when(F.col("taken") == F.col("k_size"), text).otherwise(some).alias("k_text"))

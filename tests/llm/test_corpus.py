@@ -407,6 +407,17 @@ def test_mix_of_documents(docs, none):
     assert mixing.mixed_documents(none).count() == 0
 
 
+@pytest.mark.parametrize("mixing_of", [mixing.mixed_documents])
+def test_blocks_of_a_mix_are_not_broadcast(docs, mixing_of):
+    """A row of a source makes any number of slots: what is joined by block or by document meets by key."""
+    plan = mixing_of(docs, block_words=8)._jdf.queryExecution().sparkPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join [" in line]
+    by_block = [line for line in joins if "block#" in line]
+    by_document = [line for line in joins if "isnull(" in line]  # ids are compared with nulls
+    assert len(by_block) == 1 and len(by_document) == 1
+    assert all("SortMergeJoin" in line for line in by_block + by_document)
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 1000])
 def test_permutations(spark, n):
     got = spark.range(n).select(mixing._permuted(F.col("id"), F.lit(n).cast("bigint"), F.lit(3)).alias("x"))
