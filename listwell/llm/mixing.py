@@ -165,11 +165,11 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, doc_id: str = "doc_id",
     at = placed(sized, of_source)
     times = slots(of_source, block_words).groupBy("s", "block").agg(F.count("*").alias("times"))
     pieces = blocks(at.withColumn("doc_id", F.struct("doc_id", "at")), block_words)
-    taken = pieces.join(times, ["s", "block"]).groupBy("s", F.col("doc_id.doc_id").alias("doc_id"), F.col("doc_id.at").alias("at")).agg(
+    taken = pieces.join(times.hint("merge"), ["s", "block"]).groupBy("s", F.col("doc_id.doc_id").alias("doc_id"), F.col("doc_id.at").alias("at")).agg(
         F.sum(F.col("n") * F.col("times")).alias("taken")
     )
     mine = at.alias("x").join(
-        taken.alias("y"),
+        taken.alias("y").hint("merge"),
         (F.col("x.s") == F.col("y.s")) & F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.at") == F.col("y.at")) & (F.col("x.size") > 0),
         "left",
     ).select("x.doc_id", "x.source", "x.size", "x.s", F.coalesce("y.taken", F.lit(0)).alias("taken"))

@@ -407,7 +407,7 @@ def test_mix_of_documents(docs, none):
     assert mixing.mixed_documents(none).count() == 0
 
 
-@pytest.mark.parametrize("mixing_of", [mixing.mixed_documents])
+@pytest.mark.parametrize("mixing_of", [mixing.mix, mixing.mixed_documents])
 def test_blocks_of_a_mix_are_not_broadcast(docs, mixing_of):
     """A row of a source makes any number of slots: what is joined by block or by document meets by key."""
     plan = mixing_of(docs, block_words=8)._jdf.queryExecution().sparkPlan().toString()
