@@ -10,12 +10,14 @@ Three queries follow one another, each with a checkpoint of its own, joined by t
 * :func:`start_window_counters` counts what arrives per window of event time, a listing of a page
   once however often it is announced or a batch is run again. Rows that come after the watermark are counted apart.
 
-Only keys and times wait in the join's state; page bodies are fetched when a pair is found.
+Only keys and times wait in the join's state; page bodies are fetched when a pair is found. That state
+lies on the executors' disks (:data:`ON_DISK`), so that what waits may be any number of events and pages.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -32,18 +34,45 @@ from listwell.streaming.ingest import LISTING_EXTRACTORS, ORDER, decode, in_days
 # ---- Events and pages joined as streams ------------------------------------------------------
 
 
+#: State in RocksDB, with a bounded part of it in an executor's memory. By default Spark keeps all state on the heap.
+ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",  # a look-up for each row written
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """:data:`ON_DISK` for queries that start within, which take a copy of the settings; a session that names a provider keeps its own.
+
+    A query that goes on from a checkpoint keeps the provider that it began with.
+    """
+    chosen = {} if spark.conf.get(next(iter(ON_DISK)), None) else ON_DISK
+    before = {k: spark.conf.get(k, None) for k in chosen}
+    try:
+        for k, v in chosen.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def wait_for_pages(events: DataFrame, arrivals: DataFrame, wait: str, before: str = "1 hour", slack: str = "10 minutes") -> DataFrame:
-    """Decoded events with ``arrived`` true, or false once their page is overdue; ``value`` is null for those of no use.
+    """Decoded events of use with ``arrived`` true, or false once their page is overdue.
 
     ``events`` is a stream of (value, arrived_at), ``arrivals`` one of (page_key, stored_at); both times say when
     a row came and are never null, so neither stream has late rows beyond ``slack``. A page counts from ``before``
     ahead of its event until ``wait`` after it. Both sides' state goes when its time is over. Rows without a value or a
-    key are heartbeats, which move the time on. Nothing is filtered here: Spark would filter before it looks at the time,
-    and a stream of useless rows would seem to stand still.
+    key are heartbeats, which move the time on, as events of no use do; neither of them waits. The filter asks for the
+    time too: else Spark would filter before it looks at the time, and a stream of useless rows would seem to stand still.
     """
     read = decode(events.withWatermark("arrived_at", slack).select("value", "arrived_at"), "arrived_at")
     useful = F.col("reason").isNull() & F.col("value").isNotNull() & F.col("platform").isin(*LISTING_EXTRACTORS)
-    told = read.select(F.when(useful, F.col("value")).alias("value"), "arrived_at", "platform", "market", "merchant_id", F.coalesce("minio_key", F.lit("")).alias("minio_key"), "scraped_at")
+    told = read.where(F.when(useful, F.col("arrived_at")).isNotNull()).select("value", "arrived_at", "platform", "market", "merchant_id", "minio_key", "scraped_at")
     came = arrivals.withWatermark("stored_at", slack).select(F.coalesce("page_key", F.lit("")).alias("came_key"), "stored_at", F.lit(True).alias("arrived"))
     on_time = F.expr(f"minio_key = came_key AND stored_at >= arrived_at - INTERVAL {before} AND stored_at <= arrived_at + INTERVAL {wait}")
     return told.join(came, on_time, "left_outer").select(*told.columns, F.coalesce("arrived", F.lit(False)).alias("arrived"))
@@ -62,15 +91,15 @@ def ingest_waited(batch: DataFrame, batch_id: int, pages: DataFrame, base: str)
     An overdue event is looked up in the page table once more before it is given up: its page may be older
     than the join remembers.
     """
-    part = f"batch_id={batch_id}"
-    batch = batch.where("value IS NOT NULL").dropDuplicates(["value"]).persist()
-    try:
-        pages = in_days(pages, batch)
-        listings_from(batch, pages).write.mode("overwrite").parquet(f"{base}/changes/{part}")
-        lost = missing_pages(batch, pages).select("value", F.lit("page missing").alias("reason"))
-        lost.write.mode("overwrite").parquet(f"{base}/rejects/{part}")
-    finally:
-        batch.unpersist()
+    spark, part = batch.sparkSession, f"batch_id={batch_id}"
+    # Written and read back: what reads a persisted batch of a join of streams more than once runs that join, and all its state, again.
+    found = batch.where("value IS NOT NULL").dropDuplicates(["value"])
+    found.write.mode("overwrite").parquet(f"{base}/decided/{part}")
+    batch = spark.read.schema(found.schema).parquet(f"{base}/decided/{part}")
+    pages = in_days(pages, batch)
+    listings_from(batch, pages).write.mode("overwrite").parquet(f"{base}/changes/{part}")
+    lost = missing_pages(batch, pages).select("value", F.lit("page missing").alias("reason"))
+    lost.write.mode("overwrite").parquet(f"{base}/rejects/{part}")
 
 
 def start_waiting_ingest(
@@ -83,7 +112,8 @@ def start_waiting_ingest(
     useless = unusable(events).writeStream.option("checkpointLocation", f"{checkpoint}/unusable").foreachBatch(
         lambda batch, i: batch.write.mode("overwrite").parquet(f"{base}/unusable/batch_id={i}")
     )
-    return [(w.trigger(availableNow=True) if available_now else w).start() for w in (waiting, useless)]
+    with state_on_disk(events.sparkSession):
+        return [(w.trigger(availableNow=True) if available_now else w).start() for w in (waiting, useless)]
 
 
 def waited_rejects(spark: SparkSession, base: str) -> DataFrame:

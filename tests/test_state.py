@@ -133,6 +133,25 @@ def test_events_wait_for_their_pages(spark, tmp_path):
     assert sorted(r.reason for r in state.waited_rejects(spark, f"{base}/out").collect()) == ["no extractor", "page missing", "undecodable"]
 
 
+def test_what_waits_is_on_disk_is_of_use_and_is_joined_once(spark, tmp_path):
+    base, useless = str(tmp_path), ["{oops", '{"platform":"zzz","market":"m","minio_key":"k"}', '{"platform":"doordash","market":"","minio_key":"k"}']
+    spark.createDataFrame([(key(i), "<html></html>") for i in range(4)], "page_key string, html string").write.parquet(f"{base}/pages")
+    events = [(event(i), at(0)) for i in range(4)] + [(value, at(0)) for value in useless]
+    streams = []
+    for rows, name, schema in ((events, "events", "value string, arrived_at timestamp"), ([(key(0), at(1))], "arrivals", "page_key string, stored_at timestamp")):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{base}/{name}")
+        streams.append(spark.readStream.schema(schema).parquet(f"{base}/{name}"))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    queries = state.start_waiting_ingest(*streams, lambda: spark.read.parquet(f"{base}/pages"), f"{base}/out", f"{base}/progress", available_now=True)
+    for q in queries:
+        q.awaitTermination()
+    assert "RocksDBStateStoreProvider" in (tmp_path / "progress/waiting/offsets/0").read_text() and spark.conf.get(provider) == before
+    assert sum(op.numRowsUpdated for p in queries[0].recentProgress[:1] for op in p.stateOperators) == 5  # four events and an arrival, once
+    waiting = spark.read.format("statestore").option("joinSide", "left").option("batchId", 0).load(f"{base}/progress/waiting")
+    assert sorted(r.value for r in waiting.select("value.value").collect()) == sorted(event(i) for i in range(4))
+
+
 def test_days_are_pruned_one_by_one(spark, tmp_path, monkeypatch):
     base = str(tmp_path)
     days = ["2024-01-01", "2024-02-01", "2024-03-01"]
