@@ -76,6 +76,24 @@ def random_listings(seed, n):
     return rows
 
 
+def test_pairs_are_made_heap_by_heap(spark, monkeypatch):
+    monkeypatch.setattr(mt, "HEAP", 4, raising=False)
+    df = frame(spark, random_listings(3, 90))
+    fields = mt.match_fields(mt.fill_market(df)).collect()
+    expected = {pair: round(score, 3) for pair, score in brute_force(fields).items()}
+    pairs = mt.rule_based_match(df, digits=3)
+    rows = pairs.collect()
+    assert len(rows) == len(expected) and {(r.id_a, r.id_b): r.confidence for r in rows} == pytest.approx(expected, abs=0.0011)
+    assert all(r.confidence == round(r.confidence, 3) for r in rows)
+    assert "heap_a" in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_signatures_of_one_platform_are_not_paired(spark):
+    df = frame(spark, [(1, "doordash", "Pizza Roma", "", None, None, "m"), (2, "doordash", "Pizza Romas", "", None, None, "m"), (3, "grubhub", "Cafe", "", None, None, "m")])
+    sigs = mt.signatures(mt.match_fields(df))
+    assert mt.match_signatures(mt.matching_sides(sigs)).count() == 0
+
+
 @pytest.mark.parametrize("seed, n", [(1, 140), (2, 60)])
 def test_equal_to_brute_force(spark, seed, n):
     df =frame(spark, random_listings(seed, n))
